@@ -131,11 +131,46 @@ def _feature_sql(literal: bool = False) -> list[tuple[str, str, str]]:
     return out
 
 
-def _book_sql(literal: bool = False, family: str | None = None, where: str = "") -> str:
+def _book_sql(literal: bool = False, family: str | None = None, where: str = "", sales: str = SALES) -> str:
     feats = [f for f in _feature_sql(literal) if family is None or f[1] == family]
     head = ["user_id"] if family else ["user_id", f"'{BOOK_REF}' AS ref", f"'{BOOK_TS}' AS ts_proc"]
     cols = ",\n  ".join(head + [f"{expr} AS {name}" for name, _, expr in feats])
-    return _with(SALES, PRODUCTS, ENRICHED, AGED) + f"\nSELECT\n  {cols}\nFROM aged {where}\nGROUP BY user_id"
+    return _with(sales, PRODUCTS, ENRICHED, AGED) + f"\nSELECT\n  {cols}\nFROM aged {where}\nGROUP BY user_id"
+
+
+# Sales after the bronze CSV -> silver load: every row carries the snapshot's
+# ref (so all ages are equal) and the ids are text.
+SALES_SILVER = """
+sales AS (
+  SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
+         CAST(o.o_custkey AS VARCHAR) AS user_id,
+         CAST(l.l_partkey AS VARCHAR) AS product_id,
+         CAST(o.o_orderdate AS DATE) AS dat_creation,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount,
+         o.o_orderpriority AS payment_method,
+         '20010731' AS ref,
+         '20010731230000' AS ts_file_generation,
+         '20010801000000' AS ts_proc
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+
+PRODUCT_TEXT = "CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_des, p_type AS product_category"
+
+
+def _product_rows(ref: str, tsf: str, ts_proc: str) -> str:
+    return (
+        f"SELECT '{ref}' AS ref, '{tsf}' AS ts_file_generation, '{ts_proc}' AS ts_proc, {PRODUCT_TEXT} FROM part"
+    )
+
+
+def _control_sql() -> str:
+    sales_rows = "(SELECT COUNT(*) FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"
+    return (
+        "SELECT 'users' AS assunto, '20010731' AS ref, '20010731000000' AS ts_file_generation,"
+        " '20010731130000' AS ts_proc, (SELECT COUNT(*) FROM customer) AS qtd_registros"
+        " UNION ALL SELECT 'products', '20010731', '20010731000000', '20010731120000', (SELECT COUNT(*) FROM part)"
+        f" UNION ALL SELECT 'sales', '20010731', '20010731230000', '20010801000000', {sales_rows}"
+    )
 
 
 SALES_OUT = (
@@ -175,6 +210,32 @@ def oracle_sql() -> dict[str, str]:
         " WHERE ts_file_generation || ts_proc = (SELECT MAX(ts_file_generation || ts_proc) FROM sales)",
         "lookback_filter": _with(SALES) + f"\nSELECT {SALES_OUT} FROM sales WHERE ref >= '{LOOKBACK}'",
     }
+    sql.update(
+        {
+            "bronze_roundtrip": f"SELECT {PRODUCT_TEXT} FROM part",
+            "silver_products": _product_rows("20010731", "20010731000000", "20010731120000"),
+            "silver_sales": _with(SALES_SILVER)
+            + "\nSELECT ref, ts_file_generation, ts_proc, transaction_id, user_id, product_id, dat_creation,"
+            " CAST(amount AS DOUBLE) AS amount, payment_method FROM sales",
+            "latest_file": "SELECT CAST(p_partkey AS VARCHAR) AS product_id,"
+            " 'products_20010731_20010731000000.csv' AS filename, '20010731' AS ref,"
+            " '20010731000000' AS ts_file_generation FROM part",
+            "lineage_columns": "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey,"
+            " CAST(l_linenumber AS VARCHAR) AS l_linenumber,"
+            " 'order_items_20010731_20010731221500.csv' AS filename, '20010731' AS ref,"
+            " '20010731221500' AS ts_file_generation, '20010801010000' AS ts_proc FROM lineitem",
+            "control_rows": _control_sql(),
+            # previous book at 20010731125000: users and sales arrived since, products not.
+            "readiness": "SELECT assunto, ts_proc, qtd_registros, ts_proc > '20010731125000' AS received,"
+            f" false AS ready FROM ({_control_sql()}) c",
+            "silver_latest_batch": _product_rows("20010731", "20010731000000", "20010731110000"),
+            "gold_roundtrip": book,
+            "gold_from_silver": _book_sql(sales=SALES_SILVER),
+            "stream_silver": _product_rows("20010730", "20010730000000", "20010801030000")
+            + " UNION ALL "
+            + _product_rows("20010731", "20010731000000", "20010801030000"),
+        }
+    )
     sql["category_enrichment_shuffle"] = sql["category_enrichment"]
     sql["latest_batch_by_key"] = sql["latest_batch_proc_first"]
     for fam in ("qtd", "sum", "avg", "min", "max"):

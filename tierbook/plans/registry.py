@@ -16,9 +16,19 @@ from tierbook.functions.dates import lookback_start, month_age
 from tierbook.operators import latest
 from tierbook.operators.book import literal_spec, month_flags
 from tierbook.operators.enrich import category_enrichment
+from tierbook.operators.control import readiness
 from tierbook.operators.lookback import lookback_filter
+from tierbook.operators.silver import lineage_columns
+from tierbook.plans.bronze import snapshot_to_bronze
 from tierbook.plans.gold import build_book
+from tierbook.plans.silver import load_subject
+from tierbook.schemas import PRODUCTS, SALES, USERS
+from tierbook.session import scratch_path
+from tierbook.sinks.writers import write_gold
 from tierbook.sources import testdata as td
+from tierbook.sources.files import latest_snapshot, read_bronze
+from tierbook.sources.lake import read_control, read_gold, read_silver
+from tierbook.streaming.silver_stream import run_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +139,159 @@ def q_feature_book_lookback(spark, sf_dir):
     return _book(spark, sf_dir, lookback_start=lookback_start(td.AS_OF))
 
 
+# ---------------------------------------------------------------------------
+# Lake layers: every query writes into a fresh folder under the shared root
+# (spark.checkpoint.dir), then reads back with a declared schema.
+
+SALES_REF, SALES_TSF, SALES_TS_PROC = "20010731", "20010731230000", "20010801000000"
+STREAM_BASE_TS_PROC = "20010801030000"
+SINCE_TS_PROC = "20010731125000"  # stamp of the previous book (readiness gate)
+SUBJECT_NAMES = ("users", "products", "sales")
+
+
+class Lake:
+    def __init__(self, spark: SparkSession, purpose: str):
+        root = scratch_path(spark, purpose)
+        self.bronze = f"{root}/0000_bronze"
+        self.silver = f"{root}/0001_silver"
+        self.gold = f"{root}/0002_gold"
+        self.control = f"{root}/0003_control"
+        self.checkpoints = f"{root}/checkpoints"
+
+    def silver_of(self, subject: str) -> str:
+        return f"{self.silver}/{subject}"
+
+    def control_of(self, subject: str) -> str:
+        return f"{self.control}/{subject}"
+
+
+def _products_source(spark, sf_dir):
+    return td.products(spark, sf_dir).select(*PRODUCTS.columns.fieldNames())
+
+
+def _sales_source(spark, sf_dir):
+    return td.sales(spark, sf_dir).select(*SALES.columns.fieldNames())
+
+
+def _users_source(spark, sf_dir):
+    return td.users(spark, sf_dir).select(*USERS.columns.fieldNames())
+
+
+def _load(spark, lake: Lake, spec, source, ref, tsf, ts_proc):
+    path = snapshot_to_bronze(source, lake.bronze, spec.name, ref, tsf)
+    return load_subject(
+        spark, spec, lake.bronze, lake.silver_of(spec.name), lake.control_of(spec.name), ts_proc, path
+    )
+
+
+def q_bronze_roundtrip(spark, sf_dir):
+    lake = Lake(spark, "bronze-roundtrip")
+    path = snapshot_to_bronze(_products_source(spark, sf_dir), lake.bronze, "products", td.PRODUCTS_REF, td.PRODUCTS_TSF)
+    return read_bronze(spark, path, with_lineage=False)
+
+
+def q_silver_products(spark, sf_dir):
+    lake = Lake(spark, "silver-products")
+    _load(spark, lake, PRODUCTS, _products_source(spark, sf_dir), td.PRODUCTS_REF, td.PRODUCTS_TSF, td.PRODUCTS_TS_PROC)
+    return read_silver(spark, lake.silver_of("products"), PRODUCTS)
+
+
+def q_silver_sales(spark, sf_dir):
+    lake = Lake(spark, "silver-sales")
+    _load(spark, lake, SALES, _sales_source(spark, sf_dir), SALES_REF, SALES_TSF, SALES_TS_PROC)
+    return _money(read_silver(spark, lake.silver_of("sales"), SALES), "amount")
+
+
+def q_latest_file(spark, sf_dir):
+    lake = Lake(spark, "latest-file")
+    src = _products_source(spark, sf_dir)
+    snapshot_to_bronze(src, lake.bronze, "products", "20010730", "20010730000000")
+    snapshot_to_bronze(src, lake.bronze, "products", "20010731", "20010731000000")
+    path = latest_snapshot(spark, f"{lake.bronze}/products", "products")
+    rows = lineage_columns(read_bronze(spark, path), td.PRODUCTS_TS_PROC)
+    return rows.select("product_id", "filename", "ref", "ts_file_generation")
+
+
+def q_lineage_columns(spark, sf_dir):
+    # A subject whose name contains "_", one folder level deeper than usual.
+    lake = Lake(spark, "lineage")
+    items = td.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    path = snapshot_to_bronze(items, f"{lake.bronze}/erp", "order_items", "20010731", "20010731221500")
+    rows = lineage_columns(read_bronze(spark, path), "20010801010000")
+    return rows.select("l_orderkey", "l_linenumber", "filename", "ref", "ts_file_generation", "ts_proc")
+
+
+def _three_loads(spark, sf_dir, lake):
+    _load(spark, lake, USERS, _users_source(spark, sf_dir), td.USERS_REF, td.USERS_TSF, td.USERS_TS_PROC)
+    _load(spark, lake, PRODUCTS, _products_source(spark, sf_dir), td.PRODUCTS_REF, td.PRODUCTS_TSF, td.PRODUCTS_TS_PROC)
+    _load(spark, lake, SALES, _sales_source(spark, sf_dir), SALES_REF, SALES_TSF, SALES_TS_PROC)
+
+
+def q_control_rows(spark, sf_dir):
+    lake = Lake(spark, "control")
+    _three_loads(spark, sf_dir, lake)
+    return read_control(spark, *(lake.control_of(s) for s in SUBJECT_NAMES))
+
+
+def q_readiness(spark, sf_dir):
+    lake = Lake(spark, "readiness")
+    _three_loads(spark, sf_dir, lake)
+    control = read_control(spark, *(lake.control_of(s) for s in SUBJECT_NAMES))
+    return readiness(spark, control, SUBJECT_NAMES, SINCE_TS_PROC)
+
+
+def q_silver_latest_batch(spark, sf_dir):
+    # Two product loads; the newest file wins (file-first order), read with
+    # partition pruning on the silver layout.
+    lake = Lake(spark, "silver-latest")
+    src = _products_source(spark, sf_dir)
+    _load(spark, lake, PRODUCTS, src, "20010730", "20010730000000", "20010731120000")
+    _load(spark, lake, PRODUCTS, src, "20010731", "20010731000000", "20010731110000")
+    silver = read_silver(spark, lake.silver_of("products"), PRODUCTS)
+    return latest.latest_batch(silver, latest.FILE_FIRST)
+
+
+def q_gold_roundtrip(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    lake = Lake(spark, "gold")
+    spec = td.testdata_spec()
+    write_gold(_book(spark, sf_dir, spec=spec), lake.gold)
+    return read_gold(spark, lake.gold, spec, T.LongType())
+
+
+def q_gold_from_silver(spark, sf_dir):
+    # End to end: bronze -> silver (sales, products) -> latest batches -> book.
+    lake = Lake(spark, "gold-from-silver")
+    _load(spark, lake, PRODUCTS, _products_source(spark, sf_dir), td.PRODUCTS_REF, td.PRODUCTS_TSF, td.PRODUCTS_TS_PROC)
+    _load(spark, lake, SALES, _sales_source(spark, sf_dir), SALES_REF, SALES_TSF, SALES_TS_PROC)
+    return build_book(
+        read_silver(spark, lake.silver_of("sales"), SALES),
+        read_silver(spark, lake.silver_of("products"), PRODUCTS),
+        td.testdata_spec(),
+        td.AS_OF,
+        td.BOOK_REF,
+        td.BOOK_TS_PROC,
+    )
+
+
+def q_stream_silver(spark, sf_dir):
+    lake = Lake(spark, "stream")
+    src = _products_source(spark, sf_dir)
+    snapshot_to_bronze(src, lake.bronze, "products", "20010730", "20010730000000")
+    snapshot_to_bronze(src, lake.bronze, "products", "20010731", "20010731000000")
+    run_silver_stream(
+        spark,
+        PRODUCTS,
+        lake.bronze,
+        lake.silver_of("products"),
+        lake.control_of("products"),
+        f"{lake.checkpoints}/products",
+        STREAM_BASE_TS_PROC,
+    )
+    return read_silver(spark, lake.silver_of("products"), PRODUCTS)
+
+
 QUERIES: dict[str, Query] = {
     "feature_book": q_feature_book,
     "feature_book_one_stage": q_feature_book_one_stage,
@@ -146,4 +309,15 @@ QUERIES: dict[str, Query] = {
     "latest_batch_file_first": q_latest_batch_file_first,
     "latest_batch_by_key": q_latest_batch_by_key,
     "lookback_filter": q_lookback_filter,
+    "bronze_roundtrip": q_bronze_roundtrip,
+    "silver_products": q_silver_products,
+    "silver_sales": q_silver_sales,
+    "latest_file": q_latest_file,
+    "lineage_columns": q_lineage_columns,
+    "control_rows": q_control_rows,
+    "readiness": q_readiness,
+    "silver_latest_batch": q_silver_latest_batch,
+    "gold_roundtrip": q_gold_roundtrip,
+    "gold_from_silver": q_gold_from_silver,
+    "stream_silver": q_stream_silver,
 }
