@@ -207,18 +207,75 @@ def _dimension_key(dim: Dimension) -> Column:
     return F.when(col.isin(dim.listed()), col)
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _condition(f: Feature, dim_col: str, months_col: str) -> str:
+    cond = f"{_ident(dim_col)} = {_text(f.value)}"
+    if f.tested is not None:
+        cond += f" AND {_ident(months_col)} <= {int(f.tested)}"
+    return cond
+
+
+def _wide_aggregates(spec: BookSpec, dim_col, months_col: str, measures: dict[str, str]) -> list[Column]:
+    """One SQL aggregate per feature (plus sum/count helpers for averages).
+
+    ``measures`` maps qtd/sum/min/max/cnt to the column each aggregates
+    (``None`` for qtd means "count rows": ``sum(CASE WHEN ... THEN 1 END)``).
+    Expressions are passed as SQL text: one JVM call per column instead of
+    one per expression node.
+    """
+    out = []
+    for f in spec.features():
+        cond = _condition(f, dim_col(f.dimension), months_col)
+
+        def agg(func: str, measure: str | None) -> str:
+            value = "1" if measure is None else _ident(measure)
+            return f"{func}(CASE WHEN {cond} THEN {value} END)"
+
+        if f.stat == "qtd":
+            out.append(f"{agg('sum', measures['qtd'])} AS {_ident(f.name)}")
+        elif f.stat in ("sum", "min", "max"):
+            out.append(f"{agg(f.stat, measures[f.stat])} AS {_ident(f.name)}")
+        else:
+            out.append(f"{agg('sum', measures['sum'])} AS {_ident(f.name + '__s')}")
+            func, measure = measures["cnt"]
+            out.append(f"{agg(func, measure)} AS {_ident(f.name + '__c')}")
+    return [F.expr(e) for e in out]
+
+
+def ensure_codegen_width(df: DataFrame, spec: BookSpec) -> None:
+    """Raise ``spark.sql.codegen.maxFields`` to cover the wide aggregate.
+
+    The book's aggregation buffers hold ~2.4 fields per feature; above the
+    default (100) the aggregate drops out of whole-stage codegen and runs
+    interpreted. The setting is decided at planning time, so it is applied
+    to the session (only ever raised).
+    """
+    spark = df.sparkSession
+    needed = 3 * len(spec.features()) + 64
+    current = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
+    if current < needed:
+        spark.conf.set("spark.sql.codegen.maxFields", str(needed))
+
+
 def _finish(grouped: DataFrame, spec: BookSpec, user: str, ref: str, ts_proc: str) -> DataFrame:
-    cols = [F.col(user), F.lit(ref).alias("ref"), F.lit(ts_proc).alias("ts_proc")]
+    cols = [_ident(user), f"{_text(ref)} AS ref", f"{_text(ts_proc)} AS ts_proc"]
     for f in spec.features():
+        name = _ident(f.name)
         if f.stat == "qtd":
-            cols.append(F.col(f.name))
+            cols.append(name)
         elif f.stat == "avg":
-            cols.append(
-                (F.col(f"{f.name}__s").cast("double") / F.nullif(F.col(f"{f.name}__c"), F.lit(0))).alias(f.name)
-            )
+            s_, c_ = _ident(f.name + "__s"), _ident(f.name + "__c")
+            cols.append(f"CAST({s_} AS DOUBLE) / nullif({c_}, 0) AS {name}")
         else:
-            cols.append(F.col(f.name).cast("double").alias(f.name))
-    return grouped.select(*cols)
+            cols.append(f"CAST({name} AS DOUBLE) AS {name}")
+    return grouped.selectExpr(*cols)
 
 
 # ---------------------------------------------------------------------------
@@ -237,23 +294,9 @@ def feature_book_one_stage(
 ) -> DataFrame:
     dims = [d.column for d in spec.dimensions]
     base = df.select(user, amount, *dims, month_age(as_of, date_col).alias(AGE))
-    age, amt = F.col(AGE), F.col(amount)
-    aggs = []
-    for f in spec.features():
-        cond = F.col(f.dimension.column) == F.lit(f.value)
-        if f.tested is not None:
-            cond = cond & (age <= F.lit(f.tested))
-        if f.stat == "qtd":
-            aggs.append(F.sum(F.when(cond, F.lit(1))).alias(f.name))
-        elif f.stat == "sum":
-            aggs.append(F.sum(F.when(cond, amt)).alias(f.name))
-        elif f.stat == "min":
-            aggs.append(F.min(F.when(cond, amt)).alias(f.name))
-        elif f.stat == "max":
-            aggs.append(F.max(F.when(cond, amt)).alias(f.name))
-        else:
-            aggs.append(F.sum(F.when(cond, amt)).alias(f"{f.name}__s"))
-            aggs.append(F.count(F.when(cond, amt)).alias(f"{f.name}__c"))
+    measures = {"qtd": None, "sum": amount, "min": amount, "max": amount, "cnt": ("count", amount)}
+    aggs = _wide_aggregates(spec, lambda d: d.column, AGE, measures)
+    ensure_codegen_width(df, spec)
     return _finish(base.groupBy(user).agg(*aggs), spec, user, ref, ts_proc)
 
 
@@ -299,23 +342,9 @@ def pivot_partials(
     The explicit hash repartition on ``user`` ships the narrow partial rows;
     the wide aggregate then needs no further exchange.
     """
-    bucket = F.col(BUCKET)
-    aggs = []
-    for f in spec.features():
-        cond = F.col(f.dimension.key) == F.lit(f.value)
-        if f.tested is not None:
-            cond = cond & (bucket <= F.lit(f.tested))
-        if f.stat == "qtd":
-            aggs.append(F.sum(F.when(cond, F.col(N))).alias(f.name))
-        elif f.stat == "sum":
-            aggs.append(F.sum(F.when(cond, F.col(S))).alias(f.name))
-        elif f.stat == "min":
-            aggs.append(F.min(F.when(cond, F.col(MN))).alias(f.name))
-        elif f.stat == "max":
-            aggs.append(F.max(F.when(cond, F.col(MX))).alias(f.name))
-        else:
-            aggs.append(F.sum(F.when(cond, F.col(S))).alias(f"{f.name}__s"))
-            aggs.append(F.sum(F.when(cond, F.col(C))).alias(f"{f.name}__c"))
+    measures = {"qtd": N, "sum": S, "min": MN, "max": MX, "cnt": ("sum", C)}
+    aggs = _wide_aggregates(spec, lambda d: d.key, BUCKET, measures)
+    ensure_codegen_width(partials, spec)
     wide = partials.repartition(user).groupBy(user).agg(*aggs)
     return _finish(wide, spec, user, ref, ts_proc)
 

@@ -37,11 +37,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, kn
 
 
 def hot_keys(fact: DataFrame, key: str, hot_fraction: float = DEFAULT_HOT_FRACTION) -> DataFrame:
-    """Keys holding at least ``hot_fraction`` of the rows (<= 1/hot_fraction keys)."""
-    total = fact.count()
+    """Keys holding at least ``hot_fraction`` of the rows (<= 1/hot_fraction keys).
+
+    Only the key column is read (column pruning); the per-key counts are
+    combined map-side before their shuffle.
+    """
+    keys = fact.select(key)
+    total = keys.count()
     threshold = max(1, math.ceil(total * hot_fraction))
     return (
-        fact.where(F.col(key).isNotNull())
+        keys.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= F.lit(threshold))
@@ -58,9 +63,9 @@ def salted_left_join(
 ) -> DataFrame:
     """Left join on ``key`` with hot keys split over ``salt_buckets`` tasks."""
     hot = F.broadcast(hot_keys(fact, key, hot_fraction))
-    # Deterministic per row (stable under task retry): hash of the row content
-    # and its position in the (deterministically ordered) input partition.
-    row_hash = F.xxhash64(F.monotonically_increasing_id(), *(F.col(c) for c in fact.columns))
+    # A pure function of the row content, so a retried map task sends every
+    # row to the same reducer as the first attempt did.
+    row_hash = F.xxhash64(*(F.col(c) for c in fact.columns))
     salted_fact = (
         fact.join(hot, key, "left")
         .withColumn(SALT, F.when(F.col(HOT), F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)).cast("int"))

@@ -6,9 +6,10 @@ the product categories -> partial aggregate by (user, category key, payment
 key, age bucket) -> shuffle (narrow, map-side combined) -> final -> shuffle
 by user (<= 125 narrow rows per user) -> wide pivot -> write.
 
-Above the bound the product join is a shuffle join, so the sales rows are
-first reduced map-side to partials per (user, product, payment key, age
-bucket); only those partials cross the (hot-key salted) join shuffle.
+Above the bound the product join is a shuffle join on product_id whose hot
+products (>= 1% of the sales rows each, so at most 100 of them) are salted
+over many tasks; the book's map-side partial aggregation then runs in the
+join's reduce tasks. AQE's skew-join split stays enabled as a backstop.
 """
 
 from __future__ import annotations
@@ -18,17 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierbook.operators.book import (
-    BUCKET,
-    BookSpec,
-    _dimension_key,
-    book_stage_keys,
-    combine_partials,
-    feature_book,
-    pivot_partials,
-    prepare_stage_input,
-    to_partials,
-)
+from tierbook.operators.book import BookSpec, feature_book
 from tierbook.operators.joins import (
     DEFAULT_HOT_FRACTION,
     DEFAULT_MAX_BROADCAST_ROWS,
@@ -77,13 +68,6 @@ def build_book(
 
     if fits_broadcast(categories, max_broadcast_rows, products_rows):
         enriched = sales.join(F.broadcast(categories), product_key, "left")
-        return feature_book(enriched, spec, as_of, ref, ts_proc, user, amount, date_col, method)
-
-    local_dims = tuple(d for d in spec.dimensions if d not in from_products)
-    narrow = prepare_stage_input(sales, spec, as_of, user, amount, date_col, (product_key,), local_dims)
-    pre_keys = [user, product_key, *(d.key for d in local_dims), BUCKET]
-    pre = combine_partials(to_partials(narrow, amount), pre_keys)
-    joined = salted_left_join(pre, categories, product_key, hot_fraction, salt_buckets)
-    keyed = joined.select(*pre.columns, *(_dimension_key(d).alias(d.key) for d in from_products))
-    partials = combine_partials(keyed, book_stage_keys(spec, user))
-    return pivot_partials(partials, spec, ref, ts_proc, user)
+    else:
+        enriched = salted_left_join(sales, categories, product_key, hot_fraction, salt_buckets)
+    return feature_book(enriched, spec, as_of, ref, ts_proc, user, amount, date_col, method)

@@ -54,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales rows with lineage stamps (typed, not yet through silver)."""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").hint("merge")
     joined = line.join(orders, line.l_orderkey == orders.o_orderkey, "inner")
     day = F.date_format("o_orderdate", "yyyyMMdd")
     return joined.select(
