@@ -7,6 +7,7 @@ under the folder is listed, not one page of it.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,8 +51,13 @@ def list_snapshots(spark: SparkSession, bronze_dir: str, subject: str) -> DataFr
 
 def latest_snapshot(spark: SparkSession, bronze_dir: str, subject: str) -> str:
     """Path of the most recently modified snapshot (ties: newest stamp in name)."""
-    snaps = list_snapshots(spark, bronze_dir, subject)
-    best = snaps.orderBy(F.col("modified").desc(), F.col("ts_file_generation").desc()).select("snapshot_path").first()
+    try:
+        snaps = list_snapshots(spark, bronze_dir, subject)
+        best = snaps.orderBy(F.col("modified").desc(), F.col("ts_file_generation").desc()).select("snapshot_path").first()
+    except AnalysisException as exc:  # the folder itself does not exist
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        best = None
     if best is None:
         raise NoSnapshotError(f"no {subject}_<yyyyMMdd>_<yyyyMMddHHmmss>.csv under {bronze_dir}")
     return best["snapshot_path"]
