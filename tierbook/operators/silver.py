@@ -10,15 +10,24 @@ from tierbook.functions import lineage
 from tierbook.schemas import SubjectSpec
 
 
-def lineage_columns(raw: DataFrame, ts_proc: str, path_col: str = "_file_path") -> DataFrame:
-    """Add filename, ref, ts_file_generation (from the snapshot name) and ts_proc."""
-    path = F.col(path_col)
-    return (
-        raw.withColumn("filename", lineage.snapshot_name(path))
-        .withColumn("ref", lineage.snapshot_ref(path))
-        .withColumn("ts_file_generation", lineage.snapshot_ts(path))
-        .withColumn("ts_proc", F.lit(ts_proc))
-    )
+def lineage_columns(
+    raw: DataFrame,
+    ts_proc: str,
+    path_col: str = "_file_path",
+    snapshot_path: str | None = None,
+) -> DataFrame:
+    """Add filename, ref, ts_file_generation (from the snapshot name) and ts_proc.
+
+    With ``snapshot_path`` (a load of one known snapshot) the stamps are
+    parsed once; otherwise each row's file path is parsed.
+    """
+    if snapshot_path is not None:
+        name, _, ref, tsf = lineage.parse_snapshot_name(snapshot_path)
+        cols = {"filename": F.lit(name), "ref": F.lit(ref), "ts_file_generation": F.lit(tsf)}
+        return raw.withColumns({**cols, "ts_proc": F.lit(ts_proc)})
+    named = raw.withColumn("filename", lineage.snapshot_name_of_file(F.col(path_col)))
+    _, ref, tsf = lineage.name_parts(F.col("filename"))
+    return named.withColumns({"ref": ref, "ts_file_generation": tsf, "ts_proc": F.lit(ts_proc)})
 
 
 def typed_projection(df: DataFrame, spec: SubjectSpec) -> DataFrame:
@@ -34,5 +43,11 @@ def typed_projection(df: DataFrame, spec: SubjectSpec) -> DataFrame:
     return df.select(*cols)
 
 
-def to_silver(raw: DataFrame, spec: SubjectSpec, ts_proc: str, path_col: str = "_file_path") -> DataFrame:
-    return typed_projection(lineage_columns(raw, ts_proc, path_col), spec)
+def to_silver(
+    raw: DataFrame,
+    spec: SubjectSpec,
+    ts_proc: str,
+    path_col: str = "_file_path",
+    snapshot_path: str | None = None,
+) -> DataFrame:
+    return typed_projection(lineage_columns(raw, ts_proc, path_col, snapshot_path), spec)

@@ -6,20 +6,18 @@ same job through an ``Observation`` (no second pass over the data).
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierbook.functions.lineage import parse_snapshot_name
 from tierbook.operators.control import control_row
 from tierbook.operators.silver import to_silver
 from tierbook.schemas import SubjectSpec
 from tierbook.sinks.writers import write_control, write_silver
 from tierbook.sources.files import latest_snapshot, read_bronze
 
-_NAME = re.compile(r"([^/]+)_(\d{8})_(\d{14})\.csv/?$")
-
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -42,11 +40,8 @@ def load_subject(
 ) -> LoadResult:
     """Load the newest (or the given) bronze snapshot of ``spec`` into silver."""
     path = snapshot_path or latest_snapshot(spark, f"{bronze_dir.rstrip('/')}/{spec.name}", spec.name)
-    m = _NAME.search(path)
-    if m is None:
-        raise ValueError(f"not a snapshot path: {path}")
-    _, ref, tsf = m.groups()
-    silver = to_silver(read_bronze(spark, path), spec, ts_proc)
+    _, _, ref, tsf = parse_snapshot_name(path)
+    silver = to_silver(read_bronze(spark, path, with_lineage=False), spec, ts_proc, snapshot_path=path)
     obs = Observation(f"silver_{spec.name}_{ts_proc}")
     write_silver(silver.observe(obs, F.count(F.lit(1)).alias("rows")), silver_dir)
     rows = int(obs.get.get("rows", 0))
