@@ -231,6 +231,7 @@ def oracle_sql() -> dict[str, str]:
             "silver_latest_batch": _product_rows("20010731", "20010731000000", "20010731110000"),
             "gold_roundtrip": book,
             "gold_from_silver": _book_sql(sales=SALES_SILVER),
+            "gold_job": _book_sql(sales=SALES_SILVER),
             "stream_silver": _product_rows("20010730", "20010730000000", "20010801030000")
             + " UNION ALL "
             + _product_rows("20010731", "20010731000000", "20010801030000"),

@@ -115,3 +115,37 @@ def test_readiness_gate(spark):
     assert all(r.ready for r in state.values())
     missing = readiness(spark, control.where("assunto <> 'users'"), subjects, None).collect()
     assert {r.assunto: r.received for r in missing}["users"] is False
+
+
+def test_quality_checks(spark):
+    from tierbook.operators.enrich import category_enrichment
+    from tierbook.operators.quality import DuplicateKeys, SchemaMismatch, assert_schema
+
+    sales = spark.createDataFrame([("t1", "p2")], "transaction_id string, product_id string")
+    products = spark.createDataFrame([("p2", "Livros"), ("p2", "Livros")], "product_id string, product_category string")
+    assert category_enrichment(sales, products).count() == 2  # fan-out kept by default
+    with pytest.raises(DuplicateKeys):
+        category_enrichment(sales, products, validate_unique=True)
+    with pytest.raises(SchemaMismatch):
+        assert_schema(sales, T.StructType([T.StructField("transaction_id", T.StringType())]))
+
+
+def test_gold_job_and_last_stamp(spark, lake):
+    from tierbook.operators.book import REFERENCE_SPEC
+    from tierbook.plans.gold import gold_job, last_book_stamp
+
+    assert last_book_stamp(spark, lake.gold) is None
+    snapshot_to_bronze(_products(spark), lake.bronze, "products", "20240930", "20240930120000")
+    sales = spark.createDataFrame(
+        [("t1", "u1", "1", "2024-09-01", "9.50", "PIX")], ",".join(f"{c} string" for c in SALES.columns.fieldNames())
+    )
+    snapshot_to_bronze(sales, lake.bronze, "sales", "20240930", "20240930130000")
+    for spec in (PRODUCTS, SALES):
+        load_subject(spark, spec, lake.bronze, lake.silver_of(spec.name), lake.control_of(spec.name), "20241001080000")
+    gold_job(spark, lake.silver_of("sales"), lake.silver_of("products"), lake.control_of("products"), lake.gold,
+             REFERENCE_SPEC, "2024-09-30", "20241001090000")
+    from tierbook.sources.lake import read_gold
+
+    book = read_gold(spark, lake.gold, REFERENCE_SPEC).collect()
+    assert len(book) == 1 and book[0].qtd_pcat_livros == 1 and book[0].qtd_pm_pix_u1m == 1
+    assert last_book_stamp(spark, lake.gold) == "20241001090000"

@@ -71,3 +71,57 @@ def build_book(
     else:
         enriched = salted_left_join(sales, categories, product_key, hot_fraction, salt_buckets)
     return feature_book(enriched, spec, as_of, ref, ts_proc, user, amount, date_col, method)
+
+
+def latest_load_rows(control: DataFrame, subject: str, order: Sequence[str] = FILE_FIRST) -> int | None:
+    """Rows of the subject's latest batch as recorded by its control rows
+    (a proven size, so the broadcast decision needs no extra scan)."""
+    rows = latest_batch(control.where(F.col("assunto") == F.lit(subject)), order)
+    total = rows.agg(F.sum("qtd_registros")).first()[0]
+    return None if total is None else int(total)
+
+
+def gold_job(
+    spark,
+    sales_silver: str,
+    products_silver: str,
+    products_control: str,
+    gold_dir: str,
+    spec: BookSpec,
+    as_of,
+    ts_proc: str,
+    **book_options,
+) -> str:
+    """Read silver, build the book and write it to gold (partitioned by
+    ref/ts_proc, dynamic overwrite, so a rerun of the same stamp replaces
+    its own partition). Returns ``gold_dir``."""
+    from tierbook.functions.dates import ref_stamp
+    from tierbook.schemas import PRODUCTS, SALES
+    from tierbook.sinks.writers import write_gold
+    from tierbook.sources.lake import read_control, read_silver
+
+    products_rows = latest_load_rows(read_control(spark, products_control), PRODUCTS.name)
+    book = build_book(
+        read_silver(spark, sales_silver, SALES),
+        read_silver(spark, products_silver, PRODUCTS),
+        spec,
+        as_of,
+        ref_stamp(as_of),
+        ts_proc,
+        products_rows=products_rows,
+        **book_options,
+    )
+    write_gold(book, gold_dir)
+    return gold_dir
+
+
+def last_book_stamp(spark, gold_dir: str) -> str | None:
+    """Newest ``ts_proc`` in the gold folder (partition values only)."""
+    try:
+        df = spark.read.parquet(gold_dir)
+    except Exception as exc:  # no book written yet
+        if "PATH_NOT_FOUND" in str(exc):
+            return None
+        raise
+    value = df.select(F.max(F.col("ts_proc").cast("string"))).first()[0]
+    return value

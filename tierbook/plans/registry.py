@@ -275,6 +275,24 @@ def q_gold_from_silver(spark, sf_dir):
     )
 
 
+def q_gold_job(spark, sf_dir):
+    # The published job end to end: loads, then the gold job reads silver and
+    # takes the product row count for its broadcast decision from control.
+    from pyspark.sql import types as T
+
+    from tierbook.plans.gold import gold_job
+
+    lake = Lake(spark, "gold-job")
+    _load(spark, lake, PRODUCTS, _products_source(spark, sf_dir), td.PRODUCTS_REF, td.PRODUCTS_TSF, td.PRODUCTS_TS_PROC)
+    _load(spark, lake, SALES, _sales_source(spark, sf_dir), SALES_REF, SALES_TSF, SALES_TS_PROC)
+    spec = td.testdata_spec()
+    gold_job(
+        spark, lake.silver_of("sales"), lake.silver_of("products"), lake.control_of("products"),
+        lake.gold, spec, td.AS_OF, td.BOOK_TS_PROC,
+    )
+    return read_gold(spark, lake.gold, spec, T.StringType())
+
+
 def q_stream_silver(spark, sf_dir):
     lake = Lake(spark, "stream")
     src = _products_source(spark, sf_dir)
@@ -319,5 +337,6 @@ QUERIES: dict[str, Query] = {
     "silver_latest_batch": q_silver_latest_batch,
     "gold_roundtrip": q_gold_roundtrip,
     "gold_from_silver": q_gold_from_silver,
+    "gold_job": q_gold_job,
     "stream_silver": q_stream_silver,
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tierbook.functions.lineage import parse_snapshot_name
 from tierbook.operators.control import control_row
+from tierbook.operators.quality import assert_schema
 from tierbook.operators.silver import to_silver
 from tierbook.schemas import SubjectSpec
 from tierbook.sinks.writers import write_control, write_silver
@@ -42,6 +43,7 @@ def load_subject(
     path = snapshot_path or latest_snapshot(spark, f"{bronze_dir.rstrip('/')}/{spec.name}", spec.name)
     _, _, ref, tsf = parse_snapshot_name(path)
     silver = to_silver(read_bronze(spark, path, with_lineage=False), spec, ts_proc, snapshot_path=path)
+    assert_schema(silver, spec.silver_schema)
     obs = Observation(f"silver_{spec.name}_{ts_proc}")
     write_silver(silver.observe(obs, F.count(F.lit(1)).alias("rows")), silver_dir)
     rows = int(obs.get.get("rows", 0))
