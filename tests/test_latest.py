@@ -35,6 +35,15 @@ def test_pruned_equals_concatenated_key(spark):
         assert _ids(latest.latest_batch(df, order)) == _ids(latest.latest_batch_by_key(df, order))
 
 
+def test_newest_stamp_without_complete_key_falls_back(spark):
+    # n1 has the newest ts_proc but no file stamp: the concatenated key of
+    # that batch is NULL, so the newest complete batch (a1, a2) wins.
+    rows = ROWS + [("n2", "20240930", None, "20241003000000")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert _ids(latest.latest_batch(df, latest.PROC_FIRST)) == ["a1", "a2"]
+    assert _ids(latest.latest_batch_by_key(df, latest.PROC_FIRST)) == ["a1", "a2"]
+
+
 def test_histogram(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     hist = {r["dedup_key"]: r["n_rows"] for r in latest.batch_histogram(df).collect()}
@@ -49,10 +58,10 @@ def test_latest_batch_prunes_silver_partitions(spark, lake):
     out = latest.latest_batch(silver, latest.PROC_FIRST)
     assert [r["product_id"] for r in out.collect()] == ["p2"]
     plan = plan_text(out)
-    # Older ts_proc partitions are never listed for reading; the file stamp
-    # test is pushed into the parquet reader.
-    assert any("PartitionFilters:" in l and "ts_proc" in l and "Subquery" in l for l in plan.splitlines())
-    assert "EqualTo(ts_file_generation,ScalarSubquery" in plan
+    # Older ts_proc partitions are pruned statically; the file stamp test is
+    # pushed into the parquet reader.
+    assert any("PartitionFilters:" in l and "(ts_proc#" in l and "= 20241001120000)" in l for l in plan.splitlines())
+    assert "EqualTo(ts_file_generation,20240930000000)" in plan
 
 
 def test_lookback_prunes_ref_partitions(spark, lake):

@@ -5,12 +5,16 @@ A batch is the set of rows sharing one tuple of stamps, e.g.
 kept; rows are never compared with each other. All refs of the winning batch
 are kept.
 
-``latest_batch`` filters one stamp at a time against a scalar subquery. When
-the first stamp is a partition column (``ts_proc`` in silver) the parquet
-scan gets ``PartitionFilters: [ts_proc = subquery]`` and the max itself is
-computed from partition values only, so older batches are never read. With
-fixed-width digit stamps the tuple maximum equals the maximum of the
-concatenated key, which is what ``latest_batch_by_key`` computes directly.
+``latest_batch`` resolves the stamps one at a time: the newest first stamp
+is a max over that column alone (for a partition column such as silver's
+``ts_proc`` that reads partition values only, no data), the next stamp's max
+is read only inside the partitions already chosen, and the result is a
+filter on literals, so the parquet scan gets static
+``PartitionFilters: [ts_proc = ...]`` and never opens older batches. With
+fixed-width digit stamps this tuple maximum equals the maximum of the
+concatenated key (what ``latest_batch_by_key`` computes directly, with full
+scans); if the newest first stamp only has rows whose next stamp is NULL,
+the concatenated-key form is used, so the result is the same in every case.
 """
 
 from __future__ import annotations
@@ -35,12 +39,17 @@ def batch_histogram(df: DataFrame, order: Sequence[str] = PROC_FIRST) -> DataFra
 
 
 def latest_batch(df: DataFrame, order: Sequence[str] = PROC_FIRST) -> DataFrame:
-    """Rows of the greatest batch, pruning by one stamp at a time."""
+    """Rows of the greatest batch, pruning by one stamp at a time.
+
+    Runs one small job per stamp (a max over an already pruned input) and
+    returns the input filtered by the winning stamps.
+    """
     out = df
     for c in order:
-        out = out.where(F.col(c).isNotNull())
-    for c in order:
-        out = out.where(F.col(c) == out.select(F.max(c)).scalar())
+        newest = out.where(F.col(c).isNotNull()).agg(F.max(c)).first()[0]
+        if newest is None:  # no complete key below the stamps chosen so far
+            return latest_batch_by_key(df, order)
+        out = out.where(F.col(c) == F.lit(newest))
     return out
 
 
