@@ -1,8 +1,9 @@
 """Enrichment joins with a checked broadcast and a skew-safe fallback.
 
-A dimension side is broadcast only after its row count has been bounded
+A dimension side is broadcast only after its row count has been checked
 (either passed in from a proven source such as the control table, or
-measured with ``limit(max_rows + 1).count()``). Beyond the bound the join is
+measured with ``count()``: one partial count per task and a one-row merge,
+cheaper at scale than a limit, which funnels rows through one partition). Beyond the bound the join is
 a shuffle join whose hot keys are salted: keys holding at least
 ``hot_fraction`` of the fact rows are found exactly with a map-side combined
 count (there can be at most ``1 / hot_fraction`` of them, so that key set is
@@ -26,13 +27,9 @@ SALT = "_salt"
 HOT = "_hot"
 
 
-def bounded_count(df: DataFrame, max_rows: int) -> int:
-    """Exact row count if ``<= max_rows``, otherwise ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count()
-
-
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None) -> bool:
-    rows = known_rows if known_rows is not None else bounded_count(df, max_rows)
+    """True when the side has at most ``max_rows`` rows (counted unless known)."""
+    rows = known_rows if known_rows is not None else df.count()
     return rows <= max_rows
 
 
