@@ -149,3 +149,33 @@ def test_gold_job_and_last_stamp(spark, lake):
     book = read_gold(spark, lake.gold, REFERENCE_SPEC).collect()
     assert len(book) == 1 and book[0].qtd_pcat_livros == 1 and book[0].qtd_pm_pix_u1m == 1
     assert last_book_stamp(spark, lake.gold) == "20241001090000"
+
+
+def test_book_follows_the_newest_batch_and_reruns_are_idempotent(spark, lake):
+    from tierbook.operators.book import REFERENCE_SPEC
+    from tierbook.plans.gold import gold_job
+    from tierbook.sources.lake import read_gold
+
+    cols = ",".join(f"{c} string" for c in SALES.columns.fieldNames())
+    snapshot_to_bronze(_products(spark), lake.bronze, "products", "20240930", "20240930120000")
+    load_subject(spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), "20241001080000")
+
+    first = spark.createDataFrame([("t1", "u1", "1", "2024-09-01", "9.50", "PIX")], cols)
+    snapshot_to_bronze(first, lake.bronze, "sales", "20240930", "20240930130000")
+    load_subject(spark, SALES, lake.bronze, lake.silver_of("sales"), lake.control_of("sales"), "20241001080000")
+    args = (lake.silver_of("sales"), lake.silver_of("products"), lake.control_of("products"), lake.gold, REFERENCE_SPEC)
+    gold_job(spark, *args, "2024-09-30", "20241001090000")
+
+    second = spark.createDataFrame(
+        [("t2", "u1", "1", "2024-09-20", "5.00", "Boleto"), ("t3", "u2", "3", "2024-09-20", "1.00", "PIX")], cols
+    )
+    snapshot_to_bronze(second, lake.bronze, "sales", "20241001", "20241001130000")
+    load_subject(spark, SALES, lake.bronze, lake.silver_of("sales"), lake.control_of("sales"), "20241002080000")
+    for _ in range(2):  # same stamp twice: the partition is replaced, not duplicated
+        gold_job(spark, *args, "2024-10-01", "20241002090000")
+
+    gold = read_gold(spark, lake.gold, REFERENCE_SPEC)
+    assert gold.where("ts_proc = '20241001090000'").count() == 1
+    latest = {r.user_id: r for r in gold.where("ts_proc = '20241002090000'").collect()}
+    assert set(latest) == {"u1", "u2"}
+    assert latest["u1"].qtd_pm_boleto == 1 and latest["u1"].qtd_pm_pix is None  # only the newest sales batch
