@@ -327,16 +327,12 @@ def prepare_stage_input(
     user: str = "user_id",
     amount: str = "amount",
     date_col: str = "ref",
-    extra_keys: tuple[str, ...] = (),
-    dimensions: tuple[Dimension, ...] | None = None,
 ) -> DataFrame:
     """Narrow projection: user, dimension keys, age bucket, measure."""
-    dims = spec.dimensions if dimensions is None else dimensions
     bucket = age_bucket(month_age(as_of, date_col), spec.boundaries())
     return df.select(
         F.col(user),
-        *(F.col(k) for k in extra_keys),
-        *(_dimension_key(d).alias(d.key) for d in dims),
+        *(_dimension_key(d).alias(d.key) for d in spec.dimensions),
         bucket.alias(BUCKET),
         F.col(amount),
     )

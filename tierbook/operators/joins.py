@@ -92,8 +92,3 @@ def left_join_dimension(
     if fits_broadcast(dim, max_broadcast_rows, dim_rows):
         return fact.join(F.broadcast(dim), key, "left")
     return salted_left_join(fact, dim, key, hot_fraction, salt_buckets)
-
-
-def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
-    """Keys present more than once (each would multiply matching fact rows)."""
-    return dim.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)

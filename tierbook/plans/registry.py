@@ -32,19 +32,6 @@ from tierbook.streaming.silver_stream import run_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SALES_COLUMNS = (
-    "transaction_id",
-    "user_id",
-    "product_id",
-    "dat_creation",
-    "amount",
-    "payment_method",
-    "ref",
-    "ts_file_generation",
-    "ts_proc",
-)
-
-
 def _money(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in cols})
 
@@ -72,7 +59,7 @@ def q_feature_book_one_stage(spark, sf_dir):
 
 
 def q_feature_book_shuffle_join(spark, sf_dir):
-    # Force the above-the-broadcast-bound path: pre-aggregate, salted join.
+    # Force the above-the-broadcast-bound path: shuffle join with salted hot keys.
     return _book(spark, sf_dir, max_broadcast_rows=0)
 
 
