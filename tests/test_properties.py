@@ -1,6 +1,5 @@
 """Property checks of the book on generated rows."""
 
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

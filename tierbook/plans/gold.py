@@ -125,3 +125,38 @@ def last_book_stamp(spark, gold_dir: str) -> str | None:
         raise
     value = df.select(F.max(F.col("ts_proc").cast("string"))).first()[0]
     return value
+
+
+def gold_when_ready(
+    spark,
+    silver_root: str,
+    control_root: str,
+    gold_dir: str,
+    spec: BookSpec,
+    as_of,
+    ts_proc: str,
+    subjects: Sequence[str] = ("users", "products", "sales"),
+    **book_options,
+) -> bool:
+    """Run the gold job only when every subject has a load newer than the
+    last book (the readiness gate); returns whether it ran. The gate resets
+    by itself: the new book's stamp becomes the bar for the next run."""
+    from tierbook.operators.control import readiness
+    from tierbook.sources.lake import read_control
+
+    control = read_control(spark, *(f"{control_root}/{s}" for s in subjects))
+    state = readiness(spark, control, subjects, last_book_stamp(spark, gold_dir))
+    if not state.agg(F.bool_and("received")).first()[0]:
+        return False
+    gold_job(
+        spark,
+        f"{silver_root}/sales",
+        f"{silver_root}/products",
+        f"{control_root}/products",
+        gold_dir,
+        spec,
+        as_of,
+        ts_proc,
+        **book_options,
+    )
+    return True
