@@ -179,3 +179,15 @@ def test_book_follows_the_newest_batch_and_reruns_are_idempotent(spark, lake):
     latest = {r.user_id: r for r in gold.where("ts_proc = '20241002090000'").collect()}
     assert set(latest) == {"u1", "u2"}
     assert latest["u1"].qtd_pm_boleto == 1 and latest["u1"].qtd_pm_pix is None  # only the newest sales batch
+
+
+def test_bronze_files_are_capped_for_parallel_reads(spark, lake):
+    import glob
+
+    from tierbook.sinks.writers import write_bronze_snapshot
+
+    src = spark.range(10).selectExpr("cast(id as string) as product_id", "'d' as product_des", "'c' as product_category").coalesce(1)
+    path = write_bronze_snapshot(src, lake.bronze, "products", "20240930", "20240930120000", max_records_per_file=3)
+    local = path.replace("file:", "")
+    assert len(glob.glob(f"{local}/part-*.csv")) == 4
+    assert read_bronze(spark, path).count() == 10

@@ -20,11 +20,29 @@ def bronze_snapshot_path(bronze_dir: str, subject: str, ref: str, ts_file_genera
     return f"{bronze_dir.rstrip('/')}/{subject}/{snapshot_file_name(subject, ref, ts_file_generation)}"
 
 
-def write_bronze_snapshot(df: DataFrame, bronze_dir: str, subject: str, ref: str, ts_file_generation: str) -> str:
+# Bronze CSV is read with multiLine (fields may hold newlines), which makes
+# every file a single split; capping rows per file keeps the silver load
+# parallel however few tasks wrote the snapshot (~1 GB at 200 B/row).
+BRONZE_MAX_RECORDS_PER_FILE = 5_000_000
+
+
+def write_bronze_snapshot(
+    df: DataFrame,
+    bronze_dir: str,
+    subject: str,
+    ref: str,
+    ts_file_generation: str,
+    max_records_per_file: int = BRONZE_MAX_RECORDS_PER_FILE,
+) -> str:
     """Raw snapshot as CSV text (header, RFC-4180 quoting); never overwrites."""
     path = bronze_snapshot_path(bronze_dir, subject, ref, ts_file_generation)
     as_text = df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
-    as_text.write.options(**CSV_OPTIONS).mode("errorifexists").csv(path)
+    (
+        as_text.write.options(**CSV_OPTIONS)
+        .option("maxRecordsPerFile", str(max_records_per_file))
+        .mode("errorifexists")
+        .csv(path)
+    )
     return path
 
 

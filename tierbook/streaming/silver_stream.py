@@ -43,16 +43,16 @@ def start_silver_stream(
     checkpoint_dir: str,
     base_ts_proc: str,
     available_now: bool = True,
-    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
+    """Start the stream. Every file that is new at a trigger goes into one
+    micro-batch, so the part files of one snapshot always share a
+    ``ts_proc`` (a per-trigger file cap could split a snapshot)."""
     source = f"{bronze_dir.rstrip('/')}/{spec.name}/{spec.name}_*_*.csv"
     reader = (
         spark.readStream.schema(spec.raw_schema)
         .options(**CSV_OPTIONS)
         .option("enforceSchema", "false")  # header names must match the subject
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.csv(source).withColumn("_file_path", F.col("_metadata.file_path"))
 
     def load(batch: DataFrame, batch_id: int) -> None:
