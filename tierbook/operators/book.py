@@ -24,12 +24,13 @@ Two physical plans give identical results:
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierbook.functions.dates import month_age, recency_flag
+from tierbook.functions.dates import as_date, month_age, recency_flag
 
 STATS = ("qtd", "sum", "avg", "min", "max")
 
@@ -178,6 +179,52 @@ def age_bucket(age: Column, boundaries: list[int]) -> Column:
     return expr
 
 
+# Days on each side of the book date covered by the bucket lookup.
+LOOKUP_SPAN_DAYS = 731
+_REF, _FOUND, _LOOKED_UP = "_ref_text", "_ref_found", "_ref_bucket"
+
+
+def bucket_lookup(spark, as_of, boundaries: list[int], span_days: int = LOOKUP_SPAN_DAYS) -> tuple[DataFrame, str]:
+    """Every calendar day within ``span_days`` of ``as_of`` as ``yyyyMMdd``
+    text with its exact bucket (the same Spark expression the per-row path
+    uses), and the first day covered. Its size is fixed by the span
+    (2 * span + 1 rows), never by the data, so it is safe to broadcast."""
+    center = as_date(as_of)
+    start = center - dt.timedelta(days=span_days)
+    days = spark.range(2 * span_days + 1).select(
+        F.date_format(F.date_add(F.lit(start), F.col("id").cast("int")), "yyyyMMdd").alias(_REF)
+    )
+    table = days.select(
+        _REF,
+        age_bucket(month_age(center, F.col(_REF)), boundaries).alias(_LOOKED_UP),
+        F.lit(True).alias(_FOUND),
+    )
+    return table, start.strftime("%Y%m%d")
+
+
+def with_age_bucket(df: DataFrame, as_of, boundaries: list[int], date_col: str = "ref") -> DataFrame:
+    """Add ``_bucket`` = ``age_bucket(month_age(as_of, date_col))``, evaluated
+    once per calendar day instead of once per row.
+
+    Refs within the lookup's span are resolved by a broadcast hash join. An
+    8-character ref sorting before the span is older than every window (or
+    not a date): NULL, as the exact expression gives, since any text the
+    ``yyyyMMdd`` parser accepts in 8 characters is 8 digits. Anything else
+    (far-future dates, odd text) takes the exact expression.
+    """
+    table, first_day = bucket_lookup(df.sparkSession, as_of, boundaries)
+    ref = F.col(_REF)
+    exact = age_bucket(month_age(as_of, ref), boundaries)
+    keyed = df.withColumn(_REF, F.col(date_col).cast("string"))
+    joined = keyed.join(F.broadcast(table), _REF, "left")
+    bucket = (
+        F.when(F.col(_FOUND), F.col(_LOOKED_UP))
+        .when((F.length(ref) == F.lit(8)) & (ref < F.lit(first_day)), F.lit(None).cast("int"))
+        .otherwise(exact)
+    )
+    return joined.withColumn(BUCKET, bucket).drop(_REF, _FOUND, _LOOKED_UP)
+
+
 def to_partials(df: DataFrame, amount: str) -> DataFrame:
     """Express raw rows as partial aggregates of one row each."""
     a = F.col(amount)
@@ -329,11 +376,12 @@ def prepare_stage_input(
     date_col: str = "ref",
 ) -> DataFrame:
     """Narrow projection: user, dimension keys, age bucket, measure."""
-    bucket = age_bucket(month_age(as_of, date_col), spec.boundaries())
-    return df.select(
+    dims = [d.column for d in spec.dimensions]
+    narrow = df.select(user, amount, date_col, *dims)
+    return with_age_bucket(narrow, as_of, spec.boundaries(), date_col).select(
         F.col(user),
         *(_dimension_key(d).alias(d.key) for d in spec.dimensions),
-        bucket.alias(BUCKET),
+        F.col(BUCKET),
         F.col(amount),
     )
 
