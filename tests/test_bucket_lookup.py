@@ -27,3 +27,18 @@ def test_lookup_matches_exact(spark, as_of):
     got = {r.ref: r.fast for r in fast.collect()}
     want = {r.ref: r.exact for r in exact.collect()}
     assert got == want
+
+
+def test_month_flags_match_exact_flags(spark):
+    from tierbook.functions.dates import recency_flag
+    from tierbook.operators.book import month_flags
+
+    as_of = dt.date(2024, 9, 30)
+    df = spark.createDataFrame([(r,) for r in _refs(as_of)], "ref string")
+    got = {r.ref: tuple(r[1:]) for r in month_flags(df, as_of).collect()}
+    age = month_age(as_of, "ref")
+    want = {
+        r.ref: tuple(r[1:])
+        for r in df.select("ref", *(recency_flag(age, k).alias(f"flag_u{k}m") for k in (1, 3, 6, 12))).collect()
+    }
+    assert got == want

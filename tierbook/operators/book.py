@@ -163,12 +163,16 @@ def month_flags(
     windows: tuple[int, ...] = WINDOWS,
     date_col: str = "ref",
 ) -> DataFrame:
-    """Add ``flag_u{k}m`` (int 0/1) columns; the age is computed once."""
-    age = month_age(as_of, date_col)
-    out = df.withColumn(AGE, age)
+    """Add ``flag_u{k}m`` (int 0/1): 1 when the whole-month age is <= k.
+
+    ``age <= k`` equals ``bucket <= k`` for every window k, so the age is
+    resolved through the per-day lookup (``with_age_bucket``), not per row.
+    """
+    bucketed = with_age_bucket(df, as_of, sorted(windows), date_col)
+    out = bucketed
     for k in windows:
-        out = out.withColumn(f"flag_u{k}m", recency_flag(F.col(AGE), k))
-    return out.drop(AGE)
+        out = out.withColumn(f"flag_u{k}m", recency_flag(F.col(BUCKET), k))
+    return out.drop(BUCKET)
 
 
 def age_bucket(age: Column, boundaries: list[int]) -> Column:
