@@ -24,6 +24,7 @@ from tierbook.operators.silver import to_silver
 from tierbook.schemas import SubjectSpec
 from tierbook.sinks.writers import write_control, write_silver
 from tierbook.sources.files import CSV_OPTIONS
+from tierbook.sources.lake import read_silver
 
 STAMP = "%Y%m%d%H%M%S"
 
@@ -56,10 +57,15 @@ def start_silver_stream(
     raw = reader.csv(source).withColumn("_file_path", F.col("_metadata.file_path"))
 
     def load(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():  # header-only snapshots: nothing to write or count
+            return
         ts_proc = batch_ts_proc(base_ts_proc, batch_id)
         silver = to_silver(batch, spec, ts_proc)
         write_silver(silver, silver_dir)
-        write_control(control_rows(silver, spec.name), control_dir)
+        # Control rows from what was written: only this batch's ts_proc
+        # partitions and one small column are read, not the CSV again.
+        written = read_silver(batch.sparkSession, silver_dir, spec).where(F.col("ts_proc") == F.lit(ts_proc))
+        write_control(control_rows(written, spec.name), control_dir)
 
     writer = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
