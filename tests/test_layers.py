@@ -142,7 +142,7 @@ def test_gold_job_and_last_stamp(spark, lake):
     snapshot_to_bronze(sales, lake.bronze, "sales", "20240930", "20240930130000")
     for spec in (PRODUCTS, SALES):
         load_subject(spark, spec, lake.bronze, lake.silver_of(spec.name), lake.control_of(spec.name), "20241001080000")
-    gold_job(spark, lake.silver_of("sales"), lake.silver_of("products"), lake.control_of("products"), lake.gold,
+    gold_job(spark, lake.silver_of("sales"), lake.silver_of("products"), lake.gold,
              REFERENCE_SPEC, "2024-09-30", "20241001090000")
     from tierbook.sources.lake import read_gold
 
@@ -163,7 +163,7 @@ def test_book_follows_the_newest_batch_and_reruns_are_idempotent(spark, lake):
     first = spark.createDataFrame([("t1", "u1", "1", "2024-09-01", "9.50", "PIX")], cols)
     snapshot_to_bronze(first, lake.bronze, "sales", "20240930", "20240930130000")
     load_subject(spark, SALES, lake.bronze, lake.silver_of("sales"), lake.control_of("sales"), "20241001080000")
-    args = (lake.silver_of("sales"), lake.silver_of("products"), lake.control_of("products"), lake.gold, REFERENCE_SPEC)
+    args = (lake.silver_of("sales"), lake.silver_of("products"), lake.gold, REFERENCE_SPEC)
     gold_job(spark, *args, "2024-09-30", "20241001090000")
 
     second = spark.createDataFrame(

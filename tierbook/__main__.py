@@ -118,7 +118,7 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps({"ran": ran}))
         else:
             gold_job(
-                spark, f"{paths['silver']}/sales", f"{paths['silver']}/products", f"{paths['control']}/products",
+                spark, f"{paths['silver']}/sales", f"{paths['silver']}/products",
                 paths["gold"], spec, args.as_of, args.ts_proc, **options,
             )
     elif args.job == "ready":

@@ -73,19 +73,10 @@ def build_book(
     return feature_book(enriched, spec, as_of, ref, ts_proc, user, amount, date_col, method)
 
 
-def latest_load_rows(control: DataFrame, subject: str, order: Sequence[str] = FILE_FIRST) -> int | None:
-    """Rows of the subject's latest batch as recorded by its control rows
-    (a proven size, so the broadcast decision needs no extra scan)."""
-    rows = latest_batch(control.where(F.col("assunto") == F.lit(subject)), order)
-    total = rows.agg(F.sum("qtd_registros")).first()[0]
-    return None if total is None else int(total)
-
-
 def gold_job(
     spark,
     sales_silver: str,
     products_silver: str,
-    products_control: str,
     gold_dir: str,
     spec: BookSpec,
     as_of,
@@ -94,13 +85,17 @@ def gold_job(
 ) -> str:
     """Read silver, build the book and write it to gold (partitioned by
     ref/ts_proc, dynamic overwrite, so a rerun of the same stamp replaces
-    its own partition). Returns ``gold_dir``."""
+    its own partition). Returns ``gold_dir``.
+
+    The broadcast decision counts the chosen product batch itself (one
+    pruned partition); control rows could describe a different batch when a
+    load was empty or its control write lagged.
+    """
     from tierbook.functions.dates import ref_stamp
     from tierbook.schemas import PRODUCTS, SALES
     from tierbook.sinks.writers import write_gold
-    from tierbook.sources.lake import read_control, read_silver
+    from tierbook.sources.lake import read_silver
 
-    products_rows = latest_load_rows(read_control(spark, products_control), PRODUCTS.name)
     book = build_book(
         read_silver(spark, sales_silver, SALES),
         read_silver(spark, products_silver, PRODUCTS),
@@ -108,7 +103,6 @@ def gold_job(
         as_of,
         ref_stamp(as_of),
         ts_proc,
-        products_rows=products_rows,
         **book_options,
     )
     write_gold(book, gold_dir)
@@ -152,7 +146,6 @@ def gold_when_ready(
         spark,
         f"{silver_root}/sales",
         f"{silver_root}/products",
-        f"{control_root}/products",
         gold_dir,
         spec,
         as_of,

@@ -263,8 +263,8 @@ def q_gold_from_silver(spark, sf_dir):
 
 
 def q_gold_job(spark, sf_dir):
-    # The published job end to end: loads, then the gold job reads silver and
-    # takes the product row count for its broadcast decision from control.
+    # The published job end to end: loads, then the gold job reads silver,
+    # picks both latest batches and writes the book.
     from pyspark.sql import types as T
 
     from tierbook.plans.gold import gold_job
@@ -274,8 +274,7 @@ def q_gold_job(spark, sf_dir):
     _load(spark, lake, SALES, _sales_source(spark, sf_dir), SALES_REF, SALES_TSF, SALES_TS_PROC)
     spec = td.testdata_spec()
     gold_job(
-        spark, lake.silver_of("sales"), lake.silver_of("products"), lake.control_of("products"),
-        lake.gold, spec, td.AS_OF, td.BOOK_TS_PROC,
+        spark, lake.silver_of("sales"), lake.silver_of("products"), lake.gold, spec, td.AS_OF, td.BOOK_TS_PROC,
     )
     return read_gold(spark, lake.gold, spec, T.StringType())
 
