@@ -37,7 +37,6 @@ STATS = ("qtd", "sum", "avg", "min", "max")
 # Partial-aggregate columns (see ``to_partials``).
 N, C, S, MN, MX = "_n", "_c", "_s", "_mn", "_mx"
 PARTIALS = (N, C, S, MN, MX)
-AGE = "_age"
 BUCKET = "_bucket"
 
 
@@ -355,10 +354,16 @@ def feature_book_one_stage(
     amount: str = "amount",
     date_col: str = "ref",
 ) -> DataFrame:
+    """One ``groupBy(user)`` with a conditional aggregate per feature.
+
+    The window tests use the age bucket (``bucket <= k`` iff ``age <= k``
+    for every tested k), resolved once per day like the two-stage plan.
+    """
     dims = [d.column for d in spec.dimensions]
-    base = df.select(user, amount, *dims, month_age(as_of, date_col).alias(AGE))
+    narrow = df.select(user, amount, date_col, *dims)
+    base = with_age_bucket(narrow, as_of, spec.boundaries(), date_col)
     measures = {"qtd": None, "sum": amount, "min": amount, "max": amount, "cnt": ("count", amount)}
-    aggs = _wide_aggregates(spec, lambda d: d.column, AGE, measures)
+    aggs = _wide_aggregates(spec, lambda d: d.column, BUCKET, measures)
     ensure_codegen_width(df, spec)
     return _finish(base.groupBy(user).agg(*aggs), spec, user, ref, ts_proc)
 
