@@ -191,3 +191,17 @@ def test_bronze_files_are_capped_for_parallel_reads(spark, lake):
     local = path.replace("file:", "")
     assert len(glob.glob(f"{local}/part-*.csv")) == 4
     assert read_bronze(spark, path).count() == 10
+
+
+def test_extra_columns_dropped_missing_column_fails(spark, lake):
+    from pyspark.errors import AnalysisException
+
+    extra = spark.createDataFrame([("1", "a", "Livros", "x")], "product_id string, product_des string, product_category string, note string")
+    snapshot_to_bronze(extra, lake.bronze, "products", "20240930", "20240930120000")
+    load_subject(spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), "20241001080000")
+    assert "note" not in read_silver(spark, lake.silver_of("products"), PRODUCTS).columns
+
+    missing = spark.createDataFrame([("1", "a")], "product_id string, product_des string")
+    snapshot_to_bronze(missing, lake.bronze, "products", "20241001", "20241001120000")
+    with pytest.raises(AnalysisException):
+        load_subject(spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), "20241002080000")
