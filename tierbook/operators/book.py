@@ -251,7 +251,7 @@ def combine_partials(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _dimension_key(dim: Dimension) -> Column:
+def dimension_key(dim: Dimension) -> Column:
     """1-based position of the value among the listed ones, NULL otherwise:
     unlisted values collapse into one group and the stage-2 tests become
     integer compares (narrower shuffle rows, cheaper than string equality)."""
@@ -385,11 +385,12 @@ def prepare_stage_input(
     date_col: str = "ref",
 ) -> DataFrame:
     """Narrow projection: user, dimension keys, age bucket, measure."""
-    dims = [d.column for d in spec.dimensions]
+    dims = [d.key if d.key in df.columns else d.column for d in spec.dimensions]
     narrow = df.select(user, amount, date_col, *dims)
     return with_age_bucket(narrow, as_of, spec.boundaries(), date_col).select(
         F.col(user),
-        *(_dimension_key(d).alias(d.key) for d in spec.dimensions),
+        # a key already present (computed on a dimension table) is reused
+        *(F.col(d.key) if d.key in df.columns else dimension_key(d).alias(d.key) for d in spec.dimensions),
         F.col(BUCKET),
         F.col(amount),
     )

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierbook.operators.book import BookSpec, feature_book
+from tierbook.operators.book import BookSpec, dimension_key, feature_book
 from tierbook.operators.joins import (
     DEFAULT_HOT_FRACTION,
     DEFAULT_MAX_BROADCAST_ROWS,
@@ -63,7 +63,12 @@ def build_book(
     # Dimensions whose column comes from the product snapshot.
     from_products = tuple(d for d in spec.dimensions if d.column not in sales.columns)
     dim_cols = sorted({d.column for d in from_products})
-    categories = products.select(product_key, *dim_cols)
+    if method == "two_stage":
+        # The two-stage plan only needs each product's small integer key:
+        # computed once per product on the dimension side, not per sale.
+        categories = products.select(product_key, *(dimension_key(d).alias(d.key) for d in from_products))
+    else:
+        categories = products.select(product_key, *dim_cols)
     sales = sales.drop(*(c for c in dim_cols if c in sales.columns))
 
     if fits_broadcast(categories, max_broadcast_rows, products_rows):
