@@ -205,3 +205,17 @@ def test_extra_columns_dropped_missing_column_fails(spark, lake):
     snapshot_to_bronze(missing, lake.bronze, "products", "20241001", "20241001120000")
     with pytest.raises(AnalysisException):
         load_subject(spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), "20241002080000")
+
+
+def test_readiness_with_a_subject_never_loaded(spark, lake):
+    from tierbook.operators.book import REFERENCE_SPEC
+    from tierbook.plans.gold import gold_when_ready
+
+    snapshot_to_bronze(_products(spark), lake.bronze, "products", "20240930", "20240930120000")
+    load_subject(spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), "20241001080000")
+    control = read_control(spark, lake.control_of("users"), lake.control_of("products"), missing_ok=True)
+    state = {r.assunto: r for r in readiness(spark, control, ("users", "products"), None).collect()}
+    assert state["products"].received and not state["users"].received and not state["users"].ready
+    ran = gold_when_ready(spark, lake.silver, lake.control, lake.gold, REFERENCE_SPEC, "2024-09-30", "20241001090000")
+    assert ran is False
+    assert read_control(spark, lake.control_of("users"), missing_ok=True).count() == 0

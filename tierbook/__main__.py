@@ -127,7 +127,7 @@ def main(argv: list[str] | None = None) -> int:
         from tierbook.sources.lake import read_control
 
         subjects = ("users", "products", "sales")
-        control = read_control(spark, *(f"{paths['control']}/{s}" for s in subjects))
+        control = read_control(spark, *(f"{paths['control']}/{s}" for s in subjects), missing_ok=True)
         for row in readiness(spark, control, subjects, last_book_stamp(spark, paths["gold"])).collect():
             print(json.dumps(row.asDict()))
     if owned:

@@ -143,7 +143,7 @@ def gold_when_ready(
     from tierbook.operators.control import readiness
     from tierbook.sources.lake import read_control
 
-    control = read_control(spark, *(f"{control_root}/{s}" for s in subjects))
+    control = read_control(spark, *(f"{control_root}/{s}" for s in subjects), missing_ok=True)
     state = readiness(spark, control, subjects, last_book_stamp(spark, gold_dir))
     if not state.agg(F.bool_and("received")).first()[0]:
         return False

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -17,10 +18,24 @@ def read_silver(spark: SparkSession, silver_dir: str, spec: SubjectSpec) -> Data
     return df.select(*spec.silver_schema.fieldNames())
 
 
-def read_control(spark: SparkSession, *control_dirs: str) -> DataFrame:
-    """Control rows of one or more subjects (one folder per subject)."""
+def read_control(spark: SparkSession, *control_dirs: str, missing_ok: bool = False) -> DataFrame:
+    """Control rows of one or more subjects (one folder per subject).
+
+    With ``missing_ok`` a subject that was never loaded (no folder yet)
+    contributes no rows instead of failing the read.
+    """
     cols = ("assunto", "ref", "ts_file_generation", "ts_proc", "qtd_registros")
-    parts = [spark.read.schema(CONTROL_SCHEMA).parquet(d).select(*cols) for d in control_dirs]
+    parts = []
+    for d in control_dirs:
+        try:  # the reader checks that the folder exists
+            df = spark.read.schema(CONTROL_SCHEMA).parquet(d).select(*cols)
+        except AnalysisException as exc:
+            if not (missing_ok and "PATH_NOT_FOUND" in str(exc)):
+                raise
+            continue
+        parts.append(df)
+    if not parts:
+        return spark.createDataFrame([], CONTROL_SCHEMA).select(*cols)
     return reduce(DataFrame.unionByName, parts)
 
 
