@@ -73,3 +73,16 @@ def test_plans_agree_under_skew(spark, skewed, products):
     one = feature_book(enriched, spec, td.AS_OF, "r", "t", method="one_stage")
     two = feature_book(enriched, spec, td.AS_OF, "r", "t")
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+
+
+def test_salted_join_plan_shuffles_on_key_and_salt(spark, skewed, products):
+    from conftest import plan_text
+
+    joined = salted_left_join(skewed, products.select("product_id", "product_category"), "product_id", 0.01, 64)
+    plan = plan_text(joined)  # not executed: the static plan, before AQE's runtime choices
+    import re
+
+    assert re.search(r"hashpartitioning\(product_id#\d+L?, _salt#\d+", plan)
+    assert "SortMergeJoin LeftOuter" in plan
+    assert "BroadcastExchange" in plan  # the hot-key set (<= 100 keys)
+    assert "explode(CASE WHEN _hot" in plan  # hot products replicated once per salt
