@@ -125,7 +125,7 @@ def test_literal_mode_reproduces_six_month_test(spark):
 
 @pytest.mark.parametrize(
     "kw",
-    [dict(method="one_stage"), dict(max_broadcast_rows=0), dict(max_broadcast_rows=0, hot_fraction=0.05)],
+    [dict(method="one_stage"), dict(max_broadcast_rows=0), dict(max_broadcast_rows=0, rows_per_task=1)],
     ids=["one_stage", "salted_shuffle_join", "salted_hot_keys"],
 )
 def test_plans_agree(spark, book, kw):

@@ -12,7 +12,7 @@ from tierbook.operators.book import (
     prepare_stage_input,
     to_partials,
 )
-from tierbook.operators.joins import SALT, hot_keys, salted_left_join
+from tierbook.operators.joins import SALT, SALTS, hot_keys, salted_left_join
 from tierbook.sources import testdata as td
 
 HOT_USER, HOT_PRODUCT = -1, -7
@@ -38,11 +38,14 @@ def products(spark):
 
 def test_hot_product_is_found_and_spread(spark, skewed, products):
     total = skewed.count()
-    hot_share = skewed.where(F.col("product_id") == HOT_PRODUCT).count() / total
-    assert hot_share > 0.25
-    found = [r.product_id for r in hot_keys(skewed, "product_id", 0.01).collect()]
-    assert HOT_PRODUCT in found and len(found) <= 100
-    joined = salted_left_join(skewed, products.select("product_id", "product_category"), "product_id", 0.01, 64)
+    hot_rows = skewed.where(F.col("product_id") == HOT_PRODUCT).count()
+    assert hot_rows / total > 0.25
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per_task = -(-total // partitions)
+    found = {r.product_id: r[SALTS] for r in hot_keys(skewed, "product_id").collect()}
+    assert HOT_PRODUCT in found and len(found) < partitions
+    assert found[HOT_PRODUCT] == -(-hot_rows // per_task)
+    joined = salted_left_join(skewed, products.select("product_id", "product_category"), "product_id")
     plain = skewed.join(F.broadcast(products.select("product_id", "product_category")), "product_id", "left")
     assert joined.count() == plain.count() == total
     assert sorted(map(tuple, joined.select("transaction_id", "product_category").collect())) == sorted(
@@ -50,13 +53,18 @@ def test_hot_product_is_found_and_spread(spark, skewed, products):
     )
 
 
-def test_salt_spreads_hot_rows(spark, skewed):
-    hot = F.broadcast(hot_keys(skewed, "product_id", 0.01))
+def test_salts_bound_rows_per_key_and_task(spark, skewed):
+    # A small task size forces many salts: each (key, salt) group stays near it.
+    per_task = 50
+    hot = F.broadcast(hot_keys(skewed, "product_id", per_task))
     salted = skewed.join(hot, "product_id", "left").withColumn(
-        SALT, F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in skewed.columns]), F.lit(64)))
+        SALT, F.coalesce(F.pmod(F.xxhash64(*[F.col(c) for c in skewed.columns]), F.col(SALTS)), F.lit(0))
     )
-    spread = salted.where(F.col("product_id") == HOT_PRODUCT).select(SALT).distinct().count()
-    assert spread == 64
+    sizes = salted.where(F.col("product_id") == HOT_PRODUCT).groupBy(SALT).count()
+    stats = sizes.agg(F.count("*").alias("salts"), F.max("count").alias("largest")).first()
+    hot_rows = skewed.where(F.col("product_id") == HOT_PRODUCT).count()
+    assert stats.salts == -(-hot_rows // per_task)
+    assert stats.largest <= 2 * per_task
 
 
 def test_hot_user_collapses_to_bounded_partials(spark, skewed, products):
@@ -78,11 +86,11 @@ def test_plans_agree_under_skew(spark, skewed, products):
 def test_salted_join_plan_shuffles_on_key_and_salt(spark, skewed, products):
     from conftest import plan_text
 
-    joined = salted_left_join(skewed, products.select("product_id", "product_category"), "product_id", 0.01, 64)
+    joined = salted_left_join(skewed, products.select("product_id", "product_category"), "product_id")
     plan = plan_text(joined)  # not executed: the static plan, before AQE's runtime choices
     import re
 
     assert re.search(r"hashpartitioning\(product_id#\d+L?, _salt#\d+", plan)
     assert "SortMergeJoin LeftOuter" in plan
-    assert "BroadcastExchange" in plan  # the hot-key set (<= 100 keys)
-    assert "explode(CASE WHEN _hot" in plan  # hot products replicated once per salt
+    assert "BroadcastExchange" in plan  # the hot-key set (< shuffle partitions)
+    assert "explode(sequence(0, (coalesce(_salts" in plan  # hot products replicated once per salt

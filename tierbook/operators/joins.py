@@ -1,15 +1,23 @@
 """Enrichment joins with a checked broadcast and a skew-safe fallback.
 
 A dimension side is broadcast only after its row count has been checked
-(either passed in from a proven source such as the control table, or
-measured with ``count()``: one partial count per task and a one-row merge,
-cheaper at scale than a limit, which funnels rows through one partition). Beyond the bound the join is
-a shuffle join whose hot keys are salted: keys holding at least
-``hot_fraction`` of the fact rows are found exactly with a map-side combined
-count (there can be at most ``1 / hot_fraction`` of them, so that key set is
-itself safe to broadcast); fact rows of hot keys are spread over
-``salt_buckets`` sub-keys and the matching dimension rows are replicated to
-each sub-key. AQE's skew-join split stays on as a second line of defence.
+(passed in from a proven source, or measured with ``count()``: one partial
+count per task and a one-row merge). Beyond the bound the join is a shuffle
+join whose hot keys are salted adaptively:
+
+* a key is hot when it holds more fact rows than one balanced task would
+  (``rows_per_task``, by default total rows / ``spark.sql.shuffle.partitions``);
+  fewer keys than there are shuffle partitions can qualify, so the hot-key
+  table is itself safe to broadcast;
+* a hot key with ``n`` rows is split over ``ceil(n / rows_per_task)`` salts,
+  so a key holding a third of all rows spreads over a third of the tasks,
+  and no join task receives much more than ``rows_per_task`` rows of one key;
+* its dimension rows are replicated once per salt (in total at most about
+  twice the number of shuffle partitions extra rows).
+
+Keys and counts are found exactly with a map-side combined aggregation over
+the key column only. AQE's skew-join split stays on as a second line of
+defence.
 """
 
 from __future__ import annotations
@@ -20,11 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-DEFAULT_HOT_FRACTION = 0.01
-DEFAULT_SALT_BUCKETS = 64
 
 SALT = "_salt"
-HOT = "_hot"
+SALTS = "_salts"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None) -> bool:
@@ -33,21 +39,27 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, kn
     return rows <= max_rows
 
 
-def hot_keys(fact: DataFrame, key: str, hot_fraction: float = DEFAULT_HOT_FRACTION) -> DataFrame:
-    """Keys holding at least ``hot_fraction`` of the rows (<= 1/hot_fraction keys).
+def balanced_rows_per_task(fact: DataFrame) -> int:
+    """Rows one shuffle task would get if the fact side were spread evenly."""
+    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, math.ceil(fact.count() / max(1, partitions)))
+
+
+def hot_keys(fact: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
+    """``(key, _salts)`` for every key holding more than ``rows_per_task`` rows.
 
-    Only the key column is read (column pruning); the per-key counts are
-    combined map-side before their shuffle.
+    Only the key column is read (column pruning) and the per-key counts are
+    combined map-side before their shuffle. With the default bound there are
+    fewer such keys than shuffle partitions.
     """
-    keys = fact.select(key)
-    total = keys.count()
-    threshold = max(1, math.ceil(total * hot_fraction))
+    per_task = rows_per_task if rows_per_task is not None else balanced_rows_per_task(fact.select(key))
     return (
-        keys.where(F.col(key).isNotNull())
+        fact.select(key)
+        .where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= F.lit(threshold))
-        .select(key, F.lit(True).alias(HOT))
+        .where(F.col("_rows") > F.lit(per_task))
+        .select(key, F.ceil(F.col("_rows") / F.lit(per_task)).cast("int").alias(SALTS))
     )
 
 
@@ -55,26 +67,22 @@ def salted_left_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
-    hot_fraction: float = DEFAULT_HOT_FRACTION,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Left join on ``key`` with hot keys split over ``salt_buckets`` tasks."""
-    hot = F.broadcast(hot_keys(fact, key, hot_fraction))
+    """Left join on ``key`` with every hot key split over enough tasks."""
+    hot = F.broadcast(hot_keys(fact, key, rows_per_task))
     # A pure function of the row content, so a retried map task sends every
     # row to the same reducer as the first attempt did.
     row_hash = F.xxhash64(*(F.col(c) for c in fact.columns))
     salted_fact = (
         fact.join(hot, key, "left")
-        .withColumn(SALT, F.when(F.col(HOT), F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0)).cast("int"))
-        .drop(HOT)
+        .withColumn(SALT, F.coalesce(F.pmod(row_hash, F.col(SALTS)), F.lit(0)).cast("int"))
+        .drop(SALTS)
     )
     salted_dim = (
         dim.join(hot, key, "left")
-        .withColumn(
-            SALT,
-            F.explode(F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(salt_buckets - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop(HOT)
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - F.lit(1))))
+        .drop(SALTS)
     )
     return salted_fact.join(salted_dim, [key, SALT], "left").drop(SALT)
 
@@ -85,10 +93,9 @@ def left_join_dimension(
     key: str,
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     dim_rows: int | None = None,
-    hot_fraction: float = DEFAULT_HOT_FRACTION,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """``fact LEFT JOIN dim USING (key)``; duplicate dim keys fan out."""
     if fits_broadcast(dim, max_broadcast_rows, dim_rows):
         return fact.join(F.broadcast(dim), key, "left")
-    return salted_left_join(fact, dim, key, hot_fraction, salt_buckets)
+    return salted_left_join(fact, dim, key, rows_per_task)

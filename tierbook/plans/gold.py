@@ -7,8 +7,8 @@ key, age bucket) -> shuffle (narrow, map-side combined) -> final -> shuffle
 by user (<= 125 narrow rows per user) -> wide pivot -> write.
 
 Above the bound the product join is a shuffle join on product_id whose hot
-products (>= 1% of the sales rows each, so at most 100 of them) are salted
-over many tasks; the book's map-side partial aggregation then runs in the
+products (more rows than one balanced task) are each salted over enough
+tasks; the book's map-side partial aggregation then runs in the
 join's reduce tasks. AQE's skew-join split stays enabled as a backstop.
 """
 
@@ -21,9 +21,7 @@ from pyspark.sql import functions as F
 
 from tierbook.operators.book import BookSpec, dimension_key, feature_book
 from tierbook.operators.joins import (
-    DEFAULT_HOT_FRACTION,
     DEFAULT_MAX_BROADCAST_ROWS,
-    DEFAULT_SALT_BUCKETS,
     fits_broadcast,
     salted_left_join,
 )
@@ -47,8 +45,7 @@ def build_book(
     method: str = "two_stage",
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     products_rows: int | None = None,
-    hot_fraction: float = DEFAULT_HOT_FRACTION,
-    salt_buckets: int = DEFAULT_SALT_BUCKETS,
+    rows_per_task: int | None = None,
     user: str = "user_id",
     product_key: str = "product_id",
     amount: str = "amount",
@@ -74,7 +71,7 @@ def build_book(
     if fits_broadcast(categories, max_broadcast_rows, products_rows):
         enriched = sales.join(F.broadcast(categories), product_key, "left")
     else:
-        enriched = salted_left_join(sales, categories, product_key, hot_fraction, salt_buckets)
+        enriched = salted_left_join(sales, categories, product_key, rows_per_task)
     return feature_book(enriched, spec, as_of, ref, ts_proc, user, amount, date_col, method)
 
 
