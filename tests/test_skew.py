@@ -94,3 +94,17 @@ def test_salted_join_plan_shuffles_on_key_and_salt(spark, skewed, products):
     assert "SortMergeJoin LeftOuter" in plan
     assert "BroadcastExchange" in plan  # the hot-key set (< shuffle partitions)
     assert "explode(sequence(0, (coalesce(_salts" in plan  # hot products replicated once per salt
+
+
+def test_null_keys_are_spread_and_never_match(spark, skewed, products):
+    third = F.pmod(F.xxhash64("transaction_id", F.lit(2)), F.lit(3)) == 0
+    nulls = skewed.withColumn("product_id", F.when(third, F.lit(None).cast("long")).otherwise(F.col("product_id")))
+    salts = {r.product_id: r[SALTS] for r in hot_keys(nulls, "product_id").collect()}
+    assert salts.get(None, 1) > 1  # the NULL group is split, not sent to one task
+    dim = products.select("product_id", "product_category")
+    joined = salted_left_join(nulls, dim, "product_id")
+    plain = nulls.join(F.broadcast(dim), "product_id", "left")
+    got = sorted(map(tuple, joined.select("transaction_id", "product_id", "product_category").collect()), key=str)
+    want = sorted(map(tuple, plain.select("transaction_id", "product_id", "product_category").collect()), key=str)
+    assert got == want
+    assert joined.where(F.col("product_id").isNull() & F.col("product_category").isNotNull()).count() == 0

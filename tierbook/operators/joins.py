@@ -5,7 +5,8 @@ A dimension side is broadcast only after its row count has been checked
 count per task and a one-row merge). Beyond the bound the join is a shuffle
 join whose hot keys are salted adaptively:
 
-* a key is hot when it holds more fact rows than one balanced task would
+* a key (the NULL key too, which would otherwise land in one task) is hot
+  when it holds more fact rows than one balanced task would
   (``rows_per_task``, by default total rows / ``spark.sql.shuffle.partitions``);
   fewer keys than there are shuffle partitions can qualify, so the hot-key
   table is itself safe to broadcast;
@@ -27,10 +28,13 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierbook.session import shared_root
+
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 SALT = "_salt"
 SALTS = "_salts"
+HOT_KEY = "_hot_key"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None) -> bool:
@@ -39,27 +43,31 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, kn
     return rows <= max_rows
 
 
-def balanced_rows_per_task(fact: DataFrame) -> int:
-    """Rows one shuffle task would get if the fact side were spread evenly."""
-    partitions = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, math.ceil(fact.count() / max(1, partitions)))
+def key_counts(fact: DataFrame, key: str) -> DataFrame:
+    """Rows per key, NULL keys included as one group (map-side combined)."""
+    return fact.select(key).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def hot_keys(fact: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
-    """``(key, _salts)`` for every key holding more than ``rows_per_task`` rows.
-
-    Only the key column is read (column pruning) and the per-key counts are
-    combined map-side before their shuffle. With the default bound there are
-    fewer such keys than shuffle partitions.
+    """``(key, _salts)`` for every key (NULL included) holding more than
+    ``rows_per_task`` rows.
+
+    Only the key column is read. Without an explicit bound the per-key
+    counts are checkpointed to the shared checkpoint folder, so the key
+    column is scanned once for both the total and the hot-key filter; the
+    default bound (total / shuffle partitions) admits fewer hot keys than
+    there are shuffle partitions.
     """
-    per_task = rows_per_task if rows_per_task is not None else balanced_rows_per_task(fact.select(key))
-    return (
-        fact.select(key)
-        .where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > F.lit(per_task))
-        .select(key, F.ceil(F.col("_rows") / F.lit(per_task)).cast("int").alias(SALTS))
+    counts = key_counts(fact, key)
+    if rows_per_task is None:
+        spark = fact.sparkSession
+        shared_root(spark)  # checkpoint folder: the session's, else a test one
+        counts = counts.checkpoint()
+        total = counts.agg(F.sum("_rows")).first()[0] or 0
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows_per_task = max(1, math.ceil(total / max(1, partitions)))
+    return counts.where(F.col("_rows") > F.lit(rows_per_task)).select(
+        key, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias(SALTS)
     )
 
 
@@ -69,20 +77,24 @@ def salted_left_join(
     key: str,
     rows_per_task: int | None = None,
 ) -> DataFrame:
-    """Left join on ``key`` with every hot key split over enough tasks."""
-    hot = F.broadcast(hot_keys(fact, key, rows_per_task))
+    """Left join on ``key`` with every hot key (NULL too) split over enough tasks.
+
+    NULL keys never match, so their rows are only spread, while the
+    dimension rows of a hot non-NULL key are replicated once per salt.
+    """
+    hot = F.broadcast(hot_keys(fact, key, rows_per_task).withColumnRenamed(key, HOT_KEY))
     # A pure function of the row content, so a retried map task sends every
     # row to the same reducer as the first attempt did.
     row_hash = F.xxhash64(*(F.col(c) for c in fact.columns))
     salted_fact = (
-        fact.join(hot, key, "left")
+        fact.join(hot, fact[key].eqNullSafe(F.col(HOT_KEY)), "left")
         .withColumn(SALT, F.coalesce(F.pmod(row_hash, F.col(SALTS)), F.lit(0)).cast("int"))
-        .drop(SALTS)
+        .drop(SALTS, HOT_KEY)
     )
     salted_dim = (
-        dim.join(hot, key, "left")
+        dim.join(hot, dim[key] == F.col(HOT_KEY), "left")
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - F.lit(1))))
-        .drop(SALTS)
+        .drop(SALTS, HOT_KEY)
     )
     return salted_fact.join(salted_dim, [key, SALT], "left").drop(SALT)
 
