@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substring
+from . import minhash, substring, suffix
 from .scratch import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.col("text_sha256").alias("kept_sha256")
+    )
+
+
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -37,7 +49,7 @@ def _shipped(query: Query) -> Query:
     return run
 
 
-_ALL = [op1_substring_dedup]
+_ALL = [op1_substring_dedup, op2_suffix_dedup, op6_minhash_near_dedup]
 
 
 def queries() -> dict[str, Query]:
