@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, substring, suffix
+from . import langmix, minhash, permutation, substring, suffix
 from .scratch import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,11 +35,23 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langmix.learn(docs.where(~langmix.held_out("doc_id")))
+    return langmix.predict(docs.select("doc_id", "text"), model).select(
+        F.col("id").alias("doc_id"), langmix.held_out("id").alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op8_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -49,7 +61,7 @@ def _shipped(query: Query) -> Query:
     return run
 
 
-_ALL = [op1_substring_dedup, op2_suffix_dedup, op6_minhash_near_dedup]
+_ALL = [op1_substring_dedup, op2_suffix_dedup, op4_language_id, op6_minhash_near_dedup, op8_permutation_ann]
 
 
 def queries() -> dict[str, Query]:
