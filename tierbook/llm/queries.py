@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langmix, minhash, permutation, substring, suffix
+from . import langmix, minhash, mixing, permutation, substring, suffix
 from .scratch import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langmix.learn(docs.where(~langmix.held_out("doc_id")))
@@ -61,7 +66,7 @@ def _shipped(query: Query) -> Query:
     return run
 
 
-_ALL = [op1_substring_dedup, op2_suffix_dedup, op4_language_id, op6_minhash_near_dedup, op8_permutation_ann]
+_ALL = [op1_substring_dedup, op2_suffix_dedup, op3_source_mixing, op4_language_id, op6_minhash_near_dedup, op8_permutation_ann]
 
 
 def queries() -> dict[str, Query]:
