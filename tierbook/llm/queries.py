@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langmix, minhash, mixing, permutation, substring, suffix
+from . import chat, decontaminate, langmix, licenses, minhash, mixing, permutation, substring, suffix
 from .scratch import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,10 +60,20 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), licenses.notice_table(spark))
+    return found.select(F.col("id").alias("doc_id"), "license", "template", "n_template", "n_common")
+
+
 def op8_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_item", "n_common", "containment")
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -73,7 +83,8 @@ def _shipped(query: Query) -> Query:
     return run
 
 
-_ALL = [op1_substring_dedup, op2_suffix_dedup, op3_source_mixing, op4_language_id, op5_chat_format, op6_minhash_near_dedup, op8_permutation_ann]
+_ALL = [op1_substring_dedup, op2_suffix_dedup, op3_source_mixing, op4_language_id, op5_chat_format, op6_minhash_near_dedup,
+    op7_license_scan, op8_permutation_ann, op10_benchmark_decontamination]
 
 
 def queries() -> dict[str, Query]:
@@ -106,5 +117,94 @@ FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
 
 
+def _shingled(name: str, key: str, words: str) -> str:
+    """CTE ``name`` (key, s): the distinct five-word shingles of ``words`` (a list column w over key)."""
+    return f"""{name} AS (
+  SELECT DISTINCT {key}, CASE WHEN len(w) >= 5 THEN array_to_string(w[i:i + 4], ' ') ELSE array_to_string(w, ' ') END AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM {words} WHERE len(w) > 0)
+)"""
+
+
+# A-Z only, as the contract says
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, unnest(range(0, len(h) // 2 - 399)) AS i, h FROM d WHERE len(h) >= 800),
+keyed AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS k FROM starts),
+twice AS (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM keyed JOIN twice USING (k)),
+marked AS (
+  SELECT doc_id, i, CASE WHEN lag(i) OVER (PARTITION BY doc_id ORDER BY i) >= i - 400 THEN 0 ELSE 1 END AS fresh FROM hit
+),
+spans AS (
+  SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked) GROUP BY doc_id, g
+),
+pieces AS (
+  SELECT s.doc_id, s.a, s.b, coalesce(lag(s.b) OVER (PARTITION BY s.doc_id ORDER BY s.a), 0) AS before, h
+  FROM spans s JOIN d ON s.doc_id = d.doc_id
+),
+kept AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS gone,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h
+  FROM pieces GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.h) // 2 AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
+
+OP6_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(LOWERED.format('text'))} AS w FROM documents),
+{_shingled('s', 'doc_id', 'w')},
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id
+  JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS other FROM documents UNION SELECT node, b FROM reach JOIN edges ON other = a),
+least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT node AS doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, node = component_id AS kept
+FROM least LEFT JOIN n ON node = n.doc_id
+"""
+
+OP10_SQL = f"""
+WITH w AS (SELECT doc_id, {WORDS.format('lower(text)')} AS w FROM documents),
+v AS (SELECT item_id, {WORDS.format('lower(text)')} AS w FROM benchmark),
+{_shingled('s', 'doc_id', 'w')},
+{_shingled('t', 'item_id', 'v')},
+n AS (SELECT item_id, count(*) AS n FROM t GROUP BY item_id)
+SELECT doc_id, t.item_id, n AS n_item, count(*) AS n_common, count(*) / n AS containment
+FROM s JOIN t ON s.s = t.s JOIN n ON n.item_id = t.item_id
+GROUP BY doc_id, t.item_id, n HAVING 100 * count(*) >= 75 * n
+"""
+
+
+def _license_sql() -> str:
+    quoted = [tuple(v.replace("'", "''") for v in row) for row in licenses.NOTICES]
+    values = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in quoted)
+    words = "list_filter(regexp_split_to_array(lower(coalesce({}, '')), '[\\x00-/:-`{{-\\x7f]+'), x -> x <> '')"
+    return f"""
+WITH notices(license, template, text) AS (VALUES {values}),
+w AS (SELECT doc_id, {words.format('text')} AS w FROM documents),
+v AS (SELECT template, {words.format('text')} AS w FROM notices),
+{_shingled('s', 'doc_id', 'w')},
+{_shingled('t', 'template', 'v')},
+n AS (SELECT template, count(*) AS n FROM t GROUP BY template)
+SELECT doc_id, license, t.template, n AS n_template, count(*) AS n_common
+FROM s JOIN t ON s.s = t.s JOIN n ON n.template = t.template JOIN notices ON notices.template = t.template
+GROUP BY doc_id, license, t.template, n HAVING 100 * count(*) >= 75 * n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL}
+    return {
+        "op1_substring_dedup": OP1_SQL,
+        "op2_suffix_dedup": OP2_SQL,
+        "op6_minhash_near_dedup": OP6_SQL,
+        "op7_license_scan": _license_sql(),
+        "op10_benchmark_decontamination": OP10_SQL,
+    }
