@@ -82,7 +82,7 @@ def contaminated(
         return with_shingles(df, lower_words(F.col("text")), size, "shingles").drop("text")
 
     low = F.filter("shingles", lambda h: h <= F.lit(highest))
-    posted = shingled(source).select("key", F.explode(low).alias("hash"))
+    posted = shingled(source).select("key", F.explode_outer(low).alias("hash"))
     found = materialise(posted.join(_small(sketch.select("hash", "item")), "hash").select("key", "item").distinct(), "found")
     held = shingled(source.join(_small(found.select("key").distinct()), "key"))
     pairs = held.join(_small(found), "key").join(_small(item_sets.withColumnRenamed("shingles", "own")), "item")

@@ -116,7 +116,7 @@ def scan(
     def shingled(df: DataFrame) -> DataFrame:
         return with_shingles(df, _words(F.col("text")), size, "shingles").drop("text")
 
-    posted = shingled(source).select("key", F.posexplode("shingles").alias("at", "hash"))
+    posted = shingled(source).select("key", F.posexplode_outer("shingles").alias("at", "hash"))
     # a shingle stands in the sketches of the two windows (one at the start) that hold it
     last = F.floor(F.col("at") / step)
     hit = posted.join(_small(bands), "hash").select("key", "item", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)).alias("window"))

@@ -11,7 +11,11 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 def with_shingles(df: DataFrame, words: Column, size: int, out: str) -> DataFrame:
     """``df`` with the column ``out``: the hash of each run of ``size`` words, in
     order, repeats kept; of fewer words the hash of the whole sequence; none
-    without words. ``words`` may hold empty strings, which don't count."""
+    without words. ``words`` may hold empty strings, which don't count.
+
+    Explode the result with the ``_outer`` functions: for the others Catalyst
+    infers a filter on the array's size and pushes it below the projections,
+    where the words would be split anew for every shingle."""
     hashed = df.withColumn("_words", F.transform(F.array_remove(words, ""), lambda w: F.xxhash64(w)))
     n = F.size("_words")
     run = F.transform(

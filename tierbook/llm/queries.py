@@ -186,7 +186,7 @@ GROUP BY doc_id, t.item_id, n HAVING 100 * count(*) >= 75 * n
 def _license_sql() -> str:
     quoted = [tuple(v.replace("'", "''") for v in row) for row in licenses.NOTICES]
     values = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in quoted)
-    words = "list_filter(regexp_split_to_array(lower(coalesce({}, '')), '[\\x00-/:-`{{-\\x7f]+'), x -> x <> '')"
+    words = "list_filter(regexp_split_to_array(lower(coalesce({}, '')), '[\\x00-/:-`{{-\\x7f]+'), lambda x: x <> '')"
     return f"""
 WITH notices(license, template, text) AS (VALUES {values}),
 w AS (SELECT doc_id, {words.format('text')} AS w FROM documents),
