@@ -34,22 +34,29 @@ from .scratch import packed_rest, shuffle_partitions
 
 WINDOW = 13
 GRAIN = 4
-SUB_BUCKETS = 8
-_MARK = pa.schema([("id", pa.int64()), ("row", pa.int32()), ("from", pa.int32()), ("to", pa.int32())])
+SUB_BUCKETS = 4
+LEVEL = 6
+_MARK = pa.schema([("id", pa.int64()), ("row", pa.int16()), ("from", pa.int32()), ("to", pa.int32())])
+_COLUMNS = (np.int64, np.int16, np.int32, np.int32)  # id (as differences), row, first word, number of words
 
 
 def _pack(kind: int, columns: list[np.ndarray], body: bytes, squeeze) -> bytes:
-    head = struct.pack("<BI", kind, len(columns[0]))
-    return squeeze.compress(head + b"".join(c.tobytes() for c in columns) + body)
+    """One compressed blob; columns are stored by byte plane, which compresses better."""
+    columns = [np.diff(columns[0], prepend=0), *columns[1:]]
+    planes = [np.ascontiguousarray(c, dtype).view(np.uint8).reshape(len(c), -1).T.tobytes() for c, dtype in zip(columns, _COLUMNS)]
+    return squeeze.compress(struct.pack("<BI", kind, len(columns[0])) + b"".join(planes) + body)
 
 
 def _unpack(blob: bytes, spread) -> tuple[int, list[np.ndarray], bytes]:
     raw = spread.decompress(blob)
     kind, n = struct.unpack_from("<BI", raw)
     at, columns = 5, []
-    for dtype in (np.int64, np.int32, np.int32, np.int32):
-        columns.append(np.frombuffer(raw, dtype, n, at))
-        at += n * columns[-1].itemsize
+    for dtype in _COLUMNS:
+        size = np.dtype(dtype).itemsize
+        planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        columns.append(np.ascontiguousarray(planes.T).view(dtype).ravel())
+        at += n * size
+    columns[0] = np.cumsum(columns[0])
     return kind, columns, raw[at:]
 
 
@@ -77,18 +84,19 @@ def _super_kmers(window: int, grain: int, buckets: int):
         return repeat, (new_h[one], new_d[one])
 
     def run(batches):
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=LEVEL)
         seen = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for batch in batches:
             for part in tk.chunks(batch):
                 buf, starts = tk.joined(tk.texts(part.column("text")))
                 ids = part.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-                rows = part.column("row").to_numpy(zero_copy_only=False).astype(np.int32)
+                rows = part.column("row").to_numpy(zero_copy_only=False)
                 s, e = tk.word_spans(buf)
                 if len(s) < window:
                     continue
                 doc = np.searchsorted(starts, s, side="right") - 1
-                least = tk.sliding_min(tk.shingle_hashes(tk.word_hashes(buf, s, e), grain), width)
+                words = tk.word_hashes(buf, s, e)
+                least = tk.sliding_min(tk.shingle_hashes(words, grain), width)
                 n = len(least)
                 whole = doc[:n] == doc[window - 1 : window - 1 + n]
                 fresh = np.ones(n, dtype=bool)
@@ -111,7 +119,7 @@ def _super_kmers(window: int, grain: int, buckets: int):
                 text = flat[keep]
                 ws, we = place[s], place[e]
                 b, f = ws[first], we[last_word - 1]
-                repeat, seen = settle(seen, tk.mix(tk.Poly(text, tk.BASE_B).ranges(b, f)), ids[doc[first]])
+                repeat, seen = settle(seen, tk.mix(tk.Poly(words).ranges(first, last_word)), ids[doc[first]])
                 d = doc[first]
                 cols = [ids[d], rows[d], first.astype(np.int32), (last_word - first).astype(np.int32)]
                 cols[2] = cols[2] - np.searchsorted(s, starts[d]).astype(np.int32)  # word position in its document
@@ -138,24 +146,36 @@ def _repeats(window: int):
     """Arrow function over rows sorted by bucket: word ranges that repeat a window of a smaller document."""
 
     def count(blobs, spread):
-        cols, bodies = [], []
+        cols, one, two, texts, held = [], [], [], [], 0
+
+        def hashed():
+            # both hashes of each word, over a bounded piece of the bucket's text
+            text = np.frombuffer(b"".join(texts), dtype=np.uint8)
+            s, e = tk.word_spans(text)
+            one.append(tk.mix(tk.Poly(text, tk.BASE_A).ranges(s, e)))
+            two.append(tk.mix(tk.Poly(text, tk.BASE_B).ranges(s, e)))
+
         for blob in blobs:
             kind, c, body = _unpack(blob, spread)
             if kind:
                 yield pa.RecordBatch.from_arrays([pa.array(c[0]), pa.array(c[1]), pa.array(c[2]), pa.array(c[2] + c[3])], schema=_MARK)
-            else:
-                cols.append(c)
-                bodies.append(body)
+                continue
+            cols.append(c)
+            texts.append(body)
+            held += len(body)
+            if held >= tk.CHUNK_BYTES // 2:
+                hashed()
+                texts, held = [], 0
         if not cols:
             return
+        if texts:
+            hashed()
         ids, rows, pos, size = (np.concatenate(x) for x in zip(*cols))
-        text = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-        s, e = tk.word_spans(text)
+        one, two = np.concatenate(one), np.concatenate(two)
         kmer = np.repeat(np.arange(len(ids)), size)
-        inside = np.arange(len(s)) - np.repeat(np.cumsum(size) - size, size)
+        inside = np.arange(len(one)) - np.repeat(np.cumsum(size) - size, size)
         at = np.flatnonzero(inside + window <= size[kmer])
-        h1 = tk.Poly(text, tk.BASE_A).ranges(s[at], e[at + window - 1])
-        h2 = tk.Poly(text, tk.BASE_B).ranges(s[at], e[at + window - 1])
+        h1, h2 = tk.shingle_hashes(one, window)[at], tk.shingle_hashes(two, window)[at]
         order = np.lexsort((h2, h1))
         a, b = h1[order], h2[order]
         first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
@@ -164,7 +184,7 @@ def _repeats(window: int):
         repeat = np.empty(len(at), dtype=bool)
         repeat[order] = doc[order] > np.repeat(least, np.diff(np.append(first, len(at))))
         # consecutive repeated windows of one super-k-mer become one range
-        flag = np.zeros(len(s) + 1, dtype=bool)
+        flag = np.zeros(len(one) + 1, dtype=bool)
         flag[at] = repeat
         start, stop = tk.runs(flag)
         k = kmer[start]
@@ -188,11 +208,23 @@ def _repeats(window: int):
     return run
 
 
+def _squeezed(batches):
+    """Arrow function: the column text compressed, for the shuffle of the join with the ranges."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for part in tk.chunks(batch):
+            packed = [None if t is None else squeeze.compress(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
+            at = part.schema.get_field_index("text")
+            yield part.set_column(at, "text", pa.array(packed, pa.binary()))
+
+
 def _apply(batches):
     """Arrow function: documents with their ranges to kept texts."""
+    spread = zstandard.ZstdDecompressor()
     for batch in batches:
-        for part in tk.chunks(batch):
-            docs = tk.texts(part.column("text"))
+        for part in tk.chunks(batch, limit=tk.CHUNK_BYTES // 3):
+            whole = [None if t is None else spread.decompress(t) for t in part.column("text").to_pylist()]
+            docs = [t or b"" for t in whole]
             buf, starts = tk.joined(docs)
             s, e = tk.word_spans(buf)
             first = np.searchsorted(s, starts)  # each document's first word
@@ -216,7 +248,7 @@ def _apply(batches):
                     pa.array(np.diff(first), pa.int64()),
                     pa.array(np.diff(lost), pa.int64()),
                     pa.array(kept, pa.binary()).cast(pa.string()),
-                    part.column("text"),
+                    pa.array(whole, pa.binary()).cast(pa.string()),
                     part.column("rest"),
                 ],
                 names=["id", "n_words", "n_removed", "kept_text", "text", "rest"],
@@ -232,7 +264,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, grain: int = GRAIN) -
         _super_kmers(window, grain, buckets), "bucket int, blob binary"
     )
     dealt = kmers.repartition(partitions, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(_repeats(window), "id long, row int, `from` int, `to` int")
+    return dealt.mapInArrow(_repeats(window), "id long, row short, `from` int, `to` int")
 
 
 def remove_repeated_windows(
@@ -249,13 +281,15 @@ def remove_repeated_windows(
         F.col(text_col).alias("text"),
         packed_rest(docs, id_col, text_col).alias("rest"),
         # tells rows of one id with different texts apart
-        F.hash(text_col).alias("row"),
+        F.hash(text_col).bitwiseAND(0x7FFF).cast("short").alias("row"),
     )
     marks = (
         repeated_ranges(source.select("id", "row", "text"), window, grain)
         .groupBy("id", "row")
         .agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
     )
-    found = source.join(marks, ["id", "row"], "left").select("id", "text", "rest", "ranges")
-    schema = f"id long, n_words long, n_removed long, kept_text string, text string, rest {found.schema['rest'].dataType.simpleString()}"
+    kind = source.schema["rest"].dataType.simpleString()
+    packed = source.select("id", "row", "text", "rest").mapInArrow(_squeezed, f"id long, row short, text binary, rest {kind}")
+    found = packed.join(marks, ["id", "row"], "left").select("id", "text", "rest", "ranges")
+    schema = f"id long, n_words long, n_removed long, kept_text string, text string, rest {kind}"
     return found.mapInArrow(_apply, schema)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 3 << 19
 U64 = np.uint64
 BASE_A = 0x9E3779B97F4A7C15
 BASE_B = 0xD1B54A32D192ED03
@@ -78,13 +78,16 @@ class Poly:
     def __init__(self, buf: np.ndarray, base: int = BASE_A):
         power, self.inverse = self._table(base, len(buf) + 1)
         self.prefix = np.zeros(len(buf) + 1, dtype=U64)
-        np.cumsum((buf.astype(U64) + U64(1)) * power[: len(buf)], out=self.prefix[1:])
+        terms = buf.astype(U64)
+        terms += U64(1)
+        terms *= power[: len(buf)]
+        np.cumsum(terms, out=self.prefix[1:])
 
     @classmethod
     def _table(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         have = cls._powers.get(base)
         if have is None or len(have[0]) < n:
-            n = max(n, CHUNK_BYTES + (1 << 20)) if n < 4 * CHUNK_BYTES else n
+            n = max(n, CHUNK_BYTES + (1 << 19)) if n < 4 * CHUNK_BYTES else n
             have = tuple(
                 np.concatenate([np.ones(1, U64), np.cumprod(np.full(n - 1, b, dtype=U64))])
                 for b in (base, pow(base, -1, 1 << 64))
