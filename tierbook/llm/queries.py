@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langmix, licenses, minhash, mixing, permutation, substring, suffix
+from . import chat, decontaminate, langmix, licenses, lm, minhash, mixing, permutation, substring, suffix
 from .scratch import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,14 @@ def op8_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = langmix.held_out("doc_id", 7, 2)
+    found = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select(
+        F.col("id").alias("doc_id"), langmix.held_out("id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "item_id", "n_item", "n_common", "containment")
@@ -84,7 +92,7 @@ def _shipped(query: Query) -> Query:
 
 
 _ALL = [op1_substring_dedup, op2_suffix_dedup, op3_source_mixing, op4_language_id, op5_chat_format, op6_minhash_near_dedup,
-    op7_license_scan, op8_permutation_ann, op10_benchmark_decontamination]
+    op7_license_scan, op8_permutation_ann, op9_lm_score, op10_benchmark_decontamination]
 
 
 def queries() -> dict[str, Query]:
