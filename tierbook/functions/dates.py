@@ -29,14 +29,17 @@ def parse_ref(ref: Column | str) -> Column:
     return F.try_to_date(col.cast("string"), REF_FORMAT)
 
 
-def month_age(as_of: str | dt.date, ref: Column | str = "ref") -> Column:
+def month_age(as_of: str | dt.date, ref: Column | str = "ref", is_date: bool = False) -> Column:
     """Whole months between ``ref`` and the book date, truncated toward zero.
 
     ``int(months_between(as_of, ref))``: same day-of-month or both month-ends
     give whole months, otherwise the day difference counts in 31sts. A ref in
-    the future gives a negative age; an unparsable ref gives NULL.
+    the future gives a negative age; an unparsable ref gives NULL. With
+    ``is_date`` the column is a DATE or TIMESTAMP and is taken as it is (the
+    time of day doesn't count).
     """
-    return F.months_between(F.lit(as_date(as_of)), parse_ref(ref)).cast("int")
+    day = F.to_date(ref) if is_date else parse_ref(ref)
+    return F.months_between(F.lit(as_date(as_of)), day).cast("int")
 
 
 def recency_flag(age: Column, months: int) -> Column:

@@ -29,6 +29,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierbook.functions.dates import as_date, month_age, recency_flag
 
@@ -182,49 +183,54 @@ def age_bucket(age: Column, boundaries: list[int]) -> Column:
     return expr
 
 
-# Days on each side of the book date covered by the bucket lookup.
-LOOKUP_SPAN_DAYS = 731
-_REF, _FOUND, _LOOKED_UP = "_ref_text", "_ref_found", "_ref_bucket"
+_REF, _FOUND, _LOOKED_UP = "_ref_key", "_ref_found", "_ref_bucket"
 
 
-def bucket_lookup(spark, as_of, boundaries: list[int], span_days: int = LOOKUP_SPAN_DAYS) -> tuple[DataFrame, str]:
-    """Every calendar day within ``span_days`` of ``as_of`` as ``yyyyMMdd``
-    text with its exact bucket (the same Spark expression the per-row path
-    uses), and the first day covered. Its size is fixed by the span
-    (2 * span + 1 rows), never by the data, so it is safe to broadcast."""
+def lookup_span_days(boundaries: list[int]) -> int:
+    """Days on each side of the book date that cover every tested window."""
+    return 31 * (max(boundaries, default=0) + 2)
+
+
+def bucket_lookup(spark, as_of, boundaries: list[int]) -> tuple[DataFrame, dt.date]:
+    """Every calendar day around ``as_of`` that some window can reach, with its
+    exact bucket (the same Spark expression the per-row path uses), and the
+    first day covered. Its size is fixed by the widest window (62 rows a
+    month), never by the data, so it is safe to broadcast."""
     center = as_date(as_of)
-    start = center - dt.timedelta(days=span_days)
-    days = spark.range(2 * span_days + 1).select(
-        F.date_format(F.date_add(F.lit(start), F.col("id").cast("int")), "yyyyMMdd").alias(_REF)
-    )
+    span = min(lookup_span_days(boundaries), (center - dt.date.min).days)
+    start = center - dt.timedelta(days=span)
+    days = spark.range(2 * span + 1).select(F.date_add(F.lit(start), F.col("id").cast("int")).alias(_REF))
     table = days.select(
         _REF,
-        age_bucket(month_age(center, F.col(_REF)), boundaries).alias(_LOOKED_UP),
+        age_bucket(month_age(center, F.col(_REF), is_date=True), boundaries).alias(_LOOKED_UP),
         F.lit(True).alias(_FOUND),
     )
-    return table, start.strftime("%Y%m%d")
+    return table, start
 
 
 def with_age_bucket(df: DataFrame, as_of, boundaries: list[int], date_col: str = "ref") -> DataFrame:
     """Add ``_bucket`` = ``age_bucket(month_age(as_of, date_col))``, evaluated
     once per calendar day instead of once per row.
 
-    Refs within the lookup's span are resolved by a broadcast hash join. An
-    8-character ref sorting before the span is older than every window (or
-    not a date): NULL, as the exact expression gives, since any text the
-    ``yyyyMMdd`` parser accepts in 8 characters is 8 digits. Anything else
-    (far-future dates, odd text) takes the exact expression.
+    ``date_col`` is ``yyyyMMdd`` text (or int), or a DATE or TIMESTAMP. Days
+    within the lookup are resolved by a broadcast hash join. Days before it
+    are older than every window: NULL, as the exact expression gives (8
+    characters that sort before its first day are such a day or no date at
+    all). Anything else (far-future days, odd text) takes the exact expression.
     """
+    is_date = isinstance(df.schema[date_col].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
     table, first_day = bucket_lookup(df.sparkSession, as_of, boundaries)
     ref = F.col(_REF)
-    exact = age_bucket(month_age(as_of, ref), boundaries)
-    keyed = df.withColumn(_REF, F.col(date_col).cast("string"))
+    if is_date:
+        keyed = df.withColumn(_REF, F.to_date(date_col))
+        before = ref < F.lit(first_day)
+    else:
+        keyed = df.withColumn(_REF, F.col(date_col).cast("string"))
+        table = table.withColumn(_REF, F.date_format(_REF, "yyyyMMdd"))
+        before = (F.length(ref) == F.lit(8)) & (ref < F.lit(first_day.strftime("%Y%m%d")))
+    exact = age_bucket(month_age(as_of, ref, is_date), boundaries)
     joined = keyed.join(F.broadcast(table), _REF, "left")
-    bucket = (
-        F.when(F.col(_FOUND), F.col(_LOOKED_UP))
-        .when((F.length(ref) == F.lit(8)) & (ref < F.lit(first_day)), F.lit(None).cast("int"))
-        .otherwise(exact)
-    )
+    bucket = F.when(F.col(_FOUND), F.col(_LOOKED_UP)).when(before, F.lit(None).cast("int")).otherwise(exact)
     return joined.withColumn(BUCKET, bucket).drop(_REF, _FOUND, _LOOKED_UP)
 
 
@@ -383,14 +389,21 @@ def prepare_stage_input(
     user: str = "user_id",
     amount: str = "amount",
     date_col: str = "ref",
+    keep: tuple[str, ...] = (),
+    dimensions: tuple[Dimension, ...] | None = None,
 ) -> DataFrame:
-    """Narrow projection: user, dimension keys, age bucket, measure."""
-    dims = [d.key if d.key in df.columns else d.column for d in spec.dimensions]
-    narrow = df.select(user, amount, date_col, *dims)
+    """Narrow projection: user, dimension keys, age bucket, measure (and the columns to ``keep``).
+
+    ``dimensions``: those whose columns are there already (all by default).
+    """
+    chosen = spec.dimensions if dimensions is None else dimensions
+    dims = [d.key if d.key in df.columns else d.column for d in chosen]
+    narrow = df.select(user, amount, date_col, *dims, *keep)
     return with_age_bucket(narrow, as_of, spec.boundaries(), date_col).select(
         F.col(user),
+        *(F.col(c) for c in keep),
         # a key already present (computed on a dimension table) is reused
-        *(F.col(d.key) if d.key in df.columns else dimension_key(d).alias(d.key) for d in spec.dimensions),
+        *(F.col(d.key) if d.key in df.columns else dimension_key(d).alias(d.key) for d in chosen),
         F.col(BUCKET),
         F.col(amount),
     )
