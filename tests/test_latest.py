@@ -1,6 +1,8 @@
 """Latest-batch selection (proc-first vs file-first) and its pruning plan."""
 
 from conftest import plan_text
+from pyspark.sql import functions as F
+
 from tierbook.operators import latest
 from tierbook.operators.lookback import lookback_filter
 from tierbook.schemas import PRODUCTS
@@ -53,21 +55,22 @@ def test_histogram(spark):
 def test_latest_batch_prunes_silver_partitions(spark, lake):
     rows = [("p1", "d", "c", "20240930", "20240930000000", "20241001090000"), ("p2", "d", "c", "20240930", "20240930000000", "20241001120000")]
     df = spark.createDataFrame(rows, "product_id string, product_des string, product_category string, ref string, ts_file_generation string, ts_proc string")
-    write_silver(df, lake.silver_of("products"))
+    for ref, tsf, ts in [r[3:] for r in rows]:
+        write_silver(df.where(F.col("ts_proc") == ts), lake.silver_of("products"), ref, ts, tsf)
     silver = read_silver(spark, lake.silver_of("products"), PRODUCTS)
     out = latest.latest_batch(silver, latest.PROC_FIRST)
     assert [r["product_id"] for r in out.collect()] == ["p2"]
     plan = plan_text(out)
-    # Older ts_proc partitions are pruned statically; the file stamp test is
-    # pushed into the parquet reader.
+    # Both stamps are partition columns: older batches are pruned statically.
     assert any("PartitionFilters:" in l and "(ts_proc#" in l and "= 20241001120000)" in l for l in plan.splitlines())
-    assert "EqualTo(ts_file_generation,20240930000000)" in plan
+    assert any("PartitionFilters:" in l and "= 20240930000000)" in l for l in plan.splitlines())
 
 
 def test_lookback_prunes_ref_partitions(spark, lake):
     rows = [("p1", "d", "c", "20220101", "20220101000000", "20220101000000"), ("p2", "d", "c", "20240930", "20240930000000", "20240930000000")]
     df = spark.createDataFrame(rows, "product_id string, product_des string, product_category string, ref string, ts_file_generation string, ts_proc string")
-    write_silver(df, lake.silver_of("products"))
+    for ref, tsf, ts in [r[3:] for r in rows]:
+        write_silver(df.where(F.col("ts_proc") == ts), lake.silver_of("products"), ref, ts, tsf)
     silver = read_silver(spark, lake.silver_of("products"), PRODUCTS)
     out = lookback_filter(silver, "20230901")
     assert [r["product_id"] for r in out.collect()] == ["p2"]

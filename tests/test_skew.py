@@ -54,8 +54,9 @@ def test_hot_product_is_found_and_spread(spark, skewed, products):
 
 
 def test_salts_bound_rows_per_key_and_task(spark, skewed):
-    # A small task size forces many salts: each (key, salt) group stays near it.
-    per_task = 50
+    # each (key, salt) group stays near a task's share, which bounds the number of hot keys too
+    per_task = -(-skewed.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    assert hot_keys(skewed, "product_id", 1).count() < int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = F.broadcast(hot_keys(skewed, "product_id", per_task))
     salted = skewed.join(hot, "product_id", "left").withColumn(
         SALT, F.coalesce(F.pmod(F.xxhash64(*[F.col(c) for c in skewed.columns]), F.col(SALTS)), F.lit(0))
@@ -108,3 +109,19 @@ def test_null_keys_are_spread_and_never_match(spark, skewed, products):
     want = sorted(map(tuple, plain.select("transaction_id", "product_id", "product_category").collect()), key=str)
     assert got == want
     assert joined.where(F.col("product_id").isNull() & F.col("product_category").isNotNull()).count() == 0
+
+
+def test_identical_sales_of_a_hot_product_use_several_salts(spark, skewed, products):
+    """The book joins partial rows per user, product, payment and age: distinct, so the salt spreads them."""
+    from conftest import plan_text
+    from tierbook.plans.gold import build_book
+
+    hot = skewed.withColumn("product_id", F.lit(HOT_PRODUCT).cast("long"))
+    copies = hot.unionByName(hot).unionByName(hot)
+    spec = td.testdata_spec()
+    options = dict(latest_sales=False, latest_products=False)
+    book = build_book(copies, products, spec, td.AS_OF, "r", "t", max_broadcast_rows=0, **options)
+    plan = plan_text(book)
+    assert "SortMergeJoin LeftOuter" in plan and "transaction_id" not in plan
+    plain = build_book(copies, products, spec, td.AS_OF, "r", "t", **options)
+    assert book.exceptAll(plain).count() == 0 and plain.exceptAll(book).count() == 0

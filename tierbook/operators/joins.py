@@ -7,9 +7,9 @@ join whose hot keys are salted adaptively:
 
 * a key (the NULL key too, which would otherwise land in one task) is hot
   when it holds more fact rows than one balanced task would
-  (``rows_per_task``, by default total rows / ``spark.sql.shuffle.partitions``);
+  (``rows_per_task``, total rows / ``spark.sql.shuffle.partitions`` at least);
   fewer keys than there are shuffle partitions can qualify, so the hot-key
-  table is itself safe to broadcast;
+  table is itself safe to broadcast, whatever ``rows_per_task`` is given;
 * a hot key with ``n`` rows is split over ``ceil(n / rows_per_task)`` salts,
   so a key holding a third of all rows spreads over a third of the tasks,
   and no join task receives much more than ``rows_per_task`` rows of one key;
@@ -27,20 +27,34 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierbook.session import shared_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 << 20
 
 SALT = "_salt"
 SALTS = "_salts"
 HOT_KEY = "_hot_key"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None) -> bool:
-    """True when the side has at most ``max_rows`` rows (counted unless known)."""
-    rows = known_rows if known_rows is not None else df.count()
-    return rows <= max_rows
+def fits_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, known_rows: int | None = None, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """True when the side has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    One aggregation measures both; a caller who knows that there are too many
+    rows (``known_rows``) saves it, but no side is broadcast unmeasured.
+    """
+    if max_rows <= 0 or (known_rows is not None and known_rows > max_rows):
+        return False
+    size = F.lit(16).cast("long")
+    for f in df.schema.fields:
+        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        size = size + (F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 8 if text else F.lit(16))
+    rows, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and total <= max_bytes
 
 
 def key_counts(fact: DataFrame, key: str) -> DataFrame:
@@ -52,20 +66,17 @@ def hot_keys(fact: DataFrame, key: str, rows_per_task: int | None = None) -> Dat
     """``(key, _salts)`` for every key (NULL included) holding more than
     ``rows_per_task`` rows.
 
-    Only the key column is read. Without an explicit bound the per-key
-    counts are checkpointed to the shared checkpoint folder, so the key
-    column is scanned once for both the total and the hot-key filter; the
-    default bound (total / shuffle partitions) admits fewer hot keys than
-    there are shuffle partitions.
+    Only the key column is read. The per-key counts are checkpointed to the
+    shared checkpoint folder, so it is scanned once for both the total and the
+    hot-key filter. The bound is at least total / shuffle partitions, so fewer
+    keys than there are shuffle partitions are hot.
     """
-    counts = key_counts(fact, key)
-    if rows_per_task is None:
-        spark = fact.sparkSession
-        shared_root(spark)  # checkpoint folder: the session's, else a test one
-        counts = counts.checkpoint()
-        total = counts.agg(F.sum("_rows")).first()[0] or 0
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        rows_per_task = max(1, math.ceil(total / max(1, partitions)))
+    spark = fact.sparkSession
+    shared_root(spark)  # checkpoint folder: the session's, else a test one
+    counts = key_counts(fact, key).checkpoint()
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows_per_task = max(1, math.ceil(total / max(1, partitions)), rows_per_task or 0)
     return counts.where(F.col("_rows") > F.lit(rows_per_task)).select(
         key, F.ceil(F.col("_rows") / F.lit(rows_per_task)).cast("int").alias(SALTS)
     )
@@ -80,7 +91,9 @@ def salted_left_join(
     """Left join on ``key`` with every hot key (NULL too) split over enough tasks.
 
     NULL keys never match, so their rows are only spread, while the
-    dimension rows of a hot non-NULL key are replicated once per salt.
+    dimension rows of a hot non-NULL key are replicated once per salt. The
+    salt is a hash of the row: rows of a hot key should differ (the book joins
+    partial aggregates, which do).
     """
     hot = F.broadcast(hot_keys(fact, key, rows_per_task).withColumnRenamed(key, HOT_KEY))
     # A pure function of the row content, so a retried map task sends every
@@ -96,7 +109,7 @@ def salted_left_join(
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SALTS), F.lit(1)) - F.lit(1))))
         .drop(SALTS, HOT_KEY)
     )
-    return salted_fact.join(salted_dim, [key, SALT], "left").drop(SALT)
+    return salted_fact.join(salted_dim.hint("merge"), [key, SALT], "left").drop(SALT)
 
 
 def left_join_dimension(

@@ -5,12 +5,14 @@ A batch is the set of rows sharing one tuple of stamps, e.g.
 kept; rows are never compared with each other. All refs of the winning batch
 are kept.
 
-``latest_batch`` resolves the stamps one at a time: the newest first stamp
-is a max over that column alone (for a partition column such as silver's
-``ts_proc`` that reads partition values only, no data), the next stamp's max
-is read only inside the partitions already chosen, and the result is a
-filter on literals, so the parquet scan gets static
-``PartitionFilters: [ts_proc = ...]`` and never opens older batches. With
+``latest_batch_of_loads`` takes the stamps from the control table, which has
+one row per load: the newest load with rows wins, and silver is filtered on
+literals of its partition columns, so no file of an older batch is opened.
+
+``latest_batch`` needs no control table. It resolves the stamps one at a time:
+a max over the first stamp (a scan that reads no data column, but opens every
+file), the next stamp's max inside the partitions already chosen, and the
+result is a filter on literals. With
 fixed-width digit stamps this tuple maximum equals the maximum of the
 concatenated key (what ``latest_batch_by_key`` computes directly, with full
 scans); if the newest first stamp only has rows whose next stamp is NULL,
@@ -53,6 +55,19 @@ def latest_batch(df: DataFrame, order: Sequence[str] = PROC_FIRST) -> DataFrame:
     return out
 
 
+def latest_batch_of_loads(df: DataFrame, control: DataFrame, order: Sequence[str] = PROC_FIRST) -> DataFrame:
+    """Rows of the greatest batch that ``control`` (one subject's audit rows)
+    reports rows for; without such a load, what ``latest_batch`` finds."""
+    loads = control.where(F.col("qtd_registros") > 0).select(*order)
+    newest = loads.select(F.max(F.struct(*order)).alias("n")).select("n.*").first()
+    if newest is None or any(v is None for v in newest):
+        return latest_batch(df, order)
+    out = df
+    for c in order:
+        out = out.where(F.col(c) == F.lit(newest[c]))
+    return out
+
+
 def latest_batch_by_key(df: DataFrame, order: Sequence[str] = PROC_FIRST) -> DataFrame:
     """Same result via the concatenated key (no pruning; any stamp widths)."""
     key = batch_key(order)

@@ -6,10 +6,11 @@ the product categories -> partial aggregate by (user, category key, payment
 key, age bucket) -> shuffle (narrow, map-side combined) -> final -> shuffle
 by user (<= 125 narrow rows per user) -> wide pivot -> write.
 
-Above the bound the product join is a shuffle join on product_id whose hot
-products (more rows than one balanced task) are each salted over enough
-tasks; the book's map-side partial aggregation then runs in the
-join's reduce tasks. AQE's skew-join split stays enabled as a backstop.
+Above the bound the sales (five columns) are first reduced to partial
+aggregates per user, product, payment key and age bucket; these distinct rows
+meet the products in a sort-merge join whose hot products (more rows than one
+balanced task) are each salted over enough tasks, and are combined again per
+user and category key. AQE's skew-join split stays enabled as a backstop.
 """
 
 from __future__ import annotations
@@ -19,16 +20,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierbook.operators.book import BookSpec, dimension_key, feature_book
+from tierbook.operators.book import (
+    BUCKET,
+    BookSpec,
+    book_stage_keys,
+    combine_partials,
+    dimension_key,
+    feature_book,
+    pivot_partials,
+    prepare_stage_input,
+    to_partials,
+)
 from tierbook.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
     fits_broadcast,
     salted_left_join,
 )
-from tierbook.operators.latest import FILE_FIRST, PROC_FIRST, latest_batch
+from tierbook.operators.latest import FILE_FIRST, PROC_FIRST, latest_batch, latest_batch_of_loads
 from tierbook.operators.lookback import lookback_filter
 
 
+def _latest(df: DataFrame, control: DataFrame | None, order: Sequence[str]) -> DataFrame:
+    return latest_batch(df, order) if control is None else latest_batch_of_loads(df, control, order)
+
+
 def build_book(
     sales: DataFrame,
     products: DataFrame,
@@ -46,6 +61,8 @@ def build_book(
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     products_rows: int | None = None,
     rows_per_task: int | None = None,
+    sales_control: DataFrame | None = None,
+    products_control: DataFrame | None = None,
     user: str = "user_id",
     product_key: str = "product_id",
     amount: str = "amount",
@@ -53,12 +70,13 @@ def build_book(
 ) -> DataFrame:
     sales = lookback_filter(sales, lookback_start)
     if latest_sales:
-        sales = latest_batch(sales, sales_order)
+        sales = _latest(sales, sales_control, sales_order)
     if latest_products:
-        products = latest_batch(products, products_order)
+        products = _latest(products, products_control, products_order)
 
     # Dimensions whose column comes from the product snapshot.
     from_products = tuple(d for d in spec.dimensions if d.column not in sales.columns)
+    own = tuple(d for d in spec.dimensions if d not in from_products)
     dim_cols = sorted({d.column for d in from_products})
     if method == "two_stage":
         # The two-stage plan only needs each product's small integer key:
@@ -70,6 +88,12 @@ def build_book(
 
     if fits_broadcast(categories, max_broadcast_rows, products_rows):
         enriched = sales.join(F.broadcast(categories), product_key, "left")
+    elif method == "two_stage":
+        # duplicate product rows multiply partial rows as they would multiply sales
+        narrow = prepare_stage_input(sales, spec, as_of, user, amount, date_col, keep=(product_key,), dimensions=own)
+        rows = combine_partials(to_partials(narrow, amount), [product_key, user, *(d.key for d in own), BUCKET])
+        joined = salted_left_join(rows, categories, product_key, rows_per_task)
+        return pivot_partials(combine_partials(joined, book_stage_keys(spec, user)), spec, ref, ts_proc, user)
     else:
         enriched = salted_left_join(sales, categories, product_key, rows_per_task)
     return feature_book(enriched, spec, as_of, ref, ts_proc, user, amount, date_col, method)
@@ -83,21 +107,28 @@ def gold_job(
     spec: BookSpec,
     as_of,
     ts_proc: str,
+    *,
+    sales_control: str | None = None,
+    products_control: str | None = None,
     **book_options,
 ) -> str:
     """Read silver, build the book and write it to gold (partitioned by
     ref/ts_proc, dynamic overwrite, so a rerun of the same stamp replaces
     its own partition). Returns ``gold_dir``.
 
-    The broadcast decision counts the chosen product batch itself (one
-    pruned partition); control rows could describe a different batch when a
-    load was empty or its control write lagged.
+    With the control folders the latest batches are found there, one row per
+    load; without them by scanning silver. The broadcast decision measures the
+    chosen product batch itself (one pruned partition).
     """
     from tierbook.functions.dates import ref_stamp
     from tierbook.schemas import PRODUCTS, SALES
     from tierbook.sinks.writers import write_gold
-    from tierbook.sources.lake import read_silver
+    from tierbook.sources.lake import read_control, read_silver
 
+    if sales_control:
+        book_options["sales_control"] = read_control(spark, sales_control, missing_ok=True)
+    if products_control:
+        book_options["products_control"] = read_control(spark, products_control, missing_ok=True)
     book = build_book(
         read_silver(spark, sales_silver, SALES),
         read_silver(spark, products_silver, PRODUCTS),
@@ -112,7 +143,7 @@ def gold_job(
 
 
 def last_book_stamp(spark, gold_dir: str) -> str | None:
-    """Newest ``ts_proc`` in the gold folder (partition values only)."""
+    """Newest ``ts_proc`` in the gold folder (no data column is read)."""
     try:
         df = spark.read.parquet(gold_dir)
     except Exception as exc:  # no book written yet
@@ -152,6 +183,8 @@ def gold_when_ready(
         spec,
         as_of,
         ts_proc,
+        sales_control=f"{control_root}/sales",
+        products_control=f"{control_root}/products",
         **book_options,
     )
     return True
