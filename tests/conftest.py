@@ -11,10 +11,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tierbook.session import build_session
 
-    session = build_session("local[4]", app_name="tierbook-tests", shuffle_partitions=4)
+    shared = f"file://{tmp_path_factory.mktemp('shared')}"
+    session = build_session("local[4]", app_name="tierbook-tests", shuffle_partitions=4, extra={"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

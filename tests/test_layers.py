@@ -219,3 +219,65 @@ def test_readiness_with_a_subject_never_loaded(spark, lake):
     ran = gold_when_ready(spark, lake.silver, lake.control, lake.gold, REFERENCE_SPEC, "2024-09-30", "20241001090000")
     assert ran is False
     assert read_control(spark, lake.control_of("users"), missing_ok=True).count() == 0
+
+
+def test_text_keeps_its_blanks(spark, lake):
+    rows = [("1", "  padded  ", "Livros "), ("2", "tab\t", " Jogos"), ("3", "plain", "Roupas")]
+    path = snapshot_to_bronze(_products(spark, rows), lake.bronze, "products", "20240930", "20240930120000")
+    assert sorted(map(tuple, read_bronze(spark, path, with_lineage=False).collect())) == rows
+
+
+def test_file_without_line_breaks_is_split(spark, lake):
+    src = spark.range(60_000).selectExpr("cast(id as string) product_id", "repeat('x', 90) product_des", "'Livros' product_category").coalesce(1)
+    path = snapshot_to_bronze(src, lake.bronze, "products", "20240930", "20240930120000")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert read_bronze(spark, path).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_unfinished_snapshot_is_not_the_latest(spark, lake):
+    done = snapshot_to_bronze(_products(spark), lake.bronze, "products", "20240930", "20240930120000")
+    _products(spark).write.option("header", "true").csv(f"{lake.bronze}/products/products_20241001_20241001120000.csv")
+    assert latest_snapshot(spark, f"{lake.bronze}/products", "products").endswith(done.rsplit("/", 1)[1])
+    # the write is taken up again under the same name
+    snapshot_to_bronze(_products(spark), lake.bronze, "products", "20241001", "20241001120000")
+    assert "20241001120000" in latest_snapshot(spark, f"{lake.bronze}/products", "products")
+    with pytest.raises(FileExistsError):
+        snapshot_to_bronze(_products(spark), lake.bronze, "products", "20241001", "20241001120000")
+
+
+def test_empty_rerun_replaces_the_batch(spark, lake):
+    path = snapshot_to_bronze(_products(spark), lake.bronze, "products", "20240930", "20240930120000")
+    args = (spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), "20241001080000", path)
+    load_subject(*args)
+    _products(spark).limit(0).write.mode("overwrite").option("header", "true").csv(path)
+    load_subject(*args)
+    assert read_silver(spark, lake.silver_of("products"), PRODUCTS).count() == 0
+    assert [r.qtd_registros for r in read_control(spark, lake.control_of("products")).collect()] == [0]
+
+
+def test_latest_batch_of_loads_opens_no_older_batch(spark, lake):
+    from conftest import plan_text
+    from tierbook.operators.latest import FILE_FIRST, PROC_FIRST, latest_batch_of_loads
+
+    for day, stamp in (("28", "20241001090000"), ("30", "20241001080000")):
+        path = snapshot_to_bronze(_products(spark), lake.bronze, "products", f"202409{day}", f"202409{day}120000")
+        load_subject(spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), stamp, path)
+    silver = read_silver(spark, lake.silver_of("products"), PRODUCTS)
+    control = read_control(spark, lake.control_of("products"))
+    for order, ref in ((PROC_FIRST, "20240928"), (FILE_FIRST, "20240930")):
+        found = latest_batch_of_loads(silver, control, order)
+        plan = plan_text(found)
+        assert "ts_file_generation" in plan.split("PartitionFilters")[1].split("]")[0]
+        assert {r.ref for r in found.collect()} == {ref} and found.count() == 4
+        assert len(found.inputFiles()) >= 1
+
+
+def test_extract_needs_its_splits():
+    from tierbook.sources.jdbc import extract_table
+
+    with pytest.raises(ValueError):
+        extract_table(None, "jdbc:none", "products")

@@ -40,16 +40,16 @@ def readiness(
     """Per subject: newest load, its row count, and whether it arrived after
     ``since_ts_proc`` (the last book's stamp); ``ready`` when all arrived.
 
-    The control table is first reduced to one row per subject, so everything
-    after that works on at most ``len(subjects)`` rows.
+    Snapshots loaded under one stamp count together. The control table is
+    first reduced to one row per subject, so everything after that works on at
+    most ``len(subjects)`` rows.
     """
-    latest = (
-        control.where(F.col("assunto").isin(list(subjects)))
-        .groupBy("assunto")
-        .agg(
-            F.max("ts_proc").alias("ts_proc"),
-            F.max_by("qtd_registros", "ts_proc").alias("qtd_registros"),
-        )
+    per_stamp = (
+        control.where(F.col("assunto").isin(list(subjects))).groupBy("assunto", "ts_proc").agg(F.sum("qtd_registros").alias("rows"))
+    )
+    newest = F.max(F.struct("ts_proc", "rows"))
+    latest = per_stamp.groupBy("assunto").agg(newest.alias("n")).select(
+        "assunto", "n.ts_proc", F.col("n.rows").alias("qtd_registros")
     )
     wanted = spark.createDataFrame([(s,) for s in subjects], "assunto string")
     since = F.lit(since_ts_proc) if since_ts_proc is not None else F.lit("")

@@ -42,10 +42,11 @@ def load_subject(
     """Load the newest (or the given) bronze snapshot of ``spec`` into silver."""
     path = snapshot_path or latest_snapshot(spark, f"{bronze_dir.rstrip('/')}/{spec.name}", spec.name)
     _, _, ref, tsf = parse_snapshot_name(path)
-    silver = to_silver(read_bronze(spark, path, with_lineage=False), spec, ts_proc, snapshot_path=path)
+    raw = read_bronze(spark, path, with_lineage=False, schema=spec.raw_schema)
+    silver = to_silver(raw, spec, ts_proc, snapshot_path=path)
     assert_schema(silver, spec.silver_schema)
     obs = Observation(f"silver_{spec.name}_{ts_proc}")
-    write_silver(silver.observe(obs, F.count(F.lit(1)).alias("rows")), silver_dir)
-    rows = int(obs.get.get("rows", 0))
-    write_control(control_row(spark, spec.name, ref, tsf, ts_proc, rows), control_dir)
+    write_silver(silver.observe(obs, F.count(F.lit(1)).alias("rows")), silver_dir, ref, ts_proc, tsf)
+    rows = int(obs.get["rows"])  # a missing count fails the load instead of recording an empty one
+    write_control(control_row(spark, spec.name, ref, tsf, ts_proc, rows), control_dir, ref, ts_proc, tsf)
     return LoadResult(spec.name, path, ref, tsf, ts_proc, rows)

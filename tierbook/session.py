@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -45,18 +46,28 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when nothing is configured (local tests) is a
-    private temporary folder created and registered as the checkpoint dir.
+    Read from the session. Without one there is no folder that all executors
+    see, so this fails; a private one is taken in local mode only, where driver
+    and executors are one process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tierbook-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never-reused folder under the shared root for one run."""
-    return f"{shared_root(spark)}/tierbook/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused folder under the shared root for one run; removed when the process ends."""
+    path = f"{shared_root(spark)}/tierbook/{purpose}-{uuid.uuid4().hex[:12]}"
+    atexit.register(remove_path, spark, path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is None:  # the session has ended already
+        return
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)

@@ -1,28 +1,32 @@
 """Layer writers.
 
-Silver and gold are written with dynamic partition overwrite: a retried or
-replayed load for the same ``(ref, ts_proc)`` replaces its own partitions
-instead of duplicating rows, and leaves every other partition untouched.
-No repartition by the partition columns: one load has one ``(ref, ts_proc)``,
-so that would funnel the whole load into a single task.
+Silver and control are laid out by the full batch, ``ref / ts_proc /
+ts_file_generation``; a load overwrites exactly its own leaf, so a retried or
+replayed load replaces its rows (also by none) and touches no other batch.
+Gold uses dynamic partition overwrite of ``(ref, ts_proc)``. No repartition by
+the partition columns: one load has one of each, so that would funnel the
+whole load into a single task.
+
+A bronze snapshot is a folder of part files; it counts only once its row is
+in the subject's manifest, which is written after the CSV is committed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierbook.functions.lineage import snapshot_file_name
-from tierbook.sources.files import CSV_OPTIONS
+from tierbook.functions.lineage import parse_snapshot_name, snapshot_file_name
+from tierbook.sources.files import CSV_OPTIONS, MANIFEST_SCHEMA, manifest_path, read_manifest
 
 
 def bronze_snapshot_path(bronze_dir: str, subject: str, ref: str, ts_file_generation: str) -> str:
     return f"{bronze_dir.rstrip('/')}/{subject}/{snapshot_file_name(subject, ref, ts_file_generation)}"
 
 
-# Bronze CSV is read with multiLine (fields may hold newlines), which makes
-# every file a single split; capping rows per file keeps the silver load
-# parallel however few tasks wrote the snapshot (~1 GB at 200 B/row).
+# A snapshot whose fields hold line breaks is read with multiLine, which makes
+# every file a single split; capping rows per file keeps that load parallel
+# however few tasks wrote the snapshot (~1 GB at 200 B/row).
 BRONZE_MAX_RECORDS_PER_FILE = 5_000_000
 
 
@@ -34,18 +38,40 @@ def write_bronze_snapshot(
     ts_file_generation: str,
     max_records_per_file: int = BRONZE_MAX_RECORDS_PER_FILE,
 ) -> str:
-    """Raw snapshot as CSV text (header, RFC-4180 quoting); never overwrites."""
+    """Raw snapshot as CSV text (header, RFC-4180 quoting, blanks kept).
+
+    Never replaces a committed snapshot; what a failed write of the same name
+    left behind is not committed, and is overwritten.
+    """
     path = bronze_snapshot_path(bronze_dir, subject, ref, ts_file_generation)
+    spark = df.sparkSession
+    known = read_manifest(spark, f"{bronze_dir.rstrip('/')}/{subject}")
+    if not known.where(F.col("snapshot") == path.rsplit("/", 1)[1]).isEmpty():
+        raise FileExistsError(f"{path} is committed already")
     as_text = df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
+    breaks = [F.coalesce(F.max(F.col(c).rlike("[\\r\\n]")), F.lit(False)) for c in df.columns]
+    seen = Observation(f"bronze_{subject}_{ts_file_generation}")
+    counted = as_text.observe(seen, F.count(F.lit(1)).alias("rows"), F.greatest(*breaks, F.lit(False)).alias("line_breaks"))
     (
-        as_text.write.options(**CSV_OPTIONS)
+        counted.write.options(**CSV_OPTIONS)
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("maxRecordsPerFile", str(max_records_per_file))
-        .mode("errorifexists")
+        .mode("overwrite")
         .csv(path)
     )
+    commit_snapshot(spark, bronze_dir, subject, path, bool(seen.get["line_breaks"]), int(seen.get["rows"]))
     return path
 
 
+def commit_snapshot(spark: SparkSession, bronze_dir: str, subject: str, path: str, line_breaks: bool = True, rows: int | None = None) -> None:
+    """Add one complete snapshot to the subject's manifest (for one that was
+    delivered from outside, call this once all its files are there)."""
+    name, _, ref, tsf = parse_snapshot_name(path)
+    row = spark.createDataFrame([(path, name, ref, tsf, rows, line_breaks)], MANIFEST_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(manifest_path(f"{bronze_dir.rstrip('/')}/{subject}"))
+
+
 def _partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
     (
         df.write.partitionBy(*partition_by)
@@ -55,14 +81,21 @@ def _partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> Non
     )
 
 
-def write_silver(df: DataFrame, silver_dir: str) -> None:
-    _partitioned(df, silver_dir, ("ref", "ts_proc"))
+def _leaf(root: str, ref: str, ts_proc: str, ts_file_generation: str) -> str:
+    return f"{root.rstrip('/')}/ref={ref}/ts_proc={ts_proc}/ts_file_generation={ts_file_generation}"
+
+
+def write_silver(df: DataFrame, silver_dir: str, ref: str, ts_proc: str, ts_file_generation: str) -> None:
+    """Overwrite the leaf of one batch (every row of ``df`` belongs to it)."""
+    data = df.drop("ref", "ts_proc", "ts_file_generation")
+    data.write.mode("overwrite").parquet(_leaf(silver_dir, ref, ts_proc, ts_file_generation))
 
 
 def write_gold(df: DataFrame, gold_dir: str) -> None:
     _partitioned(df, gold_dir, ("ref", "ts_proc"))
 
 
-def write_control(df: DataFrame, control_dir: str) -> None:
-    """Audit rows, partitioned by ref, appended."""
-    df.write.partitionBy("ref").mode("append").parquet(control_dir)
+def write_control(row: DataFrame, control_dir: str, ref: str, ts_proc: str, ts_file_generation: str) -> None:
+    """Overwrite the audit row of one load."""
+    data = row.drop("ref", "ts_proc", "ts_file_generation")
+    data.coalesce(1).write.mode("overwrite").parquet(_leaf(control_dir, ref, ts_proc, ts_file_generation))

@@ -2,7 +2,9 @@
 
 Listing goes through Spark's file index (``binaryFile`` with only path and
 modification time selected, so file contents are never read); every file
-under the folder is listed, not one page of it.
+under the folder is listed, not one page of it. A snapshot that is a folder of part
+files is taken only when the subject's manifest names it; a snapshot that is a
+single file is an atomic object and is taken as it is.
 """
 
 from __future__ import annotations
@@ -10,13 +12,40 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierbook.functions import lineage
 
-# Reads back what the bronze writer produces: doubled quotes inside quoted
-# fields and embedded newlines (hence multiLine: each file is one split, so
-# snapshots are written as several part files).
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
+# Reads back what the bronze writer produces: doubled quotes inside quoted fields.
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
+
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("snapshot_path", T.StringType()),
+        T.StructField("snapshot", T.StringType()),
+        T.StructField("ref", T.StringType()),
+        T.StructField("ts_file_generation", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("line_breaks", T.BooleanType()),
+    ]
+)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def manifest_path(subject_dir: str) -> str:
+    return f"{subject_dir.rstrip('/')}/manifest"
+
+
+def read_manifest(spark: SparkSession, subject_dir: str) -> DataFrame:
+    """One row per committed snapshot (none if nothing was committed yet)."""
+    path = manifest_path(subject_dir)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
 
 
 class NoSnapshotError(FileNotFoundError):
@@ -43,16 +72,27 @@ def list_snapshots(spark: SparkSession, bronze_dir: str, subject: str) -> DataFr
             lineage.snapshot_ref(F.col("path")).alias("ref"),
             lineage.snapshot_ts(F.col("path")).alias("ts_file_generation"),
             F.col("modificationTime"),
+            (F.col("path") != root).alias("in_folder"),
         )
         .groupBy("snapshot_path", "snapshot", "ref", "ts_file_generation")
-        .agg(F.max("modificationTime").alias("modified"))
+        .agg(F.max("modificationTime").alias("modified"), F.bool_or("in_folder").alias("is_folder"))
+    )
+
+
+def committed_snapshots(spark: SparkSession, subject_dir: str, subject: str) -> DataFrame:
+    """The snapshots of ``subject`` that are complete: single files, and the
+    folders that the manifest names."""
+    named = read_manifest(spark, subject_dir).select("snapshot").distinct()
+    found = list_snapshots(spark, subject_dir, subject)
+    return found.join(named.withColumn("committed", F.lit(True)), "snapshot", "left").where(
+        ~F.col("is_folder") | F.coalesce("committed", F.lit(False))
     )
 
 
 def latest_snapshot(spark: SparkSession, bronze_dir: str, subject: str) -> str:
-    """Path of the most recently modified snapshot (ties: newest stamp in name)."""
+    """Path of the most recently modified complete snapshot (ties: newest stamp in name)."""
     try:
-        snaps = list_snapshots(spark, bronze_dir, subject)
+        snaps = committed_snapshots(spark, bronze_dir, subject)
         best = snaps.orderBy(F.col("modified").desc(), F.col("ts_file_generation").desc()).select("snapshot_path").first()
     except AnalysisException as exc:  # the folder itself does not exist
         if "PATH_NOT_FOUND" not in str(exc):
@@ -63,9 +103,26 @@ def latest_snapshot(spark: SparkSession, bronze_dir: str, subject: str) -> str:
     return best["snapshot_path"]
 
 
-def read_bronze(spark: SparkSession, path: str, with_lineage: bool = True) -> DataFrame:
-    """Header-named, all-string CSV rows (+ the file path for lineage)."""
-    df = spark.read.options(**CSV_OPTIONS).csv(path)
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a field of the snapshot may hold a line break (yes, unless its manifest row says no)."""
+    subject_dir, name = path.rstrip("/").rsplit("/", 1)
+    row = read_manifest(spark, subject_dir).where(F.col("snapshot") == name).agg(F.max("line_breaks")).first()
+    return row[0] is not False
+
+
+def read_bronze(spark: SparkSession, path: str, with_lineage: bool = True, schema: T.StructType | None = None) -> DataFrame:
+    """Header-named, all-string CSV rows (+ the file path for lineage).
+
+    Files are split unless fields may hold line breaks. With ``schema`` every
+    file must have the same header; a column of ``schema`` that it lacks fails
+    when it is selected, more columns are left to the caller.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(has_line_breaks(spark, path)).lower())
+    df = reader.csv(path)
+    if schema is not None:
+        # the header's own columns, declared as text: a file with another order fails instead of being misread
+        declared = T.StructType([T.StructField(c, T.StringType()) for c in df.columns])
+        df = reader.schema(declared).option("enforceSchema", "false").csv(path)
     if with_lineage:
         df = df.withColumn("_file_path", F.col("_metadata.file_path"))
     return df

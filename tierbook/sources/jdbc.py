@@ -1,7 +1,9 @@
 """Full-table relational extract (``SELECT *`` every run), read in parallel.
 
-The table is split into ``num_partitions`` range reads on a numeric or date
-column, so no single process ever holds the whole table. Credentials come
+The table is split into ``num_partitions`` range reads on a numeric, date or
+timestamp column, or into one read per predicate, so no single process ever
+holds the whole table; a read through one connection and task has to be asked
+for. Credentials come
 from the caller (e.g. a secret store), never from files in the repository.
 """
 
@@ -18,12 +20,18 @@ def extract_table(
     partition_column: str | None = None,
     lower_bound: int | str | None = None,
     upper_bound: int | str | None = None,
-    num_partitions: int = 1,
+    num_partitions: int | None = None,
     fetch_size: int = 10_000,
+    predicates: list[str] | None = None,
+    single_task: bool = False,
 ) -> DataFrame:
     props = {"fetchsize": str(fetch_size), **(properties or {})}
-    if partition_column is None:
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=predicates, properties=props)
+    if single_task:
         return spark.read.jdbc(url, table, properties=props)
+    if partition_column is None or lower_bound is None or upper_bound is None or not num_partitions:
+        raise ValueError("an extract needs a partition column with bounds and a number of partitions, or predicates, or single_task")
     return spark.read.jdbc(
         url,
         table,

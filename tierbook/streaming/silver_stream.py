@@ -1,14 +1,17 @@
 """New bronze snapshots -> silver, incrementally.
 
-A file-source stream over the subject's bronze folder feeds ``foreachBatch``,
-which runs the same typed, lineage-stamped projection as the batch load and
-writes silver plus control rows. The checkpoint (in the shared folder)
-records which files were consumed, so a rerun with no new files writes
-nothing, and a lost driver resumes where it stopped.
-
-Replays are idempotent: a micro-batch's ``ts_proc`` is derived from the run's
-base stamp plus the batch id (the same on replay), and silver partitions are
-replaced by dynamic overwrite.
+The stream follows the subject's manifest, which gets a row once a snapshot is
+complete; a snapshot still being written is never seen, and its part files
+are always loaded together. Each micro-batch runs the batch load for its
+snapshots, so silver, control rows (a header-only snapshot's zero row too) and
+checks are the same. The checkpoint (in the shared folder) records which
+manifest rows were consumed: a rerun with nothing new writes nothing, and a
+lost driver resumes where it stopped.
+
+Replays are idempotent: the stamp of a micro-batch is written beside the
+checkpoint when it is first tried, and a replay of the same batch takes it
+from there, whatever stamp the new run was given; every load overwrites its
+own leaf.
 """
 
 from __future__ import annotations
@@ -19,12 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierbook.operators.control import control_rows
-from tierbook.operators.silver import to_silver
+from tierbook.plans.silver import load_subject
 from tierbook.schemas import SubjectSpec
-from tierbook.sinks.writers import write_control, write_silver
-from tierbook.sources.files import CSV_OPTIONS
-from tierbook.sources.lake import read_silver
+from tierbook.sources.files import MANIFEST_SCHEMA, manifest_path, path_exists
 
 STAMP = "%Y%m%d%H%M%S"
 
@@ -35,6 +35,17 @@ def batch_ts_proc(base_ts_proc: str, batch_id: int) -> str:
     return (base + dt.timedelta(seconds=batch_id)).strftime(STAMP)
 
 
+def stamp_of_batch(spark: SparkSession, checkpoint_dir: str, batch_id: int, base_ts_proc: str) -> str:
+    """The micro-batch's stamp: the one it was first tried with."""
+    path, known = f"{checkpoint_dir.rstrip('/')}-stamps/batch={batch_id}", None
+    if path_exists(spark, path):
+        known = spark.read.schema("ts_proc string").parquet(path).agg(F.min("ts_proc")).first()[0]
+    if known is None:  # not tried yet (or lost before its stamp was complete)
+        known = batch_ts_proc(base_ts_proc, batch_id)
+        spark.createDataFrame([(known,)], "ts_proc string").coalesce(1).write.mode("overwrite").parquet(path)
+    return known
+
+
 def start_silver_stream(
     spark: SparkSession,
     spec: SubjectSpec,
@@ -45,35 +56,26 @@ def start_silver_stream(
     base_ts_proc: str,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the stream. Every file that is new at a trigger goes into one
-    micro-batch, so the part files of one snapshot always share a
-    ``ts_proc`` (a per-trigger file cap could split a snapshot)."""
-    source = f"{bronze_dir.rstrip('/')}/{spec.name}/{spec.name}_*_*.csv"
-    reader = (
-        spark.readStream.schema(spec.raw_schema)
-        .options(**CSV_OPTIONS)
-        .option("enforceSchema", "false")  # header names must match the subject
-    )
-    raw = reader.csv(source).withColumn("_file_path", F.col("_metadata.file_path"))
+    """Start the stream over the manifest of ``spec``."""
+    subject_dir = f"{bronze_dir.rstrip('/')}/{spec.name}"
+    committed = spark.readStream.schema(MANIFEST_SCHEMA).parquet(manifest_path(subject_dir))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():  # header-only snapshots: nothing to write or count
+        session = batch.sparkSession
+        paths = [r["snapshot_path"] for r in batch.select("snapshot_path").distinct().orderBy("snapshot_path").collect()]
+        if not paths:
             return
-        ts_proc = batch_ts_proc(base_ts_proc, batch_id)
-        silver = to_silver(batch, spec, ts_proc)
-        write_silver(silver, silver_dir)
-        # Control rows from what was written: only this batch's ts_proc
-        # partitions and one small column are read, not the CSV again.
-        written = read_silver(batch.sparkSession, silver_dir, spec).where(F.col("ts_proc") == F.lit(ts_proc))
-        write_control(control_rows(written, spec.name), control_dir)
-
-    writer = raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_dir)
+        ts_proc = stamp_of_batch(session, checkpoint_dir, batch_id, base_ts_proc)
+        for path in paths:  # a row per new snapshot; the loads themselves are distributed
+            load_subject(session, spec, bronze_dir, silver_dir, control_dir, ts_proc, path)
+
+    writer = committed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
 def run_silver_stream(*args, **kwargs) -> None:
-    """Process every snapshot that has arrived, then stop."""
+    """Process every snapshot that has been committed, then stop."""
     query = start_silver_stream(*args, **kwargs)
     query.awaitTermination()
     if query.exception() is not None:
