@@ -153,6 +153,14 @@ def _book_sql(literal: bool = False, family: str | None = None, where: str = "",
     return _with(sales, PRODUCTS, ENRICHED, AGED) + f"\nSELECT\n  {cols}\nFROM aged {where}\nGROUP BY user_id"
 
 
+# The same with every window on the sale's date instead of the snapshot's ref.
+SALE_DATED = AGED.replace("CAST(try_strptime(ref, '%Y%m%d') AS DATE) AS r_date", "dat_creation AS r_date")
+
+
+def _sale_date_book(sales: str = SALES) -> str:
+    return _book_sql(sales=sales).replace(AGED, SALE_DATED)
+
+
 # Sales after the bronze CSV -> silver load: every row carries the snapshot's
 # ref (so all ages are equal) and the ids are text.
 SALES_SILVER = """
@@ -247,6 +255,29 @@ def oracle_sql() -> dict[str, str]:
             "gold_roundtrip": book,
             "gold_from_silver": _book_sql(sales=SALES_SILVER),
             "gold_job": _book_sql(sales=SALES_SILVER),
+            "recency_flags_long": _with(SALES, PRODUCTS, ENRICHED, SALE_DATED)
+            + "\nSELECT transaction_id, user_id, dat_creation,"
+            " CASE WHEN age <= 12 THEN 1 ELSE 0 END AS flag_u12m,"
+            " CASE WHEN age <= 24 THEN 1 ELSE 0 END AS flag_u24m,"
+            " CASE WHEN age <= 36 THEN 1 ELSE 0 END AS flag_u36m FROM aged",
+            "feature_book_sale_date": _sale_date_book(),
+            "gold_job_sale_date": _sale_date_book(SALES_SILVER),
+            "silver_two_snapshots_one_stamp": _product_rows("20010731", "20010731000000", "20010731120000")
+            + " UNION ALL "
+            + _product_rows("20010731", "20010731060000", "20010731120000"),
+            "control_rerun": "SELECT 'products' AS assunto, '20010730' AS ref, '20010730000000' AS ts_file_generation,"
+            " '20010730120000' AS ts_proc, (SELECT COUNT(*) FROM part) AS qtd_registros"
+            " UNION ALL SELECT 'products', '20010731', '20010731000000', '20010731120000', (SELECT COUNT(*) FROM part)",
+            "readiness_ready": "SELECT assunto, ts_proc, CASE assunto WHEN 'products' THEN 2 ELSE 1 END * qtd_registros"
+            f" AS qtd_registros, true AS received, true AS ready FROM ({_control_sql()}) c",
+            "latest_file_committed": "SELECT CAST(p_partkey AS VARCHAR) AS product_id,"
+            " 'products_20010730_20010730000000.csv' AS filename, '20010730' AS ref,"
+            " '20010730000000' AS ts_file_generation FROM part",
+            "stream_control": "SELECT 'products' AS assunto, '20010730' AS ref, '20010730000000' AS ts_file_generation,"
+            " '20010801030000' AS ts_proc, (SELECT COUNT(*) FROM part) AS qtd_registros"
+            " UNION ALL SELECT 'products', '20010731', '20010731000000', '20010801030000', 0",
+            "silver_latest_of_loads": _product_rows("20010731", "20010731000000", "20010731110000"),
+            "silver_latest_of_loads_proc_first": _product_rows("20010730", "20010730000000", "20010731120000"),
             "stream_silver": _product_rows("20010730", "20010730000000", "20010801030000")
             + " UNION ALL "
             + _product_rows("20010731", "20010731000000", "20010801030000"),

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from tierbook.schemas import SUBJECTS
@@ -44,9 +45,13 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--jdbc-url")
     b.add_argument("--table")
     b.add_argument("--partition-column")
-    b.add_argument("--lower-bound", type=int)
-    b.add_argument("--upper-bound", type=int)
-    b.add_argument("--num-partitions", type=int, default=1)
+    b.add_argument("--lower-bound", help="number, date or timestamp")
+    b.add_argument("--upper-bound", help="number, date or timestamp")
+    b.add_argument("--num-partitions", type=int)
+    b.add_argument("--predicate", action="append", help="one read per predicate (repeatable)")
+    b.add_argument("--single-task", action="store_true", help="read the table through one connection")
+    b.add_argument("--property", action="append", default=[], metavar="KEY=VALUE", help="driver property, e.g. driver=..., user=...")
+    b.add_argument("--password-env", help="name of the environment variable that holds the password")
 
     for name in ("silver", "stream"):
         p = sub.add_parser(name, help=f"{name} load of one subject")
@@ -59,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--as-of", required=True)
     g.add_argument("--ts-proc", required=True)
     g.add_argument("--literal", action="store_true", help="reproduce the published 12-month text")
-    g.add_argument("--lookback", action="store_true", help="prune refs older than 365 days")
+    g.add_argument("--lookback", action="store_true", help="prune refs older than 365 days: cuts the whole-history columns, and the 12-month ones at their edge")
+    g.add_argument("--date-col", default="ref", help="column that ages are taken from, e.g. dat_creation")
     g.add_argument("--when-ready", action="store_true", help="only if every subject arrived since the last book")
 
     r = sub.add_parser("ready", help="print the readiness gate")
@@ -83,9 +89,13 @@ def main(argv: list[str] | None = None) -> int:
         else:
             from tierbook.sources.jdbc import extract_table
 
+            properties = dict(p.split("=", 1) for p in args.property)
+            if args.password_env:
+                properties["password"] = os.environ[args.password_env]
             source = extract_table(
-                spark, args.jdbc_url, args.table, None, args.partition_column,
+                spark, args.jdbc_url, args.table, properties, args.partition_column,
                 args.lower_bound, args.upper_bound, args.num_partitions,
+                predicates=args.predicate, single_task=args.single_task,
             )
         print(snapshot_to_bronze(source, paths["bronze"], args.subject, args.ref, args.ts))
     elif args.job == "silver":
@@ -110,7 +120,9 @@ def main(argv: list[str] | None = None) -> int:
         from tierbook.plans.gold import gold_job, gold_when_ready
 
         spec = literal_spec(REFERENCE_SPEC) if args.literal else REFERENCE_SPEC
-        options = {"lookback_start": lookback_start(args.as_of)} if args.lookback else {}
+        options = {"date_col": args.date_col}
+        if args.lookback:
+            options["lookback_start"] = lookback_start(args.as_of)
         if args.when_ready:
             ran = gold_when_ready(
                 spark, paths["silver"], paths["control"], paths["gold"], spec, args.as_of, args.ts_proc, **options
@@ -119,7 +131,8 @@ def main(argv: list[str] | None = None) -> int:
         else:
             gold_job(
                 spark, f"{paths['silver']}/sales", f"{paths['silver']}/products",
-                paths["gold"], spec, args.as_of, args.ts_proc, **options,
+                paths["gold"], spec, args.as_of, args.ts_proc,
+                sales_control=f"{paths['control']}/sales", products_control=f"{paths['control']}/products", **options,
             )
     elif args.job == "ready":
         from tierbook.operators.control import readiness

@@ -24,7 +24,7 @@ from tierbook.plans.gold import build_book
 from tierbook.plans.silver import load_subject
 from tierbook.schemas import PRODUCTS, SALES, USERS
 from tierbook.session import scratch_path
-from tierbook.sinks.writers import write_gold
+from tierbook.sinks.writers import bronze_snapshot_path, write_gold
 from tierbook.sources import testdata as td
 from tierbook.sources.files import latest_snapshot, read_bronze
 from tierbook.sources.lake import read_control, read_gold, read_silver
@@ -279,6 +279,102 @@ def q_gold_job(spark, sf_dir):
     return read_gold(spark, lake.gold, spec, T.StringType())
 
 
+def q_recency_flags_long(spark, sf_dir):
+    # windows of one, two and three years, on the sale's date
+    s = td.sales(spark, sf_dir).select("transaction_id", "user_id", "dat_creation")
+    return month_flags(s, td.AS_OF, (12, 24, 36), "dat_creation")
+
+
+def q_feature_book_sale_date(spark, sf_dir):
+    return _book(spark, sf_dir, date_col="dat_creation")
+
+
+def q_gold_job_sale_date(spark, sf_dir):
+    # ages from the sale's date, through bronze and silver; batches from the control rows
+    from pyspark.sql import types as T
+
+    from tierbook.plans.gold import gold_job
+
+    lake = Lake(spark, "gold-sale-date")
+    _load(spark, lake, PRODUCTS, _products_source(spark, sf_dir), td.PRODUCTS_REF, td.PRODUCTS_TSF, td.PRODUCTS_TS_PROC)
+    _load(spark, lake, SALES, _sales_source(spark, sf_dir), SALES_REF, SALES_TSF, SALES_TS_PROC)
+    spec = td.testdata_spec()
+    gold_job(
+        spark, lake.silver_of("sales"), lake.silver_of("products"), lake.gold, spec, td.AS_OF, td.BOOK_TS_PROC,
+        sales_control=lake.control_of("sales"), products_control=lake.control_of("products"), date_col="dat_creation",
+    )
+    return read_gold(spark, lake.gold, spec, T.StringType())
+
+
+def q_silver_two_snapshots_one_stamp(spark, sf_dir):
+    lake = Lake(spark, "silver-two")
+    src = _products_source(spark, sf_dir)
+    for tsf in ("20010731000000", "20010731060000"):
+        _load(spark, lake, PRODUCTS, src, "20010731", tsf, "20010731120000")
+    return read_silver(spark, lake.silver_of("products"), PRODUCTS)
+
+
+def q_control_rerun(spark, sf_dir):
+    # two loads, then one of them again: one row per load
+    lake = Lake(spark, "control-rerun")
+    src = _products_source(spark, sf_dir)
+    for day in ("30", "31"):
+        path = snapshot_to_bronze(src, lake.bronze, "products", f"200107{day}", f"200107{day}000000")
+        for _ in range(1 if day == "30" else 2):
+            load_subject(
+                spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), f"200107{day}120000", path
+            )
+    return read_control(spark, lake.control_of("products"))
+
+
+def q_readiness_ready(spark, sf_dir):
+    # every subject arrived; two product snapshots under one stamp count together
+    lake = Lake(spark, "readiness-ready")
+    _three_loads(spark, sf_dir, lake)
+    _load(spark, lake, PRODUCTS, _products_source(spark, sf_dir), td.PRODUCTS_REF, "20010731060000", td.PRODUCTS_TS_PROC)
+    control = read_control(spark, *(lake.control_of(s) for s in SUBJECT_NAMES))
+    return readiness(spark, control, SUBJECT_NAMES, "20010731000000")
+
+
+def q_latest_file_committed(spark, sf_dir):
+    # a newer snapshot whose write never finished is not taken
+    lake = Lake(spark, "latest-committed")
+    src = _products_source(spark, sf_dir)
+    snapshot_to_bronze(src, lake.bronze, "products", "20010730", "20010730000000")
+    src.write.option("header", "true").csv(bronze_snapshot_path(lake.bronze, "products", "20010731", "20010731000000"))
+    path = latest_snapshot(spark, f"{lake.bronze}/products", "products")
+    rows = lineage_columns(read_bronze(spark, path), td.PRODUCTS_TS_PROC)
+    return rows.select("product_id", "filename", "ref", "ts_file_generation")
+
+
+def q_stream_control(spark, sf_dir):
+    # a header-only snapshot gets its zero row from the stream
+    lake = Lake(spark, "stream-control")
+    src = _products_source(spark, sf_dir)
+    snapshot_to_bronze(src, lake.bronze, "products", "20010730", "20010730000000")
+    snapshot_to_bronze(src.where("false"), lake.bronze, "products", "20010731", "20010731000000")
+    run_silver_stream(
+        spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), f"{lake.checkpoints}/products", STREAM_BASE_TS_PROC
+    )
+    return read_control(spark, lake.control_of("products"))
+
+
+def _two_product_loads(spark, sf_dir, purpose):
+    lake = Lake(spark, purpose)
+    src = _products_source(spark, sf_dir)
+    _load(spark, lake, PRODUCTS, src, "20010730", "20010730000000", "20010731120000")
+    _load(spark, lake, PRODUCTS, src, "20010731", "20010731000000", "20010731110000")
+    return read_silver(spark, lake.silver_of("products"), PRODUCTS), read_control(spark, lake.control_of("products"))
+
+
+def q_silver_latest_of_loads(spark, sf_dir):
+    return latest.latest_batch_of_loads(*_two_product_loads(spark, sf_dir, "latest-loads"), latest.FILE_FIRST)
+
+
+def q_silver_latest_of_loads_proc_first(spark, sf_dir):
+    return latest.latest_batch_of_loads(*_two_product_loads(spark, sf_dir, "latest-loads-proc"), latest.PROC_FIRST)
+
+
 def q_stream_silver(spark, sf_dir):
     lake = Lake(spark, "stream")
     src = _products_source(spark, sf_dir)
@@ -325,4 +421,14 @@ QUERIES: dict[str, Query] = {
     "gold_from_silver": q_gold_from_silver,
     "gold_job": q_gold_job,
     "stream_silver": q_stream_silver,
+    "recency_flags_long": q_recency_flags_long,
+    "feature_book_sale_date": q_feature_book_sale_date,
+    "gold_job_sale_date": q_gold_job_sale_date,
+    "silver_two_snapshots_one_stamp": q_silver_two_snapshots_one_stamp,
+    "control_rerun": q_control_rerun,
+    "readiness_ready": q_readiness_ready,
+    "latest_file_committed": q_latest_file_committed,
+    "stream_control": q_stream_control,
+    "silver_latest_of_loads": q_silver_latest_of_loads,
+    "silver_latest_of_loads_proc_first": q_silver_latest_of_loads_proc_first,
 }
