@@ -28,16 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .native import lower_words, with_shingles
-from .scratch import materialise
+from .scratch import materialise, small
 
 SHINGLE = 5
 PERCENT = 75
-BROADCAST_ROWS = 1_000_000
-
-
-def _small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for a broadcast if a count shows that it is small enough."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
 def sketches(items: DataFrame, percent: int) -> DataFrame:
@@ -83,9 +77,9 @@ def contaminated(
 
     low = F.filter("shingles", lambda h: h <= F.lit(highest))
     posted = shingled(source).select("key", F.explode_outer(low).alias("hash"))
-    found = materialise(posted.join(_small(sketch.select("hash", "item")), "hash").select("key", "item").distinct(), "found")
-    held = shingled(source.join(_small(found.select("key").distinct()), "key"))
-    pairs = held.join(_small(found), "key").join(_small(item_sets.withColumnRenamed("shingles", "own")), "item")
+    found = materialise(posted.join(small(sketch.select("hash", "item")), "hash").select("key", "item").distinct(), "found")
+    held = shingled(source.join(small(found.select("key").distinct()), "key"))
+    pairs = held.join(small(found), "key").join(small(item_sets.withColumnRenamed("shingles", "own")), "item")
     common = F.size(F.array_intersect("shingles", "own"))
     return (
         pairs.select("id", "key", "item_id", F.size("own").cast("long").alias("n_item"), common.cast("long").alias("n_common"))
@@ -98,4 +92,4 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """``docs`` without the documents that hold an item."""
     found = materialise(contaminated(docs, items, id_col, text_col, **options).select("key").distinct(), "contaminated")
     keyed = docs.withColumn("_document_key", F.xxhash64(id_col, text_col))
-    return keyed.join(_small(found.withColumnRenamed("key", "_document_key")), "_document_key", "left_anti").drop("_document_key")
+    return keyed.join(small(found.withColumnRenamed("key", "_document_key")), "_document_key", "left_anti").drop("_document_key")

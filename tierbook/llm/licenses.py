@@ -28,9 +28,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .decontaminate import _small, sketches
+from .decontaminate import sketches
 from .native import with_shingles
-from .scratch import materialise
+from .scratch import materialise, small
 
 SHINGLE = 5
 PERCENT = 75
@@ -119,10 +119,10 @@ def scan(
     posted = shingled(source).select("key", F.posexplode_outer("shingles").alias("at", "hash"))
     # a shingle stands in the sketches of the two windows (one at the start) that hold it
     last = F.floor(F.col("at") / step)
-    hit = posted.join(_small(bands), "hash").select("key", "item", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)).alias("window"))
+    hit = posted.join(small(bands), "hash").select("key", "item", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)).alias("window"))
     retrieved = materialise(hit.distinct().groupBy("key", "item").agg(F.count("*").alias("n_windows")), "retrieved")
-    held = shingled(source.join(_small(retrieved.select("key").distinct()), "key"))
-    pairs = held.join(_small(retrieved), "key").join(_small(sets), "item")
+    held = shingled(source.join(small(retrieved.select("key").distinct()), "key"))
+    pairs = held.join(small(retrieved), "key").join(small(sets), "item")
     common = F.size(F.array_intersect("shingles", "own")).cast("long")
     return pairs.select(
         "id", "license", "template", F.size("own").cast("long").alias("n_template"), common.alias("n_common"), "n_windows"

@@ -52,6 +52,15 @@ def packed_rest(df: DataFrame, *taken: str) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(None).cast("byte")
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (rows of a few longs) marked for a broadcast if a count shows that
+    it has at most ``limit`` rows; else as it is, for a shuffle join with the same result."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
