@@ -8,15 +8,18 @@ with equal sets form one class; classes are posted under their
 Prefix merging: a pair of classes with ``MATCHES`` or more equal coordinates
 shares one of the ``COORDINATES - MATCHES + 1`` rarest of each, so only these
 are posted; values that occur once are never posted. Skip merging: lists are
-not multiplied out. Each list names hubs; every other member is compared with
+not multiplied out. Each list names hubs, first the member that collides with
+others most often (of near copies, the original); every other member is compared with
 the hubs, skipping members of the hub's own component and of too different a
 size; equal coordinates are counted on the full signatures; pairs at or above
 the threshold are confirmed on the full sets. A hub has then met the whole
 list and leaves it; lists whose members are all in one component are done; the
 others name more hubs (eight times as many each round) among the members
-outside the first hub's component. This goes on until every list is done, so
-no link between components is lost and the pairs of a large group of near
-copies are not enumerated.
+outside the component of the smallest label. This goes on until every list is
+done, so no link between components is lost and the pairs of a large group of
+near copies are not enumerated. Postings carry the set's size and two bits of
+each coordinate, later also a sketch of 512 bins, by which most pairs of a
+list that are not near fall out before they are made.
 
 At a similarity of exactly 0.75 a pair fails the threshold of 32 equal
 coordinates of 64 with a probability of about 1e-6 (binomial tail), at 0.8
@@ -39,13 +42,15 @@ from pyspark.sql.window import Window
 
 from . import textkit as tk
 from .components import components
-from .scratch import materialise, packed_rest
+from .scratch import materialise, packed_rest, small
 
 SHINGLE = 5
 COORDINATES = 64
 MATCHES = 32
 PERCENT = 75
 HUB_GROWTH = 8
+BINS = 512
+BIN_BITS = 4
 _BLOCK = 4096
 
 
@@ -64,6 +69,19 @@ def shingle_sets(docs: list[bytes], size: int):
             yield tk.shingle_hashes(words[a:b], b - a) if b > a else words[:0]
 
 
+def bin_sketch(own: np.ndarray) -> np.ndarray:
+    """A finer sketch: ``BINS`` bins of one more hash; eight longs that tell which
+    bins are taken, then eight for each of the low ``BIN_BITS`` bits of each bin's minimum."""
+    h = np.sort(tk.mix(own ^ np.uint64(tk.BASE_A)))
+    bins = (h >> np.uint64(64 - 9)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], bins[1:] != bins[:-1]])) if len(h) else bins
+    planes = np.zeros((1 + BIN_BITS, BINS), dtype=bool)
+    planes[0, bins[first]] = True
+    for bit in range(BIN_BITS):
+        planes[1 + bit, bins[first]] = (h[first] >> np.uint64(bit)) & np.uint64(1)
+    return np.packbits(planes, bitorder="little").view(np.int64)
+
+
 def _signatures(size: int, coordinates: int):
     rng = np.random.default_rng(20240607)
     factor = rng.integers(1, 1 << 63, coordinates, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -72,11 +90,12 @@ def _signatures(size: int, coordinates: int):
     def run(batches):
         for batch in batches:
             for part in tk.chunks(batch):
-                n, one, two, signature = [], [], [], []
+                n, one, two, signature, bins = [], [], [], [], []
                 for own in shingle_sets(tk.texts(part.column("text")), size):
                     n.append(len(own))
                     one.append(np.add.reduce(tk.mix(own)))
                     two.append(np.bitwise_xor.reduce(tk.mix(own ^ np.uint64(tk.BASE_B))))
+                    bins.append(bin_sketch(own))
                     least = np.full(coordinates, np.iinfo(np.uint64).max, dtype=np.uint64)
                     for at in range(0, len(own), _BLOCK):
                         least = np.minimum(least, (own[at : at + _BLOCK, None] * factor + shift).min(axis=0))
@@ -90,8 +109,9 @@ def _signatures(size: int, coordinates: int):
                         pa.array(np.array(one, dtype=np.uint64).view(np.int64)),
                         pa.array(np.array(two, dtype=np.uint64).view(np.int64)),
                         pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * coordinates, np.concatenate(signature)),
+                        pa.ListArray.from_arrays(np.arange(len(n) + 1, dtype=np.int32) * len(bins[0]), np.concatenate(bins)),
                     ],
-                    names=["id", "row", "rest", "n", "one", "two", "signature"],
+                    names=["id", "row", "rest", "n", "one", "two", "signature", "bins"],
                 )
 
     return run
@@ -110,6 +130,57 @@ def _sets(size: int):
     return run
 
 
+_MEMBER = ("class", "weight", "n", "p0", "p1")
+
+
+def _plane(bit: int) -> Column:
+    """One bit of each of the (at most 64) first coordinates, as a long."""
+    return F.aggregate(
+        F.slice("signature", 1, 64),
+        F.lit(0).cast("long"),
+        lambda sum_, value: F.shiftleft(sum_, 1).bitwiseOR(F.shiftright(value, bit).bitwiseAND(1).cast("long")),
+    )
+
+
+def _alike(coordinates: int, percent: int) -> Column:
+    """Whether a posted pair can be near: sizes, and the two bit planes of the signatures.
+
+    Of two sets as similar as ``percent`` an unequal coordinate differs in one
+    of two bits with a probability of 3/4; the bound on the number that do is
+    its mean plus five and a half standard deviations.
+    """
+    seen = min(coordinates, 64)
+    chance = (100 - percent) / 100 * 0.75
+    bound = int(seen * chance + 5.5 * (seen * chance * (1 - chance)) ** 0.5)
+    differ = F.bit_count(F.col("p0").bitwiseXOR(F.col("hub_p0")).bitwiseOR(F.col("p1").bitwiseXOR(F.col("hub_p1"))))
+    return (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")) & (differ <= bound)
+
+
+def _alike_bins(percent: int) -> Column:
+    """Whether the finer sketches allow the similarity: the share of equal bins
+    among those that either set takes has the similarity as its mean; the bound
+    is that less five and a half standard deviations (of a sample without
+    replacement from the union) and a hundredth."""
+    longs = BINS // 64
+
+    def plane(column: str, k: int, i: Column) -> Column:
+        return F.get(column, i + k * longs)
+
+    def equal(i: Column) -> Column:
+        differ = plane("bins", 1, i).bitwiseXOR(plane("hub_bins", 1, i))
+        for k in range(2, 1 + BIN_BITS):
+            differ = differ.bitwiseOR(plane("bins", k, i).bitwiseXOR(plane("hub_bins", k, i)))
+        return F.bit_count(plane("bins", 0, i).bitwiseAND(plane("hub_bins", 0, i)).bitwiseAND(F.bitwise_not(differ)))
+
+    at = F.sequence(F.lit(0), F.lit(longs - 1))
+    same = F.aggregate(at, F.lit(0), lambda total, i: total + equal(i))
+    taken = F.aggregate(at, F.lit(0), lambda total, i: total + F.bit_count(plane("bins", 0, i).bitwiseOR(plane("hub_bins", 0, i))))
+    p = percent / 100
+    union = (F.col("n") + F.col("hub_n")) / (1 + p)
+    spread = F.sqrt(p * (1 - p) / taken * F.greatest(1 - taken / union, F.lit(0.02)))
+    return same >= taken * (p - 0.01 - 5.5 * spread)
+
+
 def _postings(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
     """(token, class): each class under its rarest tokens, those that occur once left out."""
     token = F.col("at").cast("long") * F.lit(1 << 32) + F.col("value").cast("long")
@@ -121,9 +192,12 @@ def _postings(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
         "token",
         F.row_number().over(own.orderBy("f", "token")).alias("rank"),
         F.count("*").over(own).alias("known"),
+        # how often the class meets others; the low bits of its hash break ties
+        (F.shiftleft(F.least(F.sum("f").over(own), F.lit((1 << 42) - 1)), 20) + F.col("class").bitwiseAND((1 << 20) - 1)).alias("weight"),
     )
     # the tokens that occur once come first in the order of rarity
-    return ranked.where(F.col("rank") + (coordinates - F.col("known")) <= coordinates - matches + 1).select("token", "class")
+    kept = ranked.where(F.col("rank") + (coordinates - F.col("known")) <= coordinates - matches + 1).select("token", "class", "weight")
+    return kept.join(classes.select("class", "n", _plane(0).alias("p0"), _plane(1).alias("p1")), "class").select("token", *_MEMBER)
 
 
 def _near(pairs: DataFrame, classes: DataFrame, sets: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -133,7 +207,6 @@ def _near(pairs: DataFrame, classes: DataFrame, sets: DataFrame, matches: int, p
     likely = (
         pairs.join(classes.select("class", "n", "signature"), "class")
         .join(hub, "hub")
-        .where(100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
         .where(equal >= matches)
         .select("hub", "hub_n", "class", "n")
     )
@@ -149,52 +222,47 @@ def _near(pairs: DataFrame, classes: DataFrame, sets: DataFrame, matches: int, p
 
 def _labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """Postings with each class's component (itself where it has no link yet)."""
-    return postings.join(labels, F.col("class") == F.col("node"), "left").select(
-        "token", "class", F.coalesce("label", "class").alias("label")
+    return postings.drop("label").join(labels, F.col("class") == F.col("node"), "left").select(
+        "token", *_MEMBER, F.coalesce("label", "class").alias("label")
     )
 
 
 def near_links(classes: DataFrame, texts: DataFrame, size: int, coordinates: int, matches: int, percent: int) -> DataFrame:
     """(node, label) of every class that some link reaches. ``classes``: class, n,
     signature and the id and row of one member; ``texts``: id, row, text."""
-    postings = materialise(_postings(classes, coordinates, matches), "postings")
-    posted = postings.select("class").distinct()
-    wanted = texts.join(classes.join(posted, "class").select("class", "id", "row"), ["id", "row"]).select("class", "text")
+    left = materialise(_postings(classes, coordinates, matches).withColumn("label", F.col("class")), "postings")
+    posted = materialise(left.select("class").distinct(), "posted")
+    members = materialise(classes.join(posted, "class").select("class", "id", "row"), "members")
+    wanted = texts.join(small(members), ["id", "row"]).select("class", "text")
     sets = materialise(wanted.mapInArrow(_sets(size), "class long, shingles array<long>").dropDuplicates(["class"]), "sets")
-    known = materialise(classes.select("class", "n", "signature").join(posted, "class"), "classes")
-    links, labels, hubs = None, None, 1
-    left = postings
+    known = materialise(classes.select("class", "n", "signature", "bins").join(posted, "class"), "classes")
+    links, hubs = None, 1
     while True:
-        if labels is None:
-            named = left.groupBy("token").agg(F.min("class").alias("hub"))
-        else:
-            left = _labelled(left, labels)
-            lists = left.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("class").alias("first"))
-            open_ = materialise(
-                left.join(lists.where("least != most").drop("least", "most"), "token"), "open"
-            )
-            first = open_.where("class = first").select("token", F.col("label").alias("main"))
-            left = open_.drop("first")
-            slot = F.pmod(F.xxhash64("class"), F.lit(hubs))
-            named = (
-                left.join(first, "token").where("label != main").groupBy("token", slot.alias("slot")).agg(F.min("class").alias("hub")).drop("slot")
-            )
-        named = materialise(named, "hubs")
+        slot = F.pmod(F.xxhash64("class"), F.lit(hubs))
+        chosen = left.where("label != main") if links is not None else left
+        named = materialise(chosen.groupBy("token", slot.alias("slot")).agg(F.max_by("class", "weight").alias("class")).drop("slot"), "hubs")
         if named.isEmpty():
             break
-        pairs = left.join(named, "token").where("class != hub")
-        if labels is not None:
-            of_hub = left.select("token", F.col("class").alias("hub"), F.col("label").alias("hub_label"))
-            pairs = pairs.join(of_hub, ["token", "hub"]).where("label != hub_label")
-        pairs = pairs.select(F.least("hub", "class").alias("hub"), F.greatest("hub", "class").alias("class")).distinct()
+        carried = (*_MEMBER, "label", "bins") if links is not None else (*_MEMBER, "label")
+        hub = left.join(named, ["token", "class"]).select("token", *[F.col(c).alias(f"hub_{c}") for c in carried])
+        near = _alike(coordinates, percent)
+        pairs = (
+            left.join(hub, "token")
+            .where("label != hub_label")
+            .where(near & _alike_bins(percent) if links is not None else near & (F.col("class") != F.col("hub_class")))
+            .select(F.least("hub_class", "class").alias("hub"), F.greatest("hub_class", "class").alias("class"))
+            .distinct()
+        )
         found = materialise(_near(pairs, known, sets, matches, percent), "links")
         links = found if links is None else links.union(found)
         labels = materialise(components(links), "labels")
-        left = materialise(
-            left.select("token", "class").join(named.withColumnRenamed("hub", "class"), ["token", "class"], "left_anti"), "left"
-        )
+        unmet = left.join(named, ["token", "class"], "left_anti")
+        left = _labelled(unmet, labels)
+        lists = left.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+        open_ = lists.where("least != most").select("token", F.col("least").alias("main"))
+        left = materialise(left.join(open_, "token").join(known.select("class", "bins"), "class"), "left")
         hubs *= HUB_GROWTH
-    return labels
+    return components(links) if links is not None else named.selectExpr("class AS node", "class AS label")
 
 
 def near_duplicates(
@@ -218,15 +286,15 @@ def near_duplicates(
     kind = source.schema["rest"].dataType.simpleString()
     signed = materialise(
         source.mapInArrow(
-            _signatures(size, coordinates), f"id long, row long, rest {kind}, n long, one long, two long, signature array<int>"
+            _signatures(size, coordinates), f"id long, row long, rest {kind}, n long, one long, two long, signature array<int>, bins array<long>"
         ).withColumn("class", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.xxhash64("n", "one", "two"))),
         "signatures",
     )
     classes = materialise(
         signed.where("class IS NOT NULL")
         .groupBy("class")
-        .agg(F.min(F.struct("id", "row")).alias("one"), F.first("n").alias("n"), F.first("signature").alias("signature"))
-        .select("class", "one.id", "one.row", "n", "signature"),
+        .agg(F.min(F.struct("id", "row")).alias("one"), F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("bins").alias("bins"))
+        .select("class", "one.id", "one.row", "n", "signature", "bins"),
         "signed",
     )
     labels = near_links(classes, source.select("id", "row", "text"), size, coordinates, matches, percent)
