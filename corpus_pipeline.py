@@ -23,12 +23,12 @@ stages 2 and 3.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierbook.llm import decontaminate, langmix, minhash, mixing, substring
 from tierbook.llm.queries import table
-from tierbook.llm.scratch import materialise, ship_code
+from tierbook.llm.scratch import materialise, ship_code, small
 
 MIN_SCORE = 0.3
 
@@ -47,12 +47,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_code(spark)
-    kept = minhash.near_duplicates(docs.select("doc_id", "text")).where("kept").select(
-        F.col("id").alias("doc_id"), F.col("row").alias("_row")
-    ).distinct()
-    keyed = docs.withColumn("_row", F.xxhash64("text"))
-    same = keyed["doc_id"].eqNullSafe(kept["doc_id"]) & (keyed["_row"] == kept["_row"])
-    return keyed.join(kept, same, "left_semi").drop("_row").dropDuplicates(["doc_id", "text"])
+    # 96 bits tell rows apart by id and text; equal rows have equal keys
+    def keyed(df: DataFrame, doc_id: str, row: Column) -> DataFrame:
+        id_ = F.col(doc_id).cast("long")
+        return df.withColumn("_k1", F.xxhash64(id_, row)).withColumn("_k2", F.hash(id_, row))
+
+    found = minhash.near_duplicates(docs.select("doc_id", "text"))
+    flags = materialise(keyed(found, "id", F.col("row")).select("_k1", "_k2", "kept"), "kept")
+    keys = ["_k1", "_k2"]
+    gone = flags.where("NOT kept").select(keys).distinct()
+    repeated = materialise(flags.where("kept").groupBy(keys).count().where("count > 1").select(keys), "repeated")
+    # texts move only where a row repeats another
+    whole = keyed(docs, "doc_id", F.xxhash64("text"))
+    once = whole.join(small(gone.union(repeated)), keys, "left_anti")
+    one_of_each = whole.join(small(repeated), keys, "left_semi").dropDuplicates(keys)
+    return once.unionByName(one_of_each).drop(*keys)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
