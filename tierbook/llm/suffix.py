@@ -14,9 +14,8 @@ common-prefix lengths it numbers the classes of equal prefixes at each depth:
 the window ``offset`` bytes before an anchor repeats exactly where the class
 of its left ``offset`` bytes and the class of its right ``width - offset``
 bytes recur together. Suffixes that share their leading bytes never lie on
-two sides of a splitter: a bucket's batch always closes at a change of the
-leading bytes, so the comparison across boundaries is between batches only
-and needs no bytes of another bucket.
+two sides of a splitter, so no match crosses the boundary of two buckets; a
+long bucket is sorted in batches, which close where the leading bytes change.
 
 Skew: equal contexts travel once per chunk of input, with their number, so
 copies and passages inside them collapse before the shuffle; the places of a
@@ -257,7 +256,8 @@ def cut_repeats(docs: DataFrame, key_col: str = "key", text_col: str = "text", w
     long_enough = docs.where(F.octet_length(text_col) >= width).select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
     kind = long_enough.schema["key"].dataType.simpleString()
     anchors = materialise(long_enough.mapInArrow(_anchors(width, gram), f"gram long, key {kind}, pos int"), "anchors")
-    repeated = anchors.groupBy("gram").count().where("count > 1").select("gram")
+    # written first: the join then deals both sides itself, and Spark can split a hot gram
+    repeated = materialise(anchors.groupBy("gram").count().where("count > 1").select("gram"), "repeated")
     per_doc = anchors.join(repeated, "gram").groupBy("key").agg(F.collect_list("pos").alias("anchors"))
     held = materialise(long_enough.join(per_doc, "key"), "anchored")
     suffixes = held.mapInArrow(
