@@ -14,7 +14,7 @@ the hubs, skipping members of the hub's own component and of too different a
 size; equal coordinates are counted on the full signatures; pairs at or above
 the threshold are confirmed on the full sets. A hub has then met the whole
 list and leaves it; lists whose members are all in one component are done; the
-others name more hubs (eight times as many each round) among the members
+others name more hubs (many more each round) among the members
 outside the component of the smallest label. This goes on until every list is
 done, so no link between components is lost and the pairs of a large group of
 near copies are not enumerated. Postings carry the set's size and two bits of
@@ -48,9 +48,9 @@ SHINGLE = 5
 COORDINATES = 64
 MATCHES = 32
 PERCENT = 75
-HUB_GROWTH = 8
+HUB_GROWTH = 64
 BINS = 512
-BIN_BITS = 4
+BIN_BITS = 8
 _BLOCK = 4096
 
 
@@ -159,8 +159,8 @@ def _alike(coordinates: int, percent: int) -> Column:
 def _alike_bins(percent: int) -> Column:
     """Whether the finer sketches allow the similarity: the share of equal bins
     among those that either set takes has the similarity as its mean; the bound
-    is that less five and a half standard deviations (of a sample without
-    replacement from the union) and a hundredth."""
+    is that less four and a half standard deviations (of a sample without
+    replacement from the union)."""
     longs = BINS // 64
 
     def plane(column: str, k: int, i: Column) -> Column:
@@ -178,7 +178,7 @@ def _alike_bins(percent: int) -> Column:
     p = percent / 100
     union = (F.col("n") + F.col("hub_n")) / (1 + p)
     spread = F.sqrt(p * (1 - p) / taken * F.greatest(1 - taken / union, F.lit(0.02)))
-    return same >= taken * (p - 0.01 - 5.5 * spread)
+    return same >= taken * (p - 4.5 * spread)
 
 
 def _postings(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
@@ -243,13 +243,18 @@ def near_links(classes: DataFrame, texts: DataFrame, size: int, coordinates: int
         named = materialise(chosen.groupBy("token", slot.alias("slot")).agg(F.max_by("class", "weight").alias("class")).drop("slot"), "hubs")
         if named.isEmpty():
             break
-        carried = (*_MEMBER, "label", "bins") if links is not None else (*_MEMBER, "label")
-        hub = left.join(named, ["token", "class"]).select("token", *[F.col(c).alias(f"hub_{c}") for c in carried])
-        near = _alike(coordinates, percent)
+        near = _alike(coordinates, percent) & (F.col("label") != F.col("hub_label"))
+        carried, members, meeting = [*_MEMBER, "label"], left, named
+        if links is not None:
+            # a pair that shares several of the hub's lists is made in the first of them alone
+            near &= _alike_bins(percent) & (F.col("token") == F.array_min(F.array_intersect("tokens", "hub_tokens")))
+            carried += ["bins", "tokens"]
+            members = left.join(left.groupBy("class").agg(F.collect_set("token").alias("tokens")), "class")
+            meeting = named.join(named.groupBy("class").agg(F.collect_set("token").alias("tokens")), "class")
+        hub = left.join(meeting, ["token", "class"]).select("token", *[F.col(c).alias(f"hub_{c}") for c in carried])
         pairs = (
-            left.join(hub, "token")
-            .where("label != hub_label")
-            .where(near & _alike_bins(percent) if links is not None else near & (F.col("class") != F.col("hub_class")))
+            members.join(hub, "token")
+            .where(near)
             .select(F.least("hub_class", "class").alias("hub"), F.greatest("hub_class", "class").alias("class"))
             .distinct()
         )
