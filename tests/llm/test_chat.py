@@ -76,5 +76,28 @@ def test_rewriting_template_is_flagged(spark):
     assert [(r["conv_id"], r["index"]) for r in found] == [(1, 2)]
 
 
+def _strict():
+    """A template that wants user and assistant in turn and numbers the turns."""
+
+    def template(turns):
+        for i, (role, _) in enumerate(turns):
+            if role != ("assistant" if i % 2 else "user"):
+                raise ValueError("roles must alternate")
+        return "".join(f"{i} {role}: {text}\n" for i, (role, text) in enumerate(turns))
+
+    return template
+
+
+def test_long_conversations_are_rendered_after_all_their_turns(spark):
+    turns = [("assistant" if t % 2 else "user", f"t|{t}") for t in range(40)]
+    rows = [(c, t, *turn) for c in (1, 2) for t, turn in enumerate(turns)]
+    found = sorted(map(tuple, chat.format_conversations(_table(spark, rows), _strict()).select("conv_id", "index", "formatted", "rewrites").collect()))
+    assert "".join(f for c, _, f, _ in found if c == 2) == _strict()(turns) and not any(r[3] for r in found)
+    # a thought more than CONTEXT turns back goes when the last word comes
+    forgets = lambda turns: "".join(t[-1:] if turns[-1][1] == "stop" else t for _, t in turns)
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "thought|a")] + [(1, t, "user", "x") for t in range(2, 30)] + [(1, 30, "user", "stop")]
+    assert [r["index"] for r in chat.format_conversations(_table(spark, rows), forgets).where("rewrites").collect()] == [30]
+
+
 def test_no_conversations(spark):
     assert chat.digests(chat.format_conversations(_table(spark, []))).count() == 0

@@ -10,12 +10,14 @@ begin with the shorter one *rewrites history*; the conversation is flagged,
 and the whole span from the first changed character on counts as the turn's.
 
 Conversations are streamed: rows are dealt by conversation and sorted by turn,
-and one turn is read at a time. Rendering uses the first turn and the last
-``CONTEXT`` turns before the present one, so the work per turn is bounded
-however long a conversation grows; a template's output for a turn may depend
-on that much of what precedes it. Conversations of up to ``CONTEXT + 1`` turns
-are rendered from all their turns. The output is one row per turn; digests
-over a conversation are running hashes of one pass.
+and one turn is read at a time. Every turn is rendered after all turns before
+it, so a task holds the turns and the last output of one conversation, and the
+work grows with the square of its length: a black box has to be given the whole
+prefix. A caller who knows that a template writes each turn alone, whatever
+stands before it, declares it ``turn_local``; then rendering uses the first
+turn and the last ``CONTEXT`` turns before the present one, and the work per
+turn is bounded however long a conversation grows. The output is one row per
+turn; digests over a conversation are running hashes of one pass.
 
 Edge cases: null roles and texts count as empty; turns that tie are ordered by
 role, then text; null turns come first; rows with a null conversation id form
@@ -84,31 +86,38 @@ def common_prefix(a: str, b: str) -> int:
 
 def render_turn(template: Template, before: list[Turn], turn: Turn) -> tuple[str, int, int, bool]:
     """(added output, start and end of the text inside it, whether history was rewritten)."""
-    shorter, longer = template(before), template([*before, turn])
+    return _rendered(template, before, turn, template(before))[0]
+
+
+def _rendered(template: Template, before: list[Turn], turn: Turn, shorter: str) -> tuple[tuple[str, int, int, bool], str]:
+    """``render_turn``'s result, given the output for the turns before; and the output with the turn."""
+    longer = template([*before, turn])
     empty = template([*before, (turn[0], "")])
     probe = next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in empty)
     marked = template([*before, (turn[0], probe)])
     start = common_prefix(shorter, longer)
     # a text that stands in no rendered frame parts from the empty one exactly where texts begin
     front = max(0, common_prefix(marked, empty) - start)
-    return longer[start:], front, front + len(longer) - len(empty), start < len(shorter)
+    return (longer[start:], front, front + len(longer) - len(empty), start < len(shorter)), longer
 
 
-def _streamed(rows: Iterable[tuple]) -> Iterator[tuple]:
-    """(conversation, index, role, text, turns before) of rows in order; the first turn and the last ones are held."""
+def _streamed(rows: Iterable[tuple], turn_local: bool) -> Iterator[tuple]:
+    """(conversation, index, turn, turns before) of rows in order; of a turn-local template's the first turn and the last ones are held."""
     current, index, first, recent = object(), 0, None, []
     for conv, role, text in rows:
         if conv != current:
             current, index, first, recent = conv, 0, None, []
         turn = (role or "", text or "")
-        before = recent if index <= CONTEXT else [first, *recent]
-        yield conv, index, turn, before
+        cut = turn_local and index > CONTEXT
+        yield conv, index, turn, [first, *recent[-CONTEXT:]] if cut else recent
         first = first or turn
-        recent = [*recent[-(CONTEXT - 1):], turn] if index >= CONTEXT else [*recent, turn]
+        recent.append(turn)
+        if turn_local and index >= CONTEXT:
+            del recent[:-CONTEXT]
         index += 1
 
 
-def _format(template: Template, loss_roles: frozenset[str]):
+def _format(template: Template, loss_roles: frozenset[str], turn_local: bool):
     names = ["conv_id", "index", "role", "formatted", "text_from", "text_to", "in_loss", "rewrites"]
 
     def rows(batches):
@@ -116,9 +125,10 @@ def _format(template: Template, loss_roles: frozenset[str]):
             yield from zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")))
 
     def run(batches):
-        held = []
-        for conv, index, turn, before in _streamed(rows(batches)):
-            added, start, end, rewrites = render_turn(template, before, turn)
+        held, output = [], ""
+        for conv, index, turn, before in _streamed(rows(batches), turn_local):
+            shorter = output if 0 < index <= len(before) else template(before)
+            (added, start, end, rewrites), output = _rendered(template, before, turn, shorter)
             held.append((conv, index, turn[0], added, start, end, turn[0] in loss_roles, rewrites))
             if len(held) >= BATCH_ROWS:
                 yield _batch(held, names, FORMATTED)
@@ -144,17 +154,24 @@ def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordB
 
 
 def format_conversations(
-    conversations: DataFrame, template: Template = inst_template, loss_roles: frozenset[str] = frozenset({"assistant"})
+    conversations: DataFrame,
+    template: Template = inst_template,
+    loss_roles: frozenset[str] = frozenset({"assistant"}),
+    turn_local: bool | None = None,
 ) -> DataFrame:
     """One row per turn, in order inside each task's rows: ``conv_id, index`` (from 0), ``role, formatted``
     (what the turn adds to the conversation's output), ``text_from, text_to`` (its text inside that),
-    ``in_loss`` (whether the text is under the loss mask), ``rewrites`` (whether the template changed earlier output)."""
+    ``in_loss`` (whether the text is under the loss mask), ``rewrites`` (whether the template changed earlier output).
+
+    ``turn_local``: the caller's word that the template's output is that of each turn alone, joined; only
+    ``inst_template``, which is known to be so, counts as such by default."""
+    turn_local = template is inst_template if turn_local is None else turn_local
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     dealt = rows.repartition(shuffle_partitions(rows.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     kinds = "conv_id long, index long, role string, formatted string, text_from long, text_to long, in_loss boolean, rewrites boolean"
-    return dealt.select("conv_id", "role", "text").mapInArrow(_format(template, loss_roles), kinds)
+    return dealt.select("conv_id", "role", "text").mapInArrow(_format(template, loss_roles, turn_local), kinds)
 
 
 def _digest(read: Callable[[str], list[Turn]]):
