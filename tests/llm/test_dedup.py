@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -49,6 +50,62 @@ def test_byte_strings_match_brute_force(spark, width, gram):
     assert _sorted(got) == _sorted(want)
 
 
+@pytest.mark.parametrize("hot", [1, 6])
+def test_byte_strings_of_hot_grams_match_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix, "HOT_ANCHORS", hot)
+    rng = random.Random(13)
+    passage = cases.prose(rng, 25, 5000, "p")
+    rows = [(100 + i, cases.prose(rng, rng.randrange(30), 5000) + passage + cases.prose(rng, 20, 5000), "x", "s") for i in range(40)]
+    rows += [r for r in ROWS if r[0] != 30]
+    found = suffix.remove_repeated_bytes(cases.table(spark, rows), width=80, gram=24)
+    got = [tuple(r) for r in found.select("id", "n_bytes", "n_removed", "n_spans", "text_sha256").collect()]
+    want = [(i, n, r, s, hashlib.sha256(kept).hexdigest()) for i, n, r, s, kept in cases.removed_bytes(rows, 80)]
+    assert _sorted(got) == _sorted(want)
+
+
+def test_no_bucket_holds_a_hot_gram(spark, monkeypatch):
+    """A short passage in many documents: as many contexts as documents, none of which is dealt to one task."""
+    rng = random.Random(17)
+    passage = cases.prose(rng, 25, 5000, "p")
+    rows = [(i, cases.prose(rng, 30, 5000) + passage + cases.prose(rng, 30, 5000)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "key long, text string").repartition(4)
+    plain = suffix._bucket
+
+    def dealt(hot):
+        total = spark.sparkContext.accumulator(0)
+
+        def bucket(width, gram):
+            run = plain(width, gram)
+
+            def counted(batches):
+                def seen():
+                    for batch in batches:
+                        total.add(batch.num_rows)
+                        yield batch
+
+                yield from run(seen())
+
+            return counted
+
+        monkeypatch.setattr(suffix, "_bucket", bucket)
+        assert suffix.cut_repeats(docs, width=80, gram=24, hot=hot).where("n_removed >= 80").count() == 200
+        return total.value
+
+    assert dealt(10**6) >= 200
+    assert dealt(20) < 50
+
+
+def test_batches_close_where_the_gram_changes(monkeypatch):
+    """Grams that share their leading bytes."""
+    sizes = []
+    monkeypatch.setattr(suffix, "BATCH_CONTEXTS", 4)
+    monkeypatch.setattr(suffix, "repeated_offsets", lambda contexts, *_: sizes.append(len(contexts)) or np.zeros((len(contexts), 1), dtype=bool))
+    n = 20
+    columns = {"lead": [b"a" * 32] * n, "gram": sorted(i % 10 for i in range(n)), "h1": range(n), "h2": range(n), "left": [0] * n, "many": [1] * n}
+    batch = pa.RecordBatch.from_pydict({k: list(v) for k, v in columns.items()} | {"context": [b"a" * 400] * n})
+    assert not list(suffix._bucket(400, 128)([batch])) and sum(sizes) == n and max(sizes) <= 5
+
+
 def test_multikey_order_sorts_rows():
     rng = np.random.default_rng(1)
     rows = rng.integers(0, 3, (500, 24), dtype=np.uint8)

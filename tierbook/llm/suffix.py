@@ -7,19 +7,24 @@ same anchor at the same offset. Only anchors whose gram occurs more than once
 go on; each is a suffix (the bytes from the anchor on) with the bytes before
 it as context.
 
-Suffixes are range-partitioned by their leading bytes; Spark samples the
-splitters. A bucket sorts its suffixes, and the reversed left contexts, by
+Suffixes are range-partitioned by their leading bytes, then by the hash of
+their gram; Spark samples the splitters. A bucket sorts its suffixes, and the reversed left contexts, by
 multikey quicksort, eight bytes a level. From the sorted orders and their
 common-prefix lengths it numbers the classes of equal prefixes at each depth:
 the window ``offset`` bytes before an anchor repeats exactly where the class
 of its left ``offset`` bytes and the class of its right ``width - offset``
-bytes recur together. Suffixes that share their leading bytes never lie on
-two sides of a splitter, so no match crosses the boundary of two buckets; a
-long bucket is sorted in batches, which close where the leading bytes change.
+bytes recur together. Suffixes that share their gram never lie on two sides of
+a splitter, so no match crosses the boundary of two buckets; a long bucket is
+sorted in batches, which close where the gram changes.
 
 Skew: equal contexts travel once per chunk of input, with their number, so
 copies and passages inside them collapse before the shuffle; the places of a
 context are joined back by its 128-bit hash, where Spark splits hot keys.
+A gram with more than ``HOT_ANCHORS`` anchors goes to no bucket: documents that
+share a passage shorter than a context have different contexts, which no task
+could hold. Of each string that selects such an anchor the 128-bit hash is
+counted by Spark instead, with partial sums in each chunk and task; the strings
+that recur are joined back to their places.
 Constant or periodic texts have many anchors but few distinct contexts.
 
 Edge cases: null texts count as empty; texts shorter than ``width`` lose
@@ -36,12 +41,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .scratch import materialise, packed_rest, shuffle_partitions
+from .scratch import materialise, packed_rest, shuffle_partitions, small
 
 WIDTH = 400
 GRAM = 128
 LEAD = 32
 BATCH_CONTEXTS = 8192
+HOT_ANCHORS = 8192
+PIECE_PLACES = 1 << 16
+ROW_PLACES = 128
+
+
+def _selected(buf: np.ndarray, starts: np.ndarray, width: int, gram: int):
+    """(gram hash of every place, the anchor of the string that starts at each place, that place's
+    document, whether the string lies inside it); the buffer is longer than ``width``."""
+    n = len(buf) - width
+    at = np.arange(len(buf) - gram + 1)
+    grams = tk.mix(tk.Poly(buf).ranges(at, at + gram))
+    packed = (grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    anchor = (tk.sliding_min(packed, width - gram + 1)[:n] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    return grams, anchor, doc, at[:n] + width <= starts[doc[:n] + 1] - 1
 
 
 def _anchors(width: int, gram: int):
@@ -51,17 +71,10 @@ def _anchors(width: int, gram: int):
         for batch in batches:
             for part in tk.chunks(batch):
                 buf, starts = tk.joined(tk.texts(part.column("text")))
-                n = len(buf) - width
-                if n <= 0:
+                if len(buf) <= width:
                     continue
-                poly = tk.Poly(buf)
-                at = np.arange(len(buf) - gram + 1)
-                grams = tk.mix(poly.ranges(at, at + gram))
-                packed = (grams & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
-                least = tk.sliding_min(packed, width - gram + 1)[:n]
-                doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-                inside = at[:n] + width <= starts[doc[:n] + 1] - 1
-                pos = np.unique(least[inside] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                grams, anchor, doc, inside = _selected(buf, starts, width, gram)
+                pos = np.unique(anchor[inside])
                 d = doc[pos]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(grams[pos].view(np.int64)), part.column("key").take(pa.array(d)), pa.array((pos - starts[d]).astype(np.int32))],
@@ -71,8 +84,71 @@ def _anchors(width: int, gram: int):
     return run
 
 
+def _windows(width: int, gram: int, placed: bool):
+    """Arrow function: hashes of the distinct strings of each chunk that select a hot anchor, with their number or,
+    if ``placed``, their places (key, its hash, position; ``ROW_PLACES`` a row at most) in the order of the first one."""
+
+    def rows(part):
+        buf, starts = tk.joined(tk.texts(part.column("text")))
+        _, anchor, doc, inside = _selected(buf, starts, width, gram)
+        hot = part.column("hot")
+        owner = np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(hot).to_numpy(zero_copy_only=False))
+        is_hot = np.zeros(len(buf), dtype=bool)
+        is_hot[hot.flatten().to_numpy(zero_copy_only=False) + starts[owner]] = True
+        at = np.flatnonzero(inside & is_hot[anchor])
+        h1 = tk.mix(tk.Poly(buf, tk.BASE_A).ranges(at, at + width))
+        h2 = tk.mix(tk.Poly(buf, tk.BASE_B).ranges(at, at + width))
+        order = np.lexsort((h2, h1))
+        a, b = h1[order], h2[order]
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(at) else at
+        size = np.diff(np.append(first, len(at)))
+        if not placed:
+            yield a[first], b[first], pa.array(size.astype(np.int64))
+            return
+        first = np.flatnonzero((np.arange(len(at)) - np.repeat(first, size)) % ROW_PLACES == 0)
+        size = np.diff(np.append(first, len(at)))
+        by = np.argsort(order[first])
+        first, size = first[by], size[by]
+        piece = np.cumsum(size) // PIECE_PLACES
+        for k in np.split(np.arange(len(first)), np.flatnonzero(np.diff(piece)) + 1):
+            flat = at[order[tk.gather_ranges(first[k], size[k])]]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(size[k])]).astype(np.int32))
+            d = doc[flat]
+            places = (part.column("key").take(pa.array(d)), part.column("doc").take(pa.array(d)), pa.array((flat - starts[d]).astype(np.int32)))
+            yield a[first[k]], b[first[k]], *(pa.ListArray.from_arrays(offsets, x) for x in places)
+
+    def run(batches):
+        names = ["h1", "h2", "key", "doc", "pos"] if placed else ["h1", "h2", "many"]
+        for batch in batches:
+            for part in tk.chunks(batch):
+                for h1, h2, *more in rows(part):
+                    yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), *more], names=names)
+
+    return run
+
+
+def _merged(width: int):
+    """Arrow function: ``_windows``' places to byte ranges of documents, neighbours of one batch in one."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, doc, pos = (batch.column(c).flatten() for c in ("key", "doc", "pos"))
+            doc, pos = doc.to_numpy(), pos.to_numpy()
+            order = np.lexsort((pos, doc))
+            doc, pos = doc[order], pos[order]
+            first = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + 1)]))
+            last = np.append(first[1:], len(order)) - 1
+            yield pa.RecordBatch.from_arrays(
+                [key.take(pa.array(order[first])), pa.array(pos[first]), pa.array((pos[last] + width).astype(np.int32))], names=["key", "from", "to"]
+            )
+
+    return run
+
+
 def _contexts(part, width: int, gram: int):
-    """Of a chunk of documents with anchors: the buffer and each anchor's place, context range, hashes, document."""
+    """Of a chunk of documents with anchors: the buffer and each anchor's place, context range, hashes, document, gram hash."""
     buf, starts = tk.joined(tk.texts(part.column("text")))
     anchors = part.column("anchors")
     doc = np.repeat(np.arange(part.num_rows), pa.compute.list_value_length(anchors).to_numpy(zero_copy_only=False))
@@ -81,9 +157,10 @@ def _contexts(part, width: int, gram: int):
     begin = np.maximum(starts[doc], at - (width - gram))
     end = np.minimum(starts[doc + 1] - 1, at + width)
     left = (at - begin).astype(np.uint64)
-    h1 = tk.mix(tk.Poly(buf, tk.BASE_A).ranges(begin, end) ^ left)
+    poly = tk.Poly(buf, tk.BASE_A)
+    h1 = tk.mix(poly.ranges(begin, end) ^ left)
     h2 = tk.mix(tk.Poly(buf, tk.BASE_B).ranges(begin, end) + left)
-    return buf, doc, pos, at, begin, end, h1, h2
+    return buf, doc, pos, at, begin, end, h1, h2, tk.mix(poly.ranges(at, at + gram))
 
 
 def _suffixes(width: int, gram: int):
@@ -92,7 +169,7 @@ def _suffixes(width: int, gram: int):
     def run(batches):
         for batch in batches:
             for part in tk.chunks(batch):
-                buf, doc, pos, at, begin, end, h1, h2 = _contexts(part, width, gram)
+                buf, doc, pos, at, begin, end, h1, h2, grams = _contexts(part, width, gram)
                 order = np.lexsort((h2, h1))
                 first = np.flatnonzero(np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)]))
                 one, many = order[first], np.diff(np.append(first, len(order)))
@@ -100,13 +177,14 @@ def _suffixes(width: int, gram: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([raw[a : a + LEAD] for a in at[one]], pa.binary()),
+                        pa.array(grams[one].view(np.int64)),
                         pa.array(h1[one].view(np.int64)),
                         pa.array(h2[one].view(np.int64)),
                         pa.array((at - begin)[one].astype(np.int32)),
                         pa.array(many.astype(np.int64)),
                         pa.array([raw[a:b] for a, b in zip(begin[one], end[one])], pa.binary()),
                     ],
-                    names=["lead", "h1", "h2", "left", "many", "context"],
+                    names=["lead", "gram", "h1", "h2", "left", "many", "context"],
                 )
 
     return run
@@ -118,7 +196,7 @@ def _places(width: int, gram: int):
     def run(batches):
         for batch in batches:
             for part in tk.chunks(batch):
-                _, doc, pos, _, _, _, h1, h2 = _contexts(part, width, gram)
+                _, doc, pos, _, _, _, h1, h2, _ = _contexts(part, width, gram)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), part.column("key").take(pa.array(doc)), pa.array(pos.astype(np.int32))],
                     names=["h1", "h2", "key", "pos"],
@@ -185,7 +263,7 @@ def repeated_offsets(contexts: list[bytes], left: np.ndarray, many: np.ndarray,
 
 
 def _bucket(width: int, gram: int):
-    """Arrow function over a range sorted by leading bytes: repeated byte ranges relative to the anchor."""
+    """Arrow function over a range sorted by leading bytes and gram: repeated byte ranges relative to the anchor."""
 
     def solve(rows):
         h1, h2, left, many, contexts = (list(x) for x in zip(*rows))
@@ -212,14 +290,14 @@ def _bucket(width: int, gram: int):
             )
 
     def run(batches):
-        held, lead = [], None
+        held, last = [], None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("lead", "h1", "h2", "left", "many", "context")]
+            columns = [batch.column(c).to_pylist() for c in ("gram", "h1", "h2", "left", "many", "context")]
             for row in zip(*columns):
-                if len(held) >= BATCH_CONTEXTS and row[0] != lead:
+                if len(held) >= BATCH_CONTEXTS and row[0] != last:
                     yield from solve(held)
                     held = []
-                lead = row[0]
+                last = row[0]
                 held.append(row[1:])
         if held:
             yield from solve(held)
@@ -245,32 +323,45 @@ def _apply(batches):
             )
 
 
-def cut_repeats(docs: DataFrame, key_col: str = "key", text_col: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
+def cut_repeats(
+    docs: DataFrame, key_col: str = "key", text_col: str = "text", width: int = WIDTH, gram: int = GRAM, hot: int | None = None
+) -> DataFrame:
     """Cut every byte covered by a ``width``-byte string that starts anywhere else too.
 
     ``key_col`` tells documents apart (any type). Returns ``key, n_removed,
     n_spans, kept`` (the remaining bytes) of the documents that lose bytes;
-    all others stay as they are.
+    all others stay as they are. ``hot``: anchors of one gram that a bucket
+    takes at most (``HOT_ANCHORS``); no result depends on it.
     """
+    hot = HOT_ANCHORS if hot is None else hot
     partitions = shuffle_partitions(docs.sparkSession)
     long_enough = docs.where(F.octet_length(text_col) >= width).select(F.col(key_col).alias("key"), F.col(text_col).alias("text"))
     kind = long_enough.schema["key"].dataType.simpleString()
     anchors = materialise(long_enough.mapInArrow(_anchors(width, gram), f"gram long, key {kind}, pos int"), "anchors")
     # written first: the join then deals both sides itself, and Spark can split a hot gram
-    repeated = materialise(anchors.groupBy("gram").count().where("count > 1").select("gram"), "repeated")
-    per_doc = anchors.join(repeated, "gram").groupBy("key").agg(F.collect_list("pos").alias("anchors"))
+    count = F.col("count")
+    repeated = materialise(anchors.groupBy("gram").count().where(count > 1).select("gram", (count > hot).alias("is_hot")), "repeated")
+    per_doc = anchors.join(repeated, "gram").groupBy("key").agg(
+        F.collect_list(F.when(~F.col("is_hot"), F.col("pos"))).alias("anchors"), F.collect_list(F.when(F.col("is_hot"), F.col("pos"))).alias("hot")
+    )
     held = materialise(long_enough.join(per_doc, "key"), "anchored")
-    suffixes = held.mapInArrow(
-        _suffixes(width, gram), "lead binary, h1 long, h2 long, `left` int, many long, context binary"
+    cold = held.where(F.size("anchors") > 0).select("key", "text", "anchors")
+    suffixes = cold.mapInArrow(
+        _suffixes(width, gram), "lead binary, gram long, h1 long, h2 long, `left` int, many long, context binary"
     )
-    dealt = suffixes.repartitionByRange(partitions, "lead").sortWithinPartitions("lead")
+    dealt = suffixes.repartitionByRange(partitions, "lead", "gram").sortWithinPartitions("lead", "gram")
     ranges = dealt.mapInArrow(_bucket(width, gram), "h1 long, h2 long, `from` int, `to` int").distinct()
-    places = held.mapInArrow(_places(width, gram), f"h1 long, h2 long, key {kind}, pos int")
-    per_key = (
-        places.join(ranges, ["h1", "h2"])
-        .groupBy("key")
-        .agg(F.collect_list(F.struct((F.col("pos") + F.col("from")).alias("from"), (F.col("pos") + F.col("to")).alias("to"))).alias("ranges"))
-    )
+    places = cold.mapInArrow(_places(width, gram), f"h1 long, h2 long, key {kind}, pos int")
+    found = places.join(ranges, ["h1", "h2"]).select("key", (F.col("pos") + F.col("from")).alias("from"), (F.col("pos") + F.col("to")).alias("to"))
+    if repeated.where("is_hot").limit(1).count():
+        shared = held.where(F.size("hot") > 0).select("key", F.xxhash64("key").alias("doc"), "text", "hot")
+        counts = shared.mapInArrow(_windows(width, gram, False), "h1 long, h2 long, many long").groupBy("h1", "h2").agg(F.sum("many").alias("many"))
+        recurring = materialise(counts.where("many > 1").select("h1", "h2"), "recurring")
+        held_places = f"h1 long, h2 long, key array<{kind}>, doc array<long>, pos array<int>"
+        hits = shared.mapInArrow(_windows(width, gram, True), held_places).join(small(recurring), ["h1", "h2"])
+        merged = hits.select("key", "doc", "pos").mapInArrow(_merged(width), f"key {kind}, `from` int, `to` int")
+        found = found.unionByName(merged)
+    per_key = found.groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
     return held.select("key", "text").join(per_key, "key").mapInArrow(
         _apply, f"key {kind}, n_removed long, n_spans long, kept binary"
     )
