@@ -1,13 +1,14 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by MinHash containment search.
 
 An item is found in a document that holds at least ``PERCENT`` percent of its
-distinct ``SHINGLE``-word shingles. Items are partitioned by size (powers of
-two); an item of ``q`` shingles is represented by its MinHash bottom sketch of
+distinct ``SHINGLE``-word shingles. An item of ``q`` shingles is represented by
+its MinHash bottom sketch of
 ``floor(q * (100 - PERCENT) / 100) + 1`` hashes. A document that holds enough
 of the item can lack all but one of these, so it shares at least one: the
-search misses nothing. Each partition has a ceiling, its largest sketch hash;
-a document posts only shingle hashes up to the highest ceiling. Pairs that
-share a sketch hash are confirmed on the whole shingle sets.
+search misses nothing. A document posts only shingle hashes up to the ceiling,
+the largest sketch hash of all items (each size, in powers of two, has one of its
+own, of which the highest is taken). Pairs that share a sketch hash are
+confirmed on the whole shingle sets.
 
 Everything is DataFrame operations. Documents are neither shuffled nor
 collected: sketches, and the ids of documents that share a sketch hash, are
