@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langmix, licenses, lm, minhash, mixing, permutation, substring, suffix
+from . import chat, collocations, decontaminate, langmix, licenses, lm, minhash, mixing, permutation, substring, suffix
 from .scratch import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select(F.col("id").alias("doc_id"), "item_id", "n_item", "n_common", "containment")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -92,7 +96,8 @@ def _shipped(query: Query) -> Query:
 
 
 _ALL = [op1_substring_dedup, op2_suffix_dedup, op3_source_mixing, op4_language_id, op5_chat_format, op6_minhash_near_dedup,
-    op7_license_scan, op8_permutation_ann, op9_lm_score, op10_benchmark_decontamination]
+    op7_license_scan, op8_permutation_ann, op9_lm_score, op10_benchmark_decontamination,
+    op11_phrase_collocations]
 
 
 def queries() -> dict[str, Query]:
@@ -190,6 +195,38 @@ FROM s JOIN t ON s.s = t.s JOIN n ON n.item_id = t.item_id
 GROUP BY doc_id, t.item_id, n HAVING 100 * count(*) >= 75 * n
 """
 
+OP11_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS sizes(k))
+),
+f AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS n FROM grams GROUP BY lang, phrase),
+candidate AS (SELECT lang, phrase, k, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND n >= 10),
+cut AS (
+  SELECT lang, phrase, k, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidate)
+),
+scored AS (
+  SELECT cut.*, fx.n AS l, fy.n AS r, ((1000000::HUGEINT * a * a) // (fx.n::HUGEINT * fy.n))::BIGINT AS score
+  FROM cut JOIN f AS fx ON fx.lang = cut.lang AND fx.phrase = x JOIN f AS fy ON fy.lang = cut.lang AND fy.phrase = y
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM candidate WHERE k = 3),
+longer AS (SELECT lang, phrase, max(a) AS a FROM inside GROUP BY lang, phrase),
+ranked AS (
+  SELECT weakest.lang, weakest.phrase, weakest.a, l, r, score,
+    row_number() OVER (PARTITION BY weakest.lang ORDER BY score DESC, weakest.a DESC, weakest.phrase) AS rank
+  FROM weakest LEFT JOIN longer ON longer.lang = weakest.lang AND longer.phrase = weakest.phrase
+  WHERE longer.a IS NULL OR 100 * longer.a < 50 * weakest.a
+)
+SELECT ranked.lang, rank, phrase, a, l, r, total.n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+"""
+
 
 def _license_sql() -> str:
     quoted = [tuple(v.replace("'", "''") for v in row) for row in licenses.NOTICES]
@@ -215,4 +252,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_minhash_near_dedup": OP6_SQL,
         "op7_license_scan": _license_sql(),
         "op10_benchmark_decontamination": OP10_SQL,
+        "op11_phrase_collocations": OP11_SQL,
     }
