@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, collocations, decontaminate, langmix, licenses, lm, minhash, mixing, permutation, substring, suffix
+from . import chat, collocations, decontaminate, dialogue, langmix, licenses, lm, minhash, mixing, permutation, substring, suffix, toxicity
 from .scratch import ship_code
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,19 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return dialogue.report(rows, dialogue.damage(rows))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs.where(~langmix.held_out("doc_id")), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        F.col("id").alias("doc_id"), langmix.held_out("id").alias("held_out"), "score", "predicted"
+    )
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_code(spark)
@@ -97,7 +110,7 @@ def _shipped(query: Query) -> Query:
 
 _ALL = [op1_substring_dedup, op2_suffix_dedup, op3_source_mixing, op4_language_id, op5_chat_format, op6_minhash_near_dedup,
     op7_license_scan, op8_permutation_ann, op9_lm_score, op10_benchmark_decontamination,
-    op11_phrase_collocations]
+    op11_phrase_collocations, op12_conversation_repair, op13_toxicity]
 
 
 def queries() -> dict[str, Query]:
@@ -227,6 +240,86 @@ ranked AS (
 SELECT ranked.lang, rank, phrase, a, l, r, total.n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
 """
 
+# crc32 bit by bit (the keys are ASCII); cheapest edits as (cost, audit) per state, forward over the rows
+OP12_SQL = """
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+),
+fated AS (
+  SELECT *, xor(list_reduce(
+    list_transform(range(0, 8 * len(key)), lambda i: (ascii(key[i // 8 + 1]) >> (i % 8)::INTEGER)::BIGINT & 1),
+    lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295::BIGINT), 4294967295) % 20 AS fate
+  FROM keyed
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(0, CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS final, role[1] AS initial
+  FROM damaged
+),
+faulty AS (
+  SELECT *, CASE WHEN final = '' THEN 1 WHEN nth > 1 THEN 2 WHEN final NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered
+),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, [{'c': 0, 'a': ''}, {'c': 1000000, 'a': ''}, {'c': 3, 'a': 'I'}, {'c': 6, 'a': 'II'}] AS s
+  FROM (SELECT DISTINCT conv_id FROM faulty)
+  UNION ALL
+  SELECT conv_id, i, [t[1], t[2], u, list_sort([t[4], {'c': u.c + 3, 'a': u.a || 'I'}])[1]] FROM (
+    SELECT *, list_sort([t[3], {'c': t[1].c + 3, 'a': t[1].a || 'I'}, {'c': t[2].c + 3, 'a': t[2].a || 'I'}, {'c': t[4].c + 3, 'a': t[4].a || 'I'}])[1] AS u FROM (
+      SELECT f.conv_id, f.i, list_transform([1, 2, 3, 4], lambda q: list_sort([{'c': s[q].c + 4, 'a': s[q].a || 'D'}] || CASE
+        WHEN f.fault IN (1, 2) THEN []
+        ELSE list_transform(list_filter([
+            {'p': 1, 'q': 2, 'k': 's'}, {'p': 1, 'q': 3, 'k': 'u'}, {'p': 2, 'q': 3, 'k': 'u'}, {'p': 4, 'q': 3, 'k': 'u'}, {'p': 3, 'q': 4, 'k': 'a'},
+            {'p': 1, 'q': 3, 'k': 'R'}, {'p': 2, 'q': 3, 'k': 'R'}, {'p': 4, 'q': 3, 'k': 'R'}, {'p': 3, 'q': 4, 'k': 'R'}
+          ], lambda m: m.q = q AND m.k IN ('R', f.initial)),
+          lambda m: {'c': s[m.p].c + CASE WHEN m.k = 'R' THEN 3 ELSE 0 END + CASE WHEN f.fault = 3 THEN 3 ELSE 0 END,
+                     'a': s[m.p].a || CASE WHEN m.k = 'R' THEN 'R' ELSE 'K' END})
+        END)[1]) AS t
+      FROM dp JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.i = dp.i + 1
+    )
+  )
+),
+best AS (
+  SELECT conv_id, list_sort([s[1], s[4]])[1] AS b FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+),
+letters AS (SELECT conv_id, p, b.a[p] AS op FROM (SELECT conv_id, b, unnest(range(1, len(b.a) + 1)) AS p FROM best)),
+placed AS (
+  SELECT *, sum(CASE WHEN op <> 'I' THEN 1 ELSE 0 END) OVER w AS i, sum(CASE WHEN op <> 'D' THEN 1 ELSE 0 END) OVER w AS o
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+),
+turns AS (
+  SELECT l.conv_id, p, op, o, CASE WHEN op = 'K' THEN f.role END AS role, CASE WHEN op = 'I' THEN '' ELSE f.text END AS text,
+    max(CASE WHEN op = 'K' AND o = 1 AND f.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS led
+  FROM placed l LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i
+),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(coalesce(role, CASE WHEN (o - led) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY p)) AS h
+  FROM turns WHERE op <> 'D' GROUP BY conv_id
+),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (i > 1 AND (before || initial) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id
+)
+SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.a, '') AS audit,
+  coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k
+LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM k.conv_id
+"""
+
 
 def _license_sql() -> str:
     quoted = [tuple(v.replace("'", "''") for v in row) for row in licenses.NOTICES]
@@ -253,4 +346,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_license_scan": _license_sql(),
         "op10_benchmark_decontamination": OP10_SQL,
         "op11_phrase_collocations": OP11_SQL,
+        "op12_conversation_repair": OP12_SQL,
     }

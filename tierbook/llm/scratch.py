@@ -33,7 +33,7 @@ def clear(spark: SparkSession, root: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
     The files survive the loss of any executor, later plans start from them,
@@ -41,7 +41,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
