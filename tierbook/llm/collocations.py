@@ -1,25 +1,30 @@
 """Phrase collocation mining over a prefix-free parse.
 
-Texts are lower-cased within ASCII and cut at punctuation and line ends into
-pieces, pieces into words. A pair of words whose hash is divisible by
-``TRIGGER`` is a *trigger*. A piece is parsed into chunks that reach from its
-start or a trigger to the end of the next trigger or of the piece, so that
-neighbouring chunks overlap by the two words of the trigger, and equal
+Texts are lower-cased within ASCII; punctuation and line ends part them into
+pieces, pieces into words. A pair of neighbouring words of a piece whose hash is
+divisible by ``TRIGGER`` is a *trigger*. A text is parsed into chunks that reach
+from its start or a trigger to the end of the next trigger or of the text, so
+that neighbouring chunks overlap by the two words of the trigger, and equal
 passages parse into equal chunks wherever they lie. The parse is kept as a
 dictionary: each distinct chunk with its number of occurrences. N-grams of up
 to three words are counted inside distinct chunks only, weighted by the
 chunk's frequency; one that starts inside the overlap belongs to the next
-chunk, so each is counted once. Only a chunk that ends its piece (``closed``)
+chunk, so each is counted once. Only a chunk that ends its text (``closed``)
 counts the n-grams that start in its last two words.
 
+Words are counted first, then the pairs of frequent words, then the triples of
+frequent pairs: a phrase with a count of ``MIN_COUNT`` holds no rarer part. The
+frequent ones reach the tasks as a Bloom filter of at most ``FILTER_BITS``
+bits; what it lets through by mistake costs a row and no more.
+
 Phrases of two or three words with a count of ``MIN_COUNT`` or more are
 scored by their weakest cut, ``1000000 a^2 / (l r)`` in exact decimals (38
 digits: counts up to 10^16). A phrase that a longer candidate holds with at
 least half of its count is dropped. ``top`` best phrases per language remain.
 
 Scale: the dictionary is one aggregation of chunk strings, the counts one of
-n-grams, both combined before the shuffle, so that a very frequent phrase is a
-few rows per task. Counts of the parts are joined by broadcast up to a checked
+n-grams per length, all combined before the shuffle, so that a very frequent
+phrase is a few rows per task. Counts of the parts are joined by broadcast up to a checked
 size, beyond it by a salted join. The best of a language are chosen in
 ``SALTS`` parts first, as one language may hold nearly all phrases.
 
@@ -31,6 +36,8 @@ table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -40,12 +47,14 @@ from ..operators.joins import left_join_dimension
 from . import textkit as tk
 from .scratch import materialise
 
-TRIGGER = 12
+TRIGGER = 16
 OVERLAP = 2
 LONGEST = 3
 MIN_COUNT = 10
 SWALLOWED_PERCENT = 50
 TOP = 2000
+FILTER_BITS = 1 << 28
+BITS_PER_KEY = 16
 SALTS = 32
 BROADCAST_ROWS = 200_000
 UNDETERMINED = "und"
@@ -82,76 +91,136 @@ def _parse(trigger: int):
                 if not len(s):
                     continue
                 piece = np.cumsum(_BREAK[buf])[s]
-                opens = np.concatenate([[True], piece[1:] != piece[:-1]])
-                words = tk.word_hashes(buf, s, e)
-                pair = tk.shingle_hashes(words, OVERLAP)
+                doc = np.searchsorted(starts, s, side="right") - 1
+                opens = np.concatenate([[True], doc[1:] != doc[:-1]])
+                pair = tk.shingle_hashes(tk.word_hashes(buf, s, e), OVERLAP)
                 fires = np.zeros(len(s), dtype=bool)
                 fires[: len(pair)] = (pair % np.uint64(trigger) == 0) & (piece[: len(pair)] == piece[OVERLAP - 1 :])
                 first = np.flatnonzero(opens | fires)
                 after = np.append(first[1:], len(s))  # the next chunk's first word
                 closed = np.append(opens[first[1:]], True)
                 last = np.where(closed, after, after + OVERLAP)
-                # words joined by one space: each word's bytes and one separator
+                # words joined by one space, or by one line feed where a piece ends
                 flat = np.where(_GAP[buf], np.uint8(32), buf)
                 size = e - s + 1
                 place = np.concatenate([[0], np.cumsum(size)])
                 text = flat[tk.gather_ranges(s, size)]
+                text[place[1:-1][piece[1:] != piece[:-1]] - 1] = 10
                 begin = place[first]
-                doc = np.searchsorted(starts, s[first], side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("lang").take(pa.array(doc)), pa.array(closed), _strings(text, begin, place[last] - 1 - begin)],
+                    [part.column("lang").take(pa.array(doc[first])), pa.array(closed), _strings(text, begin, place[last] - 1 - begin)],
                     names=["lang", "closed", "chunk"],
                 )
 
     return run
 
 
-def _count(batches):
-    """Arrow function: distinct chunks (lang, closed, chunk, n) to n-gram counts (lang, phrase, n), summed within bounded pieces."""
+class Filter:
+    """A Bloom filter: two positions per key."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @staticmethod
+    def positions(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        return keys % np.uint64(size), tk.mix(keys + np.uint64(1)) % np.uint64(size)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        found = np.ones(len(keys), dtype=bool)
+        for at in self.positions(keys, 8 * len(self.bits)):
+            found &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return found
+
+
+def _lang_hashes(langs: pa.Array) -> np.ndarray:
+    buf, starts = tk.joined(tk.texts(langs))
+    return tk.mix(tk.Poly(buf).ranges(starts[:-1], starts[1:] - 1) + np.uint64(0x51))
+
+
+def _count(n: int, known: Filter | None):
+    """Arrow function: distinct chunks (lang, closed, chunk, n) to counts (lang, phrase, n) of n-grams whose
+    parts (of n - 1 words) are ``known``, summed within bounded pieces. With single words comes their number."""
 
     def counted(rows: pa.Table):
-        # one line per chunk
         buf, starts = tk.joined(tk.texts(rows.column("chunk").combine_chunks()))
         weight = rows.column("n").to_numpy().astype(np.int64)
         coded = rows.column("lang").combine_chunks().dictionary_encode()
         lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        salt = _lang_hashes(coded.dictionary)
         s, e = _spans(buf)
         chunk = np.searchsorted(starts, s, side="right") - 1
+        piece = np.cumsum(buf == 10)[s]  # a chunk ends in a line feed too
         ends = np.searchsorted(s, starts)[1:]  # each chunk's end in words
-        last = ends[chunk]
         closed = rows.column("closed").to_numpy(zero_copy_only=False).astype(bool)
-        starts_here = np.arange(len(s)) < last - np.where(closed, 0, OVERLAP)[chunk]
-        one, two = tk.Poly(buf, tk.BASE_A), tk.Poly(buf, tk.BASE_B)
-        total = np.bincount(lang[chunk[starts_here]], weights=weight[chunk[starts_here]], minlength=len(coded.dictionary))
-        names, phrases, sums = [coded.dictionary], [pa.array([ALL_WORDS] * len(coded.dictionary), pa.string())], [total.astype(np.int64)]
-        for n in range(1, LONGEST + 1):
-            at = np.flatnonzero(starts_here & (np.arange(len(s)) + n <= last))
-            if not len(at):
-                continue
-            begin, end = s[at], e[at + n - 1]
-            code = lang[chunk[at]]
-            h1 = tk.mix(one.ranges(begin, end)) + code.astype(np.uint64)
-            h2 = tk.mix(two.ranges(begin, end)) + code.astype(np.uint64)
-            order = np.lexsort((h2, h1))
-            a, b = h1[order], h2[order]
-            head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
-            sums.append(np.add.reduceat(weight[chunk[at]][order], head))
-            pick = order[head]
-            names.append(coded.dictionary.take(pa.array(code[pick])))
-            phrases.append(_strings(buf, begin[pick], end[pick] - begin[pick]))
-        for name, phrase, n in zip(names, phrases, sums):
-            yield pa.RecordBatch.from_arrays([name, phrase, pa.array(n)], names=["lang", "phrase", "n"])
-
-    held, size = [], 0
-    for batch in batches:
-        for part in tk.chunks(batch, "chunk"):
-            held.append(part)
-            size += part.column("chunk").nbytes
-            if size >= tk.CHUNK_BYTES:
-                yield from counted(pa.Table.from_batches(held))
-                held, size = [], 0
-    if held:
-        yield from counted(pa.Table.from_batches(held))
+        here = np.arange(len(s)) < (ends - np.where(closed, 0, OVERLAP))[chunk]
+        one = tk.Poly(buf, tk.BASE_A)
+        code = lang[chunk]
+        if n == 1:
+            names, size = coded.dictionary, len(coded.dictionary)
+            total = np.bincount(code[here], weights=weight[chunk[here]], minlength=size).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([names, pa.array([ALL_WORDS] * size, pa.string()), pa.array(total)], names=["lang", "phrase", "n"])
+        m = len(s) - n + 1
+        if m <= 0:
+            return
+        good = here[:m] & (piece[:m] == piece[n - 1 :])
+        if known is not None:
+            part = known.holds(tk.mix(one.ranges(s[: m + 1], e[n - 2 :])) ^ salt[code[: m + 1]])
+            good &= part[:-1] & part[1:]
+        at = np.flatnonzero(good)
+        if not len(at):
+            return
+        begin, end = s[at], e[at + n - 1]
+        h1 = tk.mix(one.ranges(begin, end)) ^ salt[code[at]]
+        h2 = tk.mix(tk.Poly(buf, tk.BASE_B).ranges(begin, end)) ^ salt[code[at]]
+        order = np.lexsort((h2, h1))
+        a, b = h1[order], h2[order]
+        head = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+        total = np.add.reduceat(weight[chunk[at]][order], head)
+        pick = order[head]
+        yield pa.RecordBatch.from_arrays(
+            [coded.dictionary.take(pa.array(code[at[pick]])), _strings(buf, begin[pick], end[pick] - begin[pick]), pa.array(total)], names=["lang", "phrase", "n"]
+        )
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for part in tk.chunks(batch, "chunk"):
+                held.append(part)
+                size += part.column("chunk").nbytes
+                if size >= tk.CHUNK_BYTES:
+                    yield from counted(pa.Table.from_batches(held))
+                    held, size = [], 0
+        if held:
+            yield from counted(pa.Table.from_batches(held))
+
+    return run
+
+
+def _places(size: int):
+    """Arrow function: (lang, phrase) to the positions of its key in a filter of ``size`` bits."""
+
+    def run(batches):
+        for batch in batches:
+            coded = batch.column("lang").dictionary_encode()
+            salt = _lang_hashes(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+            buf, starts = tk.joined(tk.texts(batch.column("phrase")))
+            keys = tk.mix(tk.Poly(buf, tk.BASE_A).ranges(starts[:-1], starts[1:] - 1)) ^ salt
+            at = np.concatenate(Filter.positions(keys, size)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at)], names=["at"])
+
+    return run
+
+
+def frequent(counts: DataFrame) -> Filter:
+    """A filter that holds every phrase of ``counts``; ``FILTER_BITS`` / 8 bytes at most, whatever their number."""
+    n = counts.count()
+    size = 1 << max(15, min(FILTER_BITS.bit_length() - 1, (BITS_PER_KEY * n).bit_length()))
+    places = counts.select("lang", "phrase").mapInArrow(_places(size), "at long").select((F.col("at") + 1).alias("at"))
+    pages = places.groupBy(F.expr("bitmap_bucket_number(at)").alias("page")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits")).toArrow()
+    bits = np.zeros(size // 8, dtype=np.uint8)
+    for page, body in zip(pages.column("page").to_pylist(), pages.column("bits").to_pylist()):
+        bits[(page - 1) * 4096 : page * 4096] = np.frombuffer(body, dtype=np.uint8)
+    return Filter(bits)
 
 
 def parse(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", trigger: int = TRIGGER) -> DataFrame:
@@ -163,9 +232,13 @@ def parse(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", trigg
 
 def ngram_counts(dictionary: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """(lang, phrase, n) of all phrases of one to three words that occur ``min_count`` times; each
-    language's number of words under the empty phrase."""
-    counts = dictionary.mapInArrow(_count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return counts.where((F.col("n") >= min_count) | (F.col("phrase") == ALL_WORDS))
+    language's number of words under the empty phrase. ``dictionary`` is read once per length."""
+    levels, known = [], None
+    for n in range(1, LONGEST + 1):
+        found = dictionary.mapInArrow(_count(n, known), "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+        levels.append(materialise(found.where((F.col("n") >= min_count) | (F.col("phrase") == ALL_WORDS)), f"ngrams-{n}"))
+        known = frequent(levels[-1].where(F.col("phrase") != ALL_WORDS)) if n < LONGEST else None
+    return reduce(DataFrame.unionByName, levels)
 
 
 def _key(phrase: Column) -> Column:
@@ -206,7 +279,7 @@ def collocations(
     docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = MIN_COUNT, top: int = TOP, trigger: int = TRIGGER
 ) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a, l, r, n, score."""
-    counts = materialise(ngram_counts(parse(docs, lang_col, text_col, trigger), min_count), "ngrams")
+    counts = ngram_counts(materialise(parse(docs, lang_col, text_col, trigger), "parse", "zstd"), min_count)
     left = _scored(counts).join(_swallowed(counts), ["lang", "phrase"], "left")
     left = left.where(f"longer IS NULL OR 100 * longer < {SWALLOWED_PERCENT} * a")
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
