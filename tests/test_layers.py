@@ -9,6 +9,7 @@ from tierbook.operators.control import readiness
 from tierbook.plans.bronze import snapshot_to_bronze
 from tierbook.plans.silver import load_subject
 from tierbook.schemas import PRODUCTS, SALES, SubjectSpec
+from tierbook.sinks.writers import commit_snapshot
 from tierbook.sources.files import NoSnapshotError, latest_snapshot, list_snapshots, read_bronze
 from tierbook.sources.lake import read_control, read_silver
 
@@ -27,10 +28,8 @@ def _products(spark, rows=PRODUCT_ROWS):
 def test_csv_fidelity_quotes_newlines_empty_and_null(spark, lake):
     path = snapshot_to_bronze(_products(spark), lake.bronze, "products", "20240930", "20240930120000")
     back = read_bronze(spark, path, with_lineage=False)
-    # Quotes, commas and newlines survive; CSV has no distinct empty string,
-    # so '' comes back as NULL (as in the raw layer's CSV format).
-    expected = [(i, None if d == "" else d, c) for i, d, c in PRODUCT_ROWS]
-    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == expected
+    # Quotes, commas, newlines, empty text and NULL all come back as they were.
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == PRODUCT_ROWS
 
 
 def test_silver_load_types_lineage_and_control(spark, lake):
@@ -62,14 +61,52 @@ def test_empty_snapshot_gives_zero_control_row(spark, lake):
     assert read_control(spark, lake.control_of("products")).first()["qtd_registros"] == 0
 
 
-def test_typed_silver_uses_try_cast(spark, lake):
-    rows = [("t1", "u1", "p1", "2024-09-01", "9.50", "PIX"), ("t2", "u1", "p1", "not a date", "abc", "PIX")]
-    src = spark.createDataFrame(rows, ",".join(f"{c} string" for c in SALES.columns.fieldNames()))
+SALES_ROWS = [
+    ("t1", "u1", "p1", "2024-09-01", "9.50", "PIX"),
+    ("t2", "u1", "p1", "not a date", "abc", "PIX"),
+    ("t3", "u2", "p1", "2024-09-02", "12.345", "PIX"),
+    ("t4", "u2", None, None, None, None),
+    ("t5", "u2", "p1", "2024-09-03", "7.100", ""),
+]
+
+
+def _load_sales(spark, lake, **options):
+    src = spark.createDataFrame(SALES_ROWS, ",".join(f"{c} string" for c in SALES.columns.fieldNames()))
     snapshot_to_bronze(src, lake.bronze, "sales", "20240930", "20240930120000")
-    load_subject(spark, SALES, lake.bronze, lake.silver_of("sales"), lake.control_of("sales"), "20241001080000")
+    return load_subject(spark, SALES, lake.bronze, lake.silver_of("sales"), lake.control_of("sales"), "20241001080000", **options)
+
+
+def test_typed_silver_uses_try_cast(spark, lake):
+    res = _load_sales(spark, lake, keep_misfits=True)
+    assert (res.rows, res.rejected, res.faults) == (5, 0, {"dat_creation": 1, "amount": 2})
     got = {r.transaction_id: r for r in read_silver(spark, lake.silver_of("sales"), SALES).collect()}
     assert str(got["t1"].amount) == "9.50" and str(got["t1"].dat_creation) == "2024-09-01"
     assert got["t2"].amount is None and got["t2"].dat_creation is None
+    assert got["t5"].payment_method == "" and got["t4"].payment_method is None
+
+
+def test_rejected_rows_are_kept_and_counted(spark, lake):
+    from tierbook.sources.lake import read_load_report, read_rejects
+
+    res = _load_sales(spark, lake)
+    assert (res.rows, res.rejected, res.faults) == (3, 2, {"dat_creation": 1, "amount": 2})
+    got = {r.transaction_id: str(r.amount) for r in read_silver(spark, lake.silver_of("sales"), SALES).collect()}
+    assert got == {"t1": "9.50", "t4": "None", "t5": "7.10"}
+    bad = {r.transaction_id: r for r in read_rejects(spark, lake.silver_of("sales"), SALES).collect()}
+    assert (bad["t2"].faults, bad["t2"].amount, bad["t2"].dat_creation) == (["dat_creation", "amount"], "abc", "not a date")
+    assert (bad["t3"].faults, bad["t3"].amount, bad["t3"].ref) == (["amount"], "12.345", "20240930")
+    report = read_load_report(spark, lake.control_of("sales")).first()
+    assert (report.qtd_registros, report.rejected, report.faults) == (3, 2, {"dat_creation": 1, "amount": 2})
+    assert read_control(spark, lake.control_of("sales")).columns == ["assunto", "ref", "ts_file_generation", "ts_proc", "qtd_registros"]
+
+
+def test_too_many_rejects_fail_the_load(spark, lake):
+    from tierbook.operators.quality import TooManyRejects
+
+    with pytest.raises(TooManyRejects):
+        _load_sales(spark, lake, max_rejected=0.3)
+    assert read_silver(spark, lake.silver_of("sales"), SALES).count() == 0
+    assert read_control(spark, lake.control_of("sales"), missing_ok=True).count() == 0
 
 
 def test_subject_with_underscore(spark, lake):
@@ -254,6 +291,7 @@ def test_empty_rerun_replaces_the_batch(spark, lake):
     args = (spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), "20241001080000", path)
     load_subject(*args)
     _products(spark).limit(0).write.mode("overwrite").option("header", "true").csv(path)
+    commit_snapshot(spark, lake.bronze, "products", path, rows=0)  # delivered anew, now without rows
     load_subject(*args)
     assert read_silver(spark, lake.silver_of("products"), PRODUCTS).count() == 0
     assert [r.qtd_registros for r in read_control(spark, lake.control_of("products")).collect()] == [0]

@@ -82,3 +82,9 @@ def parse_snapshot_name(path: str) -> tuple[str, str, str, str]:
     if m is None:
         raise ValueError(f"not a snapshot path: {path}")
     return m.group(1), m.group(2), m.group(3), m.group(4)
+
+
+def is_snapshot_of(name: str, subject: str) -> bool:
+    """Whether a file or folder of this name is a snapshot of ``subject``."""
+    m = re.fullmatch(SNAPSHOT_PATTERN, name)
+    return m is not None and m.group(2) == subject

@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierbook.schemas import CONTROL_SCHEMA
+from tierbook.schemas import LOAD_REPORT_SCHEMA
 
 
-def control_row(spark: SparkSession, subject: str, ref: str, ts_file_generation: str, ts_proc: str, rows: int) -> DataFrame:
+def control_row(
+    spark: SparkSession, subject: str, ref: str, ts_file_generation: str, ts_proc: str, rows: int,
+    rejected: int = 0, faults: dict | None = None, version: int | None = None,
+) -> DataFrame:
     """One audit row for one load, built from the run parameters and the
-    observed row count; an empty snapshot still gets a row (count 0)."""
-    return spark.createDataFrame([(subject, ts_file_generation, ts_proc, int(rows), ref)], CONTROL_SCHEMA)
+    observed counts; an empty snapshot still gets a row (count 0)."""
+    row = (subject, ts_file_generation, ts_proc, int(rows), ref, int(rejected), faults or {}, version)
+    return spark.createDataFrame([row], LOAD_REPORT_SCHEMA)
 
 
 def control_rows(silver_batch: DataFrame, subject: str) -> DataFrame:

@@ -21,6 +21,22 @@ def assert_schema(df: DataFrame, expected: T.StructType, check_nullability: bool
     return df
 
 
+class LostRows(ValueError):
+    """Other rows than were written, or than a commit reports."""
+
+
+class TooManyRejects(ValueError):
+    pass
+
+
+def assert_rows(df: DataFrame, expected: int, what: str) -> DataFrame:
+    """Fail unless ``df`` (files of one load: only their footers are read) has the number of rows its commit reports."""
+    found = df.count()
+    if found != expected:
+        raise LostRows(f"{what}: {expected} rows were committed, {found} are there")
+    return df
+
+
 class DuplicateKeys(ValueError):
     pass
 

@@ -112,46 +112,49 @@ def gold_job(
     products_control: str | None = None,
     **book_options,
 ) -> str:
-    """Read silver, build the book and write it to gold (partitioned by
-    ref/ts_proc, dynamic overwrite, so a rerun of the same stamp replaces
-    its own partition). Returns ``gold_dir``.
-
-    With the control folders the latest batches are found there, one row per
-    load; without them by scanning silver. The broadcast decision measures the
-    chosen product batch itself (one pruned partition).
+    """Read silver, build the book and write it to gold (a load of its own per
+    ref/ts_proc, so a rerun of the same stamp replaces its own book, also by an
+    empty one). Returns ``gold_dir``.
+
+    The latest batches are found in silver's commit logs. For tables that have
+    none (written by another program) the control folders, where given, name
+    them, else silver is scanned. The broadcast decision measures the chosen
+    product batch itself (one folder).
     """
     from tierbook.functions.dates import ref_stamp
     from tierbook.schemas import PRODUCTS, SALES
+    from tierbook.sinks.commits import has_log
     from tierbook.sinks.writers import write_gold
-    from tierbook.sources.lake import read_control, read_silver
-
-    if sales_control:
-        book_options["sales_control"] = read_control(spark, sales_control, missing_ok=True)
-    if products_control:
-        book_options["products_control"] = read_control(spark, products_control, missing_ok=True)
-    book = build_book(
-        read_silver(spark, sales_silver, SALES),
-        read_silver(spark, products_silver, PRODUCTS),
-        spec,
-        as_of,
-        ref_stamp(as_of),
-        ts_proc,
-        **book_options,
-    )
-    write_gold(book, gold_dir)
+    from tierbook.sources.lake import read_control, read_latest_load, read_silver
+
+    read = {}
+    for name, folder, spec_, control, order in (
+        ("sales", sales_silver, SALES, sales_control, PROC_FIRST),
+        ("products", products_silver, PRODUCTS, products_control, FILE_FIRST),
+    ):
+        if has_log(spark, folder) and book_options.get(f"latest_{name}", True):
+            min_ref = book_options.get("lookback_start") if name == "sales" else None
+            read[name] = read_latest_load(spark, folder, spec_, book_options.get(f"{name}_order", order), min_ref)
+            book_options[f"latest_{name}"] = False
+        else:
+            read[name] = read_silver(spark, folder, spec_)
+            if control:
+                book_options[f"{name}_control"] = read_control(spark, control, missing_ok=True)
+    book = build_book(read["sales"], read["products"], spec, as_of, ref_stamp(as_of), ts_proc, **book_options)
+    write_gold(book, gold_dir, ref_stamp(as_of), ts_proc)
     return gold_dir
 
 
 def last_book_stamp(spark, gold_dir: str) -> str | None:
-    """Newest ``ts_proc`` in the gold folder (no data column is read)."""
-    try:
-        df = spark.read.parquet(gold_dir)
-    except Exception as exc:  # no book written yet
-        if "PATH_NOT_FOUND" in str(exc):
-            return None
-        raise
-    value = df.select(F.max(F.col("ts_proc").cast("string"))).first()[0]
-    return value
+    """Newest ``ts_proc`` of a book: from the commit log, or the partition folders of a table without one."""
+    from tierbook.sinks.commits import has_log, live_loads
+    from tierbook.sources.storage import list_folder
+
+    if has_log(spark, gold_dir):
+        return live_loads(spark, gold_dir).agg(F.max("ts_proc")).first()[0]
+    refs = [e.name for e in list_folder(spark, gold_dir) if e.name.startswith("ref=")]
+    stamps = [e.name.split("=", 1)[1] for r in refs for e in list_folder(spark, f"{gold_dir}/{r}") if e.name.startswith("ts_proc=")]
+    return max(stamps, default=None)
 
 
 def gold_when_ready(

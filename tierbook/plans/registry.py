@@ -8,6 +8,7 @@ ages as INT, stamps as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,12 @@ from tierbook.plans.gold import build_book
 from tierbook.plans.silver import load_subject
 from tierbook.schemas import PRODUCTS, SALES, USERS
 from tierbook.session import scratch_path
-from tierbook.sinks.writers import bronze_snapshot_path, write_gold
+from tierbook.sinks import commits
+from tierbook.sinks.writers import bronze_snapshot_path, commit_snapshot, write_gold
 from tierbook.sources import testdata as td
 from tierbook.sources.files import latest_snapshot, read_bronze
-from tierbook.sources.lake import read_control, read_gold, read_silver
+from tierbook.sources.lake import read_control, read_gold, read_latest_load, read_load_report, read_rejects, read_silver
+from tierbook.streaming.arrivals import firings, run_gate
 from tierbook.streaming.silver_stream import run_silver_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,7 +246,7 @@ def q_gold_roundtrip(spark, sf_dir):
 
     lake = Lake(spark, "gold")
     spec = td.testdata_spec()
-    write_gold(_book(spark, sf_dir, spec=spec), lake.gold)
+    write_gold(_book(spark, sf_dir, spec=spec), lake.gold, td.BOOK_REF, td.BOOK_TS_PROC)
     return read_gold(spark, lake.gold, spec, T.LongType())
 
 
@@ -392,6 +395,102 @@ def q_stream_silver(spark, sf_dir):
     return read_silver(spark, lake.silver_of("products"), PRODUCTS)
 
 
+def q_arrival_gate_stream(spark, sf_dir):
+    # arrivals in several micro-batches, a replayed load between them: two firings
+    lake = Lake(spark, "arrivals")
+    dirs = {s: lake.control_of(s) for s in SUBJECT_NAMES}
+    take_in = partial(run_gate, spark, dirs, f"{lake.checkpoints}/gate", f"{lake.gold}/_firings")
+    products = _products_source(spark, sf_dir)
+    take_in()
+    _load(spark, lake, USERS, _users_source(spark, sf_dir), td.USERS_REF, td.USERS_TSF, td.USERS_TS_PROC)
+    take_in()
+    first = snapshot_to_bronze(products, lake.bronze, "products", td.PRODUCTS_REF, td.PRODUCTS_TSF)
+    load = partial(load_subject, spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"))
+    load(td.PRODUCTS_TS_PROC, first)
+    take_in()
+    load(td.PRODUCTS_TS_PROC, first)  # once more: no arrival
+    _load(spark, lake, SALES, _sales_source(spark, sf_dir), SALES_REF, SALES_TSF, SALES_TS_PROC)
+    take_in()
+    take_in()
+    _load(spark, lake, PRODUCTS, products, "20010801", "20010801000000", "20010802000000")
+    take_in()
+    _load(spark, lake, USERS, _users_source(spark, sf_dir), "20010801", "20010801000000", "20010802010000")
+    _load(spark, lake, SALES, _sales_source(spark, sf_dir), "20010801", "20010801230000", "20010802020000")
+    take_in()
+    return firings(spark, f"{lake.gold}/_firings").select("firing", "assunto", "ts_proc", "ts_file_generation", "qtd_registros")
+
+
+def q_silver_recovered(spark, sf_dir):
+    # a load of the newest batch that died after half its files, and one that never committed at all
+    lake = Lake(spark, "recovered")
+    src = _products_source(spark, sf_dir)
+    for day in ("30", "31"):
+        _load(spark, lake, PRODUCTS, src, f"200107{day}", f"200107{day}000000", f"200107{day}120000")
+    half = src.where("product_id % 2 = 0").select(*[F.col(c).cast("string") for c in PRODUCTS.columns.fieldNames()])
+    for stamps in (("20010731", "20010731120000", "20010731000000"), ("20010801", "20010801120000", "20010801000000")):
+        dead = commits.begin(spark, lake.silver_of("products"), **dict(zip(commits.KEYS, stamps)))
+        half.write.parquet(dead.path)
+    return read_latest_load(spark, lake.silver_of("products"), PRODUCTS, latest.FILE_FIRST)
+
+
+def q_silver_rejects(spark, sf_dir):
+    # amounts and dates that their columns can't hold, by a rule on the line: loaded and rejected rows together
+    lake = Lake(spark, "rejects")
+    line = td.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
+    amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    key = F.col("l_orderkey") + F.col("l_linenumber")
+    src = line.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
+        F.col("l_orderkey").cast("string").alias("user_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.when(key % 11 == 0, "no date").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("dat_creation"),
+        F.when(key % 7 == 0, "x").when(key % 7 == 1, F.concat(amount, F.lit("5"))).when(key % 7 == 2, None).otherwise(amount).alias("amount"),
+        F.lit("PIX").alias("payment_method"),
+    )
+    _load(spark, lake, SALES, src, SALES_REF, SALES_TSF, SALES_TS_PROC)
+    good = read_silver(spark, lake.silver_of("sales"), SALES).select(
+        "transaction_id", F.col("dat_creation").cast("string").alias("dat_creation"), F.col("amount").cast("string").alias("amount"), F.lit("").alias("faults")
+    )
+    bad = read_rejects(spark, lake.silver_of("sales"), SALES).select("transaction_id", "dat_creation", "amount", F.array_join("faults", ",").alias("faults"))
+    report = read_load_report(spark, lake.control_of("sales")).select(
+        F.lit("control").alias("transaction_id"),
+        F.concat_ws(":", F.lit("date"), F.col("faults")["dat_creation"]).alias("dat_creation"),
+        F.concat_ws(":", F.lit("amount"), F.col("faults")["amount"]).alias("amount"),
+        F.concat_ws(":", "qtd_registros", "rejected").alias("faults"),
+    )
+    return good.unionByName(bad).unionByName(report)
+
+
+def q_bronze_nulls(spark, sf_dir):
+    # NULL, empty text and rows of nothing but NULL come back; a one-column table too
+    lake = Lake(spark, "bronze-nulls")
+    key = F.col("p_partkey")
+    part = td.table(spark, sf_dir, "part").select(
+        F.when(key % 5 == 0, None).otherwise(key).alias("id"),
+        F.when(key % 5 == 0, None).when(key % 3 == 0, "").when(key % 3 == 1, F.concat(F.lit('"'), "p_name", F.lit('", \n'))).otherwise(F.col("p_name")).alias("name"),
+    )
+    wide = read_bronze(spark, snapshot_to_bronze(part, lake.bronze, "parts", "20010731", "20010731000000"), with_lineage=False)
+    one = read_bronze(spark, snapshot_to_bronze(part.select("name"), lake.bronze, "names", "20010731", "20010731000000"), with_lineage=False)
+    return wide.select("id", "name", F.lit(2).alias("columns")).unionByName(one.select(F.lit(None).cast("string").alias("id"), "name", F.lit(1).alias("columns")))
+
+
+def q_stream_external(spark, sf_dir):
+    # a file put by another program and a committed folder; the file is committed later on as well
+    lake = Lake(spark, "stream-external")
+    src = _products_source(spark, sf_dir)
+    stream = partial(
+        run_silver_stream, spark, PRODUCTS, lake.bronze, lake.silver_of("products"), lake.control_of("products"), f"{lake.checkpoints}/products"
+    )
+    stream("20010801030000")  # nothing there yet
+    td.put_file(src, bronze_snapshot_path(lake.bronze, "products", "20010730", "20010730000000"))
+    stream("20010801040000")
+    commit_snapshot(spark, lake.bronze, "products", bronze_snapshot_path(lake.bronze, "products", "20010730", "20010730000000"))
+    snapshot_to_bronze(src, lake.bronze, "products", "20010731", "20010731000000")
+    stream("20010801050000")
+    silver = read_silver(spark, lake.silver_of("products"), PRODUCTS)
+    return silver.select("ref", "ts_file_generation", "product_id", "product_des", "product_category")
+
+
 QUERIES: dict[str, Query] = {
     "feature_book": q_feature_book,
     "feature_book_one_stage": q_feature_book_one_stage,
@@ -431,4 +530,9 @@ QUERIES: dict[str, Query] = {
     "stream_control": q_stream_control,
     "silver_latest_of_loads": q_silver_latest_of_loads,
     "silver_latest_of_loads_proc_first": q_silver_latest_of_loads_proc_first,
+    "arrival_gate_stream": q_arrival_gate_stream,
+    "silver_recovered": q_silver_recovered,
+    "silver_rejects": q_silver_rejects,
+    "bronze_nulls": q_bronze_nulls,
+    "stream_external": q_stream_external,
 }

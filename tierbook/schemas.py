@@ -26,6 +26,12 @@ class SubjectSpec:
         """Bronze CSV schema: same names, all strings (header, no inference)."""
         return T.StructType([T.StructField(f.name, T.StringType()) for f in self.columns])
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """What a silver load writes: typed columns, and what is kept of rejected rows."""
+        extra = [T.StructField(FAULTS, T.StringType()), T.StructField(RAW, self.raw_schema)]
+        return T.StructType(list(self.silver_schema.fields) + extra)
+
     @property
     def silver_schema(self) -> T.StructType:
         """Silver column order: lineage first, then the typed business columns."""
@@ -71,6 +77,9 @@ USERS = SubjectSpec(
     ),
 )
 
+# Of a row with a value that its column's type can't hold: the columns, and the text of all.
+FAULTS, RAW = "_faults", "_raw"
+
 SUBJECTS = {s.name: s for s in (PRODUCTS, SALES, USERS)}
 
 CONTROL_SCHEMA = T.StructType(
@@ -82,3 +91,13 @@ CONTROL_SCHEMA = T.StructType(
         T.StructField("ref", T.StringType()),
     ]
 )
+
+# What the audit row of a load holds beside that.
+LOAD_REPORT_SCHEMA = T.StructType(
+    CONTROL_SCHEMA.fields
+    + [
+        T.StructField("rejected", T.LongType()),
+        T.StructField("faults", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("version", T.LongType()),
+    ]
+)

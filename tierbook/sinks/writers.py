@@ -1,23 +1,30 @@
 """Layer writers.
 
-Silver and control are laid out by the full batch, ``ref / ts_proc /
-ts_file_generation``; a load overwrites exactly its own leaf, so a retried or
-replayed load replaces its rows (also by none) and touches no other batch.
-Gold uses dynamic partition overwrite of ``(ref, ts_proc)``. No repartition by
+Silver and gold are laid out by their batch, ``ref / ts_proc /
+ts_file_generation``; a load writes a folder of its own below it and becomes
+visible by its commit row (``sinks.commits``), so a retried or replayed load
+replaces its batch's rows (also by none) at once and touches no other batch.
+Control rows are laid out by the same keys, a row per load. No repartition by
 the partition columns: one load has one of each, so that would funnel the
 whole load into a single task.
 
 A bronze snapshot is a folder of part files; it counts only once its row is
-in the subject's manifest, which is written after the CSV is committed.
+in the subject's manifest, which is written after the CSV is committed. NULL is
+written as a marker that occurs nowhere else, so that it, empty text and rows
+of nothing but NULL come back as they were.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierbook.functions.lineage import parse_snapshot_name, snapshot_file_name
-from tierbook.sources.files import CSV_OPTIONS, MANIFEST_SCHEMA, manifest_path, read_manifest
+from tierbook.sinks import commits
+from tierbook.sources.files import CSV_OPTIONS, manifest_log, manifest_row
 
 
 def bronze_snapshot_path(bronze_dir: str, subject: str, ref: str, ts_file_generation: str) -> str:
@@ -45,54 +52,80 @@ def write_bronze_snapshot(
     """
     path = bronze_snapshot_path(bronze_dir, subject, ref, ts_file_generation)
     spark = df.sparkSession
-    known = read_manifest(spark, f"{bronze_dir.rstrip('/')}/{subject}")
-    if not known.where(F.col("snapshot") == path.rsplit("/", 1)[1]).isEmpty():
+    if manifest_row(spark, path) is not None:
         raise FileExistsError(f"{path} is committed already")
-    as_text = df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))
-    breaks = [F.coalesce(F.max(F.col(c).rlike("[\\r\\n]")), F.lit(False)) for c in df.columns]
-    seen = Observation(f"bronze_{subject}_{ts_file_generation}")
-    counted = as_text.observe(seen, F.count(F.lit(1)).alias("rows"), F.greatest(*breaks, F.lit(False)).alias("line_breaks"))
-    (
-        counted.write.options(**CSV_OPTIONS)
-        .option("ignoreLeadingWhiteSpace", "false")
-        .option("ignoreTrailingWhiteSpace", "false")
-        .option("maxRecordsPerFile", str(max_records_per_file))
-        .mode("overwrite")
-        .csv(path)
-    )
-    commit_snapshot(spark, bronze_dir, subject, path, bool(seen.get["line_breaks"]), int(seen.get["rows"]))
+    as_text = df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary") or f.dataType.simpleString().startswith(("char", "varchar"))]
+    while True:
+        marker = f"<null:{uuid.uuid4().hex[:8]}>"
+        none = F.lit(False)
+        breaks = [F.coalesce(F.max(F.col(f"`{c}`").rlike("[\\r\\n]")), none) for c in texts]
+        taken = [F.coalesce(F.max(F.col(f"`{c}`") == marker), none) for c in texts]
+        seen = Observation(f"bronze_{subject}_{ts_file_generation}_{marker}")
+        counted = as_text.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.greatest(*breaks, none, none).alias("line_breaks"),
+            F.greatest(*taken, none, none).alias("taken"),
+        )
+        (
+            counted.write.options(**CSV_OPTIONS)
+            .option("nullValue", marker)
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .option("maxRecordsPerFile", str(max_records_per_file))
+            .mode("overwrite")
+            .csv(path)
+        )
+        if not seen.get["taken"]:  # else some field is the marker itself: write again with another
+            break
+    commit_snapshot(spark, bronze_dir, subject, path, bool(seen.get["line_breaks"]), int(seen.get["rows"]), marker, df.columns)
     return path
 
 
-def commit_snapshot(spark: SparkSession, bronze_dir: str, subject: str, path: str, line_breaks: bool = True, rows: int | None = None) -> None:
+def commit_snapshot(
+    spark: SparkSession,
+    bronze_dir: str,
+    subject: str,
+    path: str,
+    line_breaks: bool | None = None,
+    rows: int | None = None,
+    null_marker: str | None = None,
+    columns: list[str] | None = None,
+) -> None:
     """Add one complete snapshot to the subject's manifest (for one that was
-    delivered from outside, call this once all its files are there)."""
+    delivered from outside, call this once all its files are there; what is
+    not given is measured when it is read)."""
     name, _, ref, tsf = parse_snapshot_name(path)
-    row = spark.createDataFrame([(path, name, ref, tsf, rows, line_breaks)], MANIFEST_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(manifest_path(f"{bronze_dir.rstrip('/')}/{subject}"))
-
-
-def _partitioned(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
-    (
-        df.write.partitionBy(*partition_by)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    row = dict(snapshot_path=path, snapshot=name, ref=ref, ts_file_generation=tsf, rows=rows, line_breaks=line_breaks)
+    row.update(null_marker=null_marker, columns=columns, committed_ms=int(time.time() * 1000))
+    manifest_log(spark, f"{bronze_dir.rstrip('/')}/{subject}").append(row)
 
 
 def _leaf(root: str, ref: str, ts_proc: str, ts_file_generation: str) -> str:
     return f"{root.rstrip('/')}/ref={ref}/ts_proc={ts_proc}/ts_file_generation={ts_file_generation}"
 
 
-def write_silver(df: DataFrame, silver_dir: str, ref: str, ts_proc: str, ts_file_generation: str) -> None:
-    """Overwrite the leaf of one batch (every row of ``df`` belongs to it)."""
-    data = df.drop("ref", "ts_proc", "ts_file_generation")
-    data.write.mode("overwrite").parquet(_leaf(silver_dir, ref, ts_proc, ts_file_generation))
+def _write_load(df: DataFrame, load: commits.Load, name: str) -> int:
+    """Write a load's folder; returns its rows."""
+    seen = Observation(f"{name}_{load.folder.rsplit('load=', 1)[1]}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(load.path)
+    return int(seen.get["rows"])
 
 
-def write_gold(df: DataFrame, gold_dir: str) -> None:
-    _partitioned(df, gold_dir, ("ref", "ts_proc"))
+def write_silver(df: DataFrame, silver_dir: str, ref: str, ts_proc: str, ts_file_generation: str) -> None:
+    """Make ``df`` (every row of it belongs to one batch) the content of that batch."""
+    load = commits.begin(df.sparkSession, silver_dir, ref=ref, ts_proc=ts_proc, ts_file_generation=ts_file_generation)
+    rows = _write_load(df.drop("ref", "ts_proc", "ts_file_generation"), load, "silver")
+    commits.commit(df.sparkSession, load, rows)
+
+
+def write_gold(df: DataFrame, gold_dir: str, ref: str, ts_proc: str) -> int:
+    """Make ``df`` the book of one run (also an empty one); returns its rows."""
+    load = commits.begin(df.sparkSession, gold_dir, ref=ref, ts_proc=ts_proc)
+    rows = _write_load(df.drop("ref", "ts_proc"), load, "gold")
+    commits.commit(df.sparkSession, load, rows)
+    return rows
 
 
 def write_control(row: DataFrame, control_dir: str, ref: str, ts_proc: str, ts_file_generation: str) -> None:

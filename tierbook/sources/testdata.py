@@ -13,10 +13,14 @@ users       = customer
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierbook.operators.book import BookSpec, make_spec
+from tierbook.sources.files import CSV_OPTIONS
+from tierbook.sources.storage import list_folder, remove, rename
 
 # Fixed values for the driver data: which p_type / o_orderpriority values get
 # feature columns (the others stay unlisted), the book date and run stamps.
@@ -90,3 +94,15 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("user_name"),
         F.col("c_mktsegment").alias("segment"),
     )
+
+
+def put_file(df: DataFrame, path: str) -> str:
+    """``df`` as one CSV file named ``path``, as a program outside Spark delivers a
+    snapshot: one task writes it, and it appears under its name at once."""
+    spark, (folder, name) = df.sparkSession, path.rsplit("/", 1)
+    temporary = f"{folder}/_put-{uuid.uuid4().hex}"
+    df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns)).coalesce(1).write.options(**CSV_OPTIONS).csv(temporary)
+    part = next(e.name for e in list_folder(spark, temporary) if e.name.endswith(".csv"))
+    rename(spark, f"{temporary}/{part}", f"{folder}/{name}")
+    remove(spark, temporary)
+    return path
