@@ -203,6 +203,49 @@ SALES_OUT = (
 )
 
 
+BOOK_DATES = ("2000-06-30", "2001-01-31", "2001-07-31")
+
+
+def _books_sql(where: str = "") -> str:
+    books = [
+        _book_sql(where=where.format(d)).replace(f"DATE '{AS_OF}'", f"DATE '{d}'").replace(f"'{BOOK_REF}' AS ref,", f"'{d.replace('-', '')}' AS ref,")
+        for d in BOOK_DATES
+    ]
+    return " UNION ALL ".join(f"SELECT * FROM ({b})" for b in books)
+
+
+# three product snapshots: all; some gone, some renamed; some gone, some back, some new
+SNAPSHOTS = f"""
+first AS (SELECT p_partkey AS k, p_name AS d, p_type AS c FROM part),
+second AS (SELECT k, CASE WHEN k % 7 = 0 THEN d || ' 2' ELSE d END AS d, c FROM first WHERE k % 13 <> 0),
+third AS (
+  SELECT * FROM second WHERE k % 11 <> 0 UNION ALL SELECT * FROM first WHERE k % 26 = 0 UNION ALL SELECT -k - 1, d, c FROM first WHERE k % 17 = 0
+)"""
+
+CHANGES = f"""
+WITH {SNAPSHOTS}
+SELECT CAST(k AS VARCHAR) AS product_id, d AS product_des, c AS product_category, change FROM (
+  SELECT *, 'inserted' AS change FROM third WHERE k NOT IN (SELECT k FROM second)
+  UNION ALL SELECT *, 'deleted' FROM second WHERE k NOT IN (SELECT k FROM third)
+  UNION ALL SELECT third.*, 'updated' FROM third JOIN second USING (k) WHERE third.d <> second.d OR third.c <> second.c
+)"""
+
+# per key the names it has in the three snapshots (NULL: not there); an interval ends where the next one differs
+HISTORY = f"""
+WITH {SNAPSHOTS},
+seen AS (SELECT k, 1 AS s, d, c FROM first UNION ALL SELECT k, 2, d, c FROM second UNION ALL SELECT k, 3, d, c FROM third),
+started AS (
+  SELECT seen.* FROM seen LEFT JOIN seen p ON p.k = seen.k AND p.s = seen.s - 1 AND p.d = seen.d AND p.c = seen.c WHERE p.k IS NULL
+),
+ended AS (
+  SELECT started.*, (SELECT min(x.s) FROM (VALUES (2), (3), (4)) x(s) WHERE x.s > started.s AND NOT EXISTS (
+    SELECT 1 FROM seen n WHERE n.k = started.k AND n.s = x.s AND n.d = started.d AND n.c = started.c)) AS e FROM started
+)
+SELECT CAST(k AS VARCHAR) AS product_id, d AS product_des, c AS product_category,
+  '200107' || (28 + s) || '000000' AS valid_from, CASE WHEN e <= 3 THEN '200107' || (28 + e) || '000000' END AS valid_to
+FROM ended
+"""
+
 # firing, subject, stamp, file stamp and the table whose rows were loaded
 ARRIVALS = " UNION ALL ".join(
     f"SELECT {n}::BIGINT AS firing, '{subject}' AS assunto, '{ts_proc}' AS ts_proc, '{tsf}' AS ts_file_generation, count(*) AS qtd_registros FROM {rows}"
@@ -249,7 +292,6 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "feature_book": book,
         "feature_book_one_stage": book,
-        "feature_book_two_stage": book,
         "feature_book_shuffle_join": book,
         "feature_book_literal": _book_sql(literal=True),
         "feature_book_lookback": _book_sql(where=f"WHERE ref >= '{LOOKBACK}'"),
@@ -319,6 +361,16 @@ def oracle_sql() -> dict[str, str]:
             " UNION ALL SELECT 'products', '20010731', '20010731000000', '20010801030000', 0",
             "silver_latest_of_loads": _product_rows("20010731", "20010731000000", "20010731110000"),
             "silver_latest_of_loads_proc_first": _product_rows("20010730", "20010730000000", "20010731120000"),
+            "feature_books_by_date": _books_sql("WHERE r_date <= DATE '{}'"),
+            "feature_books_all_rows": _books_sql(),
+            "snapshot_changes": CHANGES,
+            "silver_history": HISTORY,
+            "batch_profile": _with(SALES) + " UNION ALL ".join(
+                f"\nSELECT ts_proc, '{c}' AS \"column\", count(*) AS rows, count(*) FILTER ({c} IS NULL) AS nulls,"
+                f" CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM sales GROUP BY ts_proc"
+                for c in ("transaction_id", "user_id", "product_id", "dat_creation", "amount", "payment_method")
+            ),
+            "extract_splits": "SELECT count(*) + 1 AS rows, 1 AS most_reads, 1 AS least_reads, true AS even FROM lineitem",
             "arrival_gate_stream": ARRIVALS,
             "silver_recovered": _product_rows("20010731", "20010731000000", "20010731120000"),
             "silver_rejects": REJECTS,

@@ -5,6 +5,11 @@
   python -m tierbook stream --subject products --lake ROOT --ts-proc 20241001080000
   python -m tierbook gold   --lake ROOT --as-of 2024-09-30 --ts-proc 20241001090000 [--literal] [--lookback]
   python -m tierbook ready  --lake ROOT
+  python -m tierbook commit --subject products --lake ROOT --path ROOT/0000_bronze/products/products_20240930_20240930120000.csv
+  python -m tierbook gate   --lake ROOT --as-of 2024-09-30 --ts-proc 20241001090000
+  python -m tierbook books  --lake ROOT --dates 2024-06-30,2024-07-31 --ts-proc 20241001090000 --out DIR
+  python -m tierbook profile --subject sales --lake ROOT
+  python -m tierbook vacuum --lake ROOT --hours 48
 
 ``ROOT`` holds 0000_bronze/, 0001_silver/, 0002_gold/, 0003_control/ and
 checkpoints/. Stamps are always passed in: reruns with the same stamps
@@ -58,6 +63,8 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--subject", required=True, choices=sorted(SUBJECTS))
         p.add_argument("--lake", required=True)
         p.add_argument("--ts-proc", required=True)
+        p.add_argument("--keep-misfits", action="store_true", help="keep rows with values that don't fit, as NULL, instead of rejecting them")
+        p.add_argument("--max-rejected", type=float, help="share of rejected rows from which the load fails")
 
     g = sub.add_parser("gold", help="build the feature book from the latest silver batches")
     g.add_argument("--lake", required=True)
@@ -71,6 +78,32 @@ def main(argv: list[str] | None = None) -> int:
     r = sub.add_parser("ready", help="print the readiness gate")
     r.add_argument("--lake", required=True)
 
+    c = sub.add_parser("commit", help="add a snapshot that was delivered from outside to the manifest")
+    c.add_argument("--subject", required=True, choices=sorted(SUBJECTS))
+    c.add_argument("--lake", required=True)
+    c.add_argument("--path", required=True)
+
+    t = sub.add_parser("gate", help="take in new arrivals; build a book for every complete set")
+    t.add_argument("--lake", required=True)
+    t.add_argument("--as-of", required=True)
+    t.add_argument("--ts-proc", help="stamp of the book (by default the newest stamp of its arrivals)")
+
+    k = sub.add_parser("books", help="books of several dates from the latest batches, in one scan")
+    k.add_argument("--lake", required=True)
+    k.add_argument("--dates", required=True, help="comma-separated")
+    k.add_argument("--ts-proc", required=True)
+    k.add_argument("--out", required=True)
+    k.add_argument("--date-col", default="ref")
+    k.add_argument("--all-rows", action="store_true", help="count sales after a book's date too, as the single book does")
+
+    f = sub.add_parser("profile", help="profile the newest load of a subject and compare it with the one before")
+    f.add_argument("--subject", required=True, choices=sorted(SUBJECTS))
+    f.add_argument("--lake", required=True)
+
+    v = sub.add_parser("vacuum", help="remove files that no commit names")
+    v.add_argument("--lake", required=True)
+    v.add_argument("--hours", type=float, default=48, help="leave alone what changed since then")
+
     args = parser.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -103,7 +136,8 @@ def main(argv: list[str] | None = None) -> int:
 
         spec = SUBJECTS[args.subject]
         res = load_subject(
-            spark, spec, paths["bronze"], f"{paths['silver']}/{spec.name}", f"{paths['control']}/{spec.name}", args.ts_proc
+            spark, spec, paths["bronze"], f"{paths['silver']}/{spec.name}", f"{paths['control']}/{spec.name}", args.ts_proc,
+            keep_misfits=args.keep_misfits, max_rejected=args.max_rejected,
         )
         print(json.dumps(res.__dict__))
     elif args.job == "stream":
@@ -113,6 +147,7 @@ def main(argv: list[str] | None = None) -> int:
         run_silver_stream(
             spark, spec, paths["bronze"], f"{paths['silver']}/{spec.name}", f"{paths['control']}/{spec.name}",
             f"{paths['checkpoints']}/silver_{spec.name}", args.ts_proc,
+            keep_misfits=args.keep_misfits, max_rejected=args.max_rejected,
         )
     elif args.job == "gold":
         from tierbook.functions.dates import lookback_start
@@ -143,6 +178,50 @@ def main(argv: list[str] | None = None) -> int:
         control = read_control(spark, *(f"{paths['control']}/{s}" for s in subjects), missing_ok=True)
         for row in readiness(spark, control, subjects, last_book_stamp(spark, paths["gold"])).collect():
             print(json.dumps(row.asDict()))
+    elif args.job == "commit":
+        from tierbook.sinks.writers import commit_snapshot
+
+        commit_snapshot(spark, paths["bronze"], args.subject, args.path)
+    elif args.job == "gate":
+        from tierbook.operators.book import REFERENCE_SPEC
+        from tierbook.plans.gold import gold_job
+        from tierbook.streaming.arrivals import run_gate
+
+        def build(number: int, rows: list) -> None:
+            ts_proc = args.ts_proc or max(r["ts_proc"] for r in rows)
+            gold_job(spark, f"{paths['silver']}/sales", f"{paths['silver']}/products", paths["gold"], REFERENCE_SPEC, args.as_of, ts_proc)
+            print(json.dumps({"firing": number, "ts_proc": ts_proc}))
+
+        dirs = {s: f"{paths['control']}/{s}" for s in ("users", "products", "sales")}
+        run_gate(spark, dirs, f"{paths['checkpoints']}/gate", f"{paths['control']}/_firings", build)
+    elif args.job == "books":
+        from tierbook.operators.book import REFERENCE_SPEC
+        from tierbook.operators.books import feature_books
+        from tierbook.operators.enrich import category_enrichment
+        from tierbook.operators.latest import FILE_FIRST
+        from tierbook.schemas import PRODUCTS, SALES
+        from tierbook.sources.lake import read_latest_load
+
+        sales = read_latest_load(spark, f"{paths['silver']}/sales", SALES)
+        products = read_latest_load(spark, f"{paths['silver']}/products", PRODUCTS, FILE_FIRST)
+        books = feature_books(
+            category_enrichment(sales, products), REFERENCE_SPEC, args.dates.split(","), args.ts_proc, date_col=args.date_col, past_only=not args.all_rows
+        )
+        books.write.partitionBy("ref").parquet(args.out)
+    elif args.job == "profile":
+        from tierbook.plans.profile import profile_newest
+
+        for row in profile_newest(spark, SUBJECTS[args.subject], f"{paths['silver']}/{args.subject}", f"{paths['control']}/_profiles/{args.subject}").collect():
+            print(json.dumps(row.asDict()))
+    elif args.job == "vacuum":
+        import time
+
+        from tierbook.sinks.commits import vacuum
+
+        before = int((time.time() - 3600 * args.hours) * 1000)
+        for table in (*(f"{paths['silver']}/{s}" for s in SUBJECTS), paths["gold"]):
+            for folder in vacuum(spark, table, before):
+                print(f"{table}/{folder}")
     if owned:
         spark.stop()
     return 0

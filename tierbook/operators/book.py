@@ -280,27 +280,30 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _condition(f: Feature, dim_col: str, months_col: str, encoded: bool = False) -> str:
+def _condition(f: Feature, dim_col: str, months_col: str, encoded: bool = False, history_only: bool = False) -> str:
     value = str(_key_code(f)) if encoded else _text(f.value)
     cond = f"{_ident(dim_col)} = {value}"
     if f.tested is not None:
         cond += f" AND {_ident(months_col)} <= {int(f.tested)}"
+    elif history_only:
+        cond += f" AND {_ident(months_col)} IS NULL"
     return cond
 
 
-def _wide_aggregates(
-    spec: BookSpec, dim_col, months_col: str, measures: dict[str, str], encoded: bool = False
+def wide_aggregates(
+    spec: BookSpec, dim_col, months_col: str, measures: dict[str, str], encoded: bool = False, history_only: bool = False
 ) -> list[Column]:
     """One SQL aggregate per feature (plus sum/count helpers for averages).
 
     ``measures`` maps qtd/sum/min/max/cnt to the column each aggregates
     (``None`` for qtd means "count rows": ``sum(CASE WHEN ... THEN 1 END)``).
     Expressions are passed as SQL text: one JVM call per column instead of
-    one per expression node.
+    one per expression node. ``history_only``: rows without an age bucket carry
+    the whole history, all others only their window.
     """
     out = []
     for f in spec.features():
-        cond = _condition(f, dim_col(f.dimension), months_col, encoded)
+        cond = _condition(f, dim_col(f.dimension), months_col, encoded, history_only)
 
         def agg(func: str, measure: str | None) -> str:
             value = "1" if measure is None else _ident(measure)
@@ -332,8 +335,12 @@ def ensure_codegen_width(df: DataFrame, spec: BookSpec) -> None:
         spark.conf.set("spark.sql.codegen.maxFields", str(needed))
 
 
-def _finish(grouped: DataFrame, spec: BookSpec, user: str, ref: str, ts_proc: str) -> DataFrame:
-    cols = [_ident(user), f"{_text(ref)} AS ref", f"{_text(ts_proc)} AS ts_proc"]
+def finish_book(grouped: DataFrame, spec: BookSpec, user: str, ref: str | Column, ts_proc: str) -> DataFrame:
+    """The book's columns; ``ref`` is one text for all rows, or a column."""
+    if isinstance(ref, str):
+        ref = F.lit(ref)
+    grouped = grouped.withColumn("_book_ref", ref)
+    cols = [_ident(user), "_book_ref AS ref", f"{_text(ts_proc)} AS ts_proc"]
     for f in spec.features():
         name = _ident(f.name)
         if f.stat == "qtd":
@@ -369,9 +376,9 @@ def feature_book_one_stage(
     narrow = df.select(user, amount, date_col, *dims)
     base = with_age_bucket(narrow, as_of, spec.boundaries(), date_col)
     measures = {"qtd": None, "sum": amount, "min": amount, "max": amount, "cnt": ("count", amount)}
-    aggs = _wide_aggregates(spec, lambda d: d.column, BUCKET, measures)
+    aggs = wide_aggregates(spec, lambda d: d.column, BUCKET, measures)
     ensure_codegen_width(df, spec)
-    return _finish(base.groupBy(user).agg(*aggs), spec, user, ref, ts_proc)
+    return finish_book(base.groupBy(user).agg(*aggs), spec, user, ref, ts_proc)
 
 
 # ---------------------------------------------------------------------------
@@ -422,10 +429,10 @@ def pivot_partials(
     the wide aggregate then needs no further exchange.
     """
     measures = {"qtd": N, "sum": S, "min": MN, "max": MX, "cnt": ("sum", C)}
-    aggs = _wide_aggregates(spec, lambda d: d.key, BUCKET, measures, encoded=True)
+    aggs = wide_aggregates(spec, lambda d: d.key, BUCKET, measures, encoded=True)
     ensure_codegen_width(partials, spec)
     wide = partials.repartition(user).groupBy(user).agg(*aggs)
-    return _finish(wide, spec, user, ref, ts_proc)
+    return finish_book(wide, spec, user, ref, ts_proc)
 
 
 def feature_book_two_stage(

@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from tierbook.functions.dates import lookback_start, month_age
 from tierbook.operators import latest
 from tierbook.operators.book import literal_spec, month_flags
+from tierbook.operators.books import feature_books
+from tierbook.operators.changes import key_history, snapshot_changes
 from tierbook.operators.enrich import category_enrichment
 from tierbook.operators.control import readiness
 from tierbook.operators.lookback import lookback_filter
+from tierbook.operators.profile import profile
 from tierbook.operators.silver import lineage_columns
 from tierbook.plans.bronze import snapshot_to_bronze
 from tierbook.plans.gold import build_book
@@ -29,6 +32,7 @@ from tierbook.sinks import commits
 from tierbook.sinks.writers import bronze_snapshot_path, commit_snapshot, write_gold
 from tierbook.sources import testdata as td
 from tierbook.sources.files import latest_snapshot, read_bronze
+from tierbook.sources.splits import split_predicates
 from tierbook.sources.lake import read_control, read_gold, read_latest_load, read_load_report, read_rejects, read_silver
 from tierbook.streaming.arrivals import firings, run_gate
 from tierbook.streaming.silver_stream import run_silver_stream
@@ -491,10 +495,64 @@ def q_stream_external(spark, sf_dir):
     return silver.select("ref", "ts_file_generation", "product_id", "product_des", "product_category")
 
 
+BOOK_DATES = ("2000-06-30", "2001-01-31", "2001-07-31")
+
+
+def q_feature_books_by_date(spark, sf_dir):
+    # what books built on these dates could know
+    return feature_books(_enriched(spark, sf_dir), td.testdata_spec(), BOOK_DATES, td.BOOK_TS_PROC)
+
+
+def q_feature_books_all_rows(spark, sf_dir):
+    # the books of the same dates over all rows: later sales are recent
+    return feature_books(_enriched(spark, sf_dir), td.testdata_spec(), BOOK_DATES, td.BOOK_TS_PROC, past_only=False)
+
+
+def _product_snapshots(spark, sf_dir, lake):
+    """Three product loads: all; some gone and some renamed; some back, some new."""
+    src = _products_source(spark, sf_dir)
+    key = F.col("product_id")
+    second = src.where(key % 13 != 0).withColumn("product_des", F.when(key % 7 == 0, F.concat("product_des", F.lit(" 2"))).otherwise(F.col("product_des")))
+    third = second.where(key % 11 != 0).unionByName(src.where(key % 26 == 0)).unionByName(src.where(key % 17 == 0).withColumn("product_id", -key - 1))
+    for day, rows in (("29", src), ("30", second), ("31", third)):
+        _load(spark, lake, PRODUCTS, rows, f"200107{day}", f"200107{day}000000", f"200107{day}120000")
+    return read_silver(spark, lake.silver_of("products"), PRODUCTS)
+
+
+def q_snapshot_changes(spark, sf_dir):
+    lake = Lake(spark, "changes")
+    silver = _product_snapshots(spark, sf_dir, lake)
+    old, new = (silver.where(F.col("ref") == f"200107{day}") for day in ("30", "31"))
+    return snapshot_changes(old, new, ["product_id"], ["product_des", "product_category"])
+
+
+def q_silver_history(spark, sf_dir):
+    lake = Lake(spark, "history")
+    silver = _product_snapshots(spark, sf_dir, lake)
+    return key_history(silver, ["product_id"], ["ts_file_generation"], ["product_des", "product_category"])
+
+
+def q_batch_profile(spark, sf_dir):
+    # the exact fields, per batch of sales
+    found = profile(td.sales(spark, sf_dir), ["ts_proc"], ["transaction_id", "user_id", "product_id", "dat_creation", "amount", "payment_method"])
+    return found.select("ts_proc", "column", "rows", "nulls", "least", "greatest")
+
+
+def q_extract_splits(spark, sf_dir):
+    # rows of the table per planned read, by user (skewed: every third row moved into a narrow range)
+    user = F.when(F.col("l_linenumber") % 3 == 0, F.col("l_orderkey") % 50).otherwise(F.col("l_orderkey"))
+    rows = td.table(spark, sf_dir, "lineitem").select(user.alias("user_id")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS user_id"))
+    predicates = split_predicates(rows, "user_id", 8)
+    met = F.array_compact(F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)]))
+    per_read = rows.select(F.size(met).alias("reads"), F.get(met, F.lit(0)).alias("read")).groupBy("reads", "read").agg(F.count("*").alias("n"))
+    ranged = per_read.where(f"read < {len(predicates) - 1}")
+    even = ranged.agg((F.max("n") <= 1.5 * F.avg("n")).alias("even")).select("even")
+    return per_read.agg(F.sum("n").alias("rows"), F.max("reads").alias("most_reads"), F.min("reads").alias("least_reads")).join(F.broadcast(even))
+
+
 QUERIES: dict[str, Query] = {
     "feature_book": q_feature_book,
     "feature_book_one_stage": q_feature_book_one_stage,
-    "feature_book_two_stage": q_feature_book,
     "feature_book_shuffle_join": q_feature_book_shuffle_join,
     "feature_book_literal": q_feature_book_literal,
     "feature_book_lookback": q_feature_book_lookback,
@@ -535,4 +593,10 @@ QUERIES: dict[str, Query] = {
     "silver_rejects": q_silver_rejects,
     "bronze_nulls": q_bronze_nulls,
     "stream_external": q_stream_external,
+    "feature_books_by_date": q_feature_books_by_date,
+    "feature_books_all_rows": q_feature_books_all_rows,
+    "snapshot_changes": q_snapshot_changes,
+    "silver_history": q_silver_history,
+    "batch_profile": q_batch_profile,
+    "extract_splits": q_extract_splits,
 }
