@@ -69,8 +69,8 @@ def test_risk_and_its_gradient():
     with_bias = [np.hstack([d, np.ones((len(d), 1))]) for d in dense]
 
     def risk(w, prior):
-        mp, mu = with_bias[0] @ w, with_bias[1] @ w
-        return prior * np.log1p(np.exp(-mp)).mean(), np.log1p(np.exp(mu)).mean() - prior * np.log1p(np.exp(mp)).mean()
+        sp, su = (1 / (1 + np.exp(-(x @ w))) for x in with_bias)
+        return prior * (1 - sp).mean(), su.mean() - prior * sp.mean()
 
     reversed_ = 0
     for prior in (0.1, 0.9):

@@ -6,8 +6,9 @@ linear classifier over hashed words is fitted with numpy to the risk estimate
 ``prior R_p+ + max(0, R_u- - prior R_p-)``: the unlabelled risk as negatives is
 corrected by what its hidden positives add, and where the corrected part of a
 mini-batch falls below zero its gradient is reversed, which stops the
-classifier from fitting single documents. The loss is logistic, so the score is
-a probability; 0.5 or more is toxic.
+classifier from fitting single documents. The loss is the sigmoid one: it is
+bounded, so that documents which are told apart already don't drive the corrected
+risk below zero. The score is the sigmoid of the margin; 0.5 or more is toxic.
 
 Features: the share of documents that hold each of ``SLOTS`` hashed words is
 counted over all training documents; the ``FEATURES`` slots whose share among
@@ -17,7 +18,9 @@ Bounds: the classifier is fitted on at most ``POSITIVES`` confirmed documents
 and ``UNLABELLED`` others, chosen by the hash of their id; their words are read
 from the whole texts and only the chosen features reach the driver. Everything
 else (word shares, scoring) covers all documents, in one pass without a
-shuffle of texts. The prior is the share of toxic documents among the labelled.
+shuffle of texts. The prior is the share of toxic documents among the labelled,
+and ``PRIOR_ERRORS`` standard errors: one that is too small makes the estimate
+count hidden positives as negatives, so that a whole group of them is given up.
 
 Edge cases: null and empty texts have no features and get the score of the
 bias; a document with several labels is toxic if any says so, null labels say
@@ -41,10 +44,11 @@ POSITIVES = 10_000
 UNLABELLED = 20_000
 MIN_ERRORS = 3.0
 MIN_POSITIVES = 3
+PRIOR_ERRORS = 2.0
 STEPS = 400
 BATCH = 1000  # positives in a mini-batch: the corrected risk of few documents is mostly noise
 RATE = 0.1
-DECAY = 2e-4
+DECAY = 2e-5
 SEED = 13
 
 _LETTER = np.zeros(256, dtype=bool)
@@ -151,13 +155,14 @@ def risk_gradient(weights: np.ndarray, p: tuple, n_p: int, u: tuple, n_u: int, p
         g[-1] += slope.sum()
         return g
 
-    mp, mu = margins(p, n_p), margins(u, n_u)
-    plus = prior * np.logaddexp(0, -mp).mean()
-    minus = np.logaddexp(0, mu).mean() - prior * np.logaddexp(0, mp).mean()
-    g_minus = back(u, _sigmoid(mu) / n_u) - prior * back(p, _sigmoid(mp) / n_p)
+    sp, su = _sigmoid(margins(p, n_p)), _sigmoid(margins(u, n_u))
+    plus = prior * (1 - sp).mean()
+    minus = su.mean() - prior * sp.mean()
+    g_positive = prior * back(p, sp * (1 - sp) / n_p)
+    g_minus = back(u, su * (1 - su) / n_u) - g_positive
     if minus < 0:
         return plus, minus, -g_minus
-    return plus, minus, g_minus - prior * back(p, _sigmoid(-mp) / n_p)
+    return plus, minus, g_minus - g_positive
 
 
 def fit(positive: Sparse, n_p: int, unlabelled: Sparse, n_u: int, features: int, prior: float) -> np.ndarray:
@@ -190,7 +195,8 @@ def learn(
     toxic, labelled = marks.agg(F.count_if(F.col("label") == 1), F.count("*")).first()
     if not toxic:
         return None
-    prior = float(np.clip(toxic / labelled, 1e-3, 0.5))
+    share = toxic / labelled
+    prior = float(np.clip(share + PRIOR_ERRORS * np.sqrt(share * (1 - share) / labelled), 1e-3, 0.5))
     # both are bounded by their limits, so that they may be broadcast
     some = marks.where("label = 1").orderBy(F.xxhash64("key"), "key").limit(positives)
     mixture = ids.orderBy(F.xxhash64("key", F.lit(1)), "key").limit(unlabelled)
