@@ -203,6 +203,16 @@ SALES_OUT = (
 )
 
 
+def _totals_sql() -> str:
+    cols = []
+    for months in (None, 1, 3, 6, 12):
+        tail, cond = ("", "true") if months is None else (f"_u{months}m", f"age <= {months}")
+        amount, n = f"CASE WHEN {cond} THEN amount END", f"CAST(SUM(CASE WHEN {cond} THEN 1 END) AS BIGINT)"
+        cols += [f"{n} AS qtd_total{tail}", f"CAST(SUM({amount}) AS DOUBLE) / NULLIF(COUNT({amount}), 0) AS avg_total{tail}"]
+        cols += [f"CAST({fn}({amount}) AS DOUBLE) AS {fn.lower()}_total{tail}" for fn in ("SUM", "MIN", "MAX")]
+    return _with(SALES, PRODUCTS, ENRICHED, AGED) + f"\nSELECT user_id, {', '.join(cols)} FROM aged GROUP BY user_id"
+
+
 BOOK_DATES = ("2000-06-30", "2001-01-31", "2001-07-31")
 
 
@@ -361,6 +371,11 @@ def oracle_sql() -> dict[str, str]:
             " UNION ALL SELECT 'products', '20010731', '20010731000000', '20010801030000', 0",
             "silver_latest_of_loads": _product_rows("20010731", "20010731000000", "20010731110000"),
             "silver_latest_of_loads_proc_first": _product_rows("20010730", "20010730000000", "20010731120000"),
+            "feature_book_totals": _totals_sql(),
+            "feature_book_windows": _with(SALES, PRODUCTS, ENRICHED, AGED) + "\nSELECT user_id, "
+            + ", ".join(f"{expr} AS {name}" for name, _, expr in _feature_sql() if name.endswith("m") and "_u" in name)
+            # a user without a row in any window has no row in the pruned book
+            + " FROM aged GROUP BY user_id HAVING count(CASE WHEN ref >= '20000601' THEN 1 END) > 0",
             "feature_books_by_date": _books_sql("WHERE r_date <= DATE '{}'"),
             "feature_books_all_rows": _books_sql(),
             "snapshot_changes": CHANGES,

@@ -53,3 +53,22 @@ def test_lookback_start_is_whole_month():
     assert lookback_start("2024-09-30") == "20231001"
     assert lookback_start("2025-09-30") == "20240901"
     assert lookback_start("2001-07-31") == "20000701"
+
+
+def test_window_start_cuts_no_window():
+    import datetime as dt
+
+    from tierbook.functions.dates import window_start
+
+    assert window_start("2024-09-30") == "20230801" and window_start("2024-01-31", 1) == "20231101" and window_start("2024-12-31", 12) == "20231101"
+
+    def age(e, r):  # int(months_between)
+        months = 12 * (e.year - r.year) + e.month - r.month
+        last = lambda d: (d + dt.timedelta(days=1)).day == 1
+        return months if e.day == r.day or (last(e) and last(r)) else int((31 * months + e.day - r.day) / 31)
+
+    for e in (dt.date(2024, 9, 30), dt.date(2024, 2, 29), dt.date(2023, 3, 31), dt.date(2024, 1, 1)):
+        for k in (1, 3, 6, 12):
+            first = dt.datetime.strptime(window_start(e, k), "%Y%m%d").date()
+            for back in range(1, 60):
+                assert age(e, first - dt.timedelta(days=back)) > k

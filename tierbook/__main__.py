@@ -71,7 +71,9 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--as-of", required=True)
     g.add_argument("--ts-proc", required=True)
     g.add_argument("--literal", action="store_true", help="reproduce the published 12-month text")
-    g.add_argument("--lookback", action="store_true", help="prune refs older than 365 days: cuts the whole-history columns, and the 12-month ones at their edge")
+    g.add_argument("--lookback", action="store_true", help="leave out refs that no window reaches: the whole-history columns then cover the rest only")
+    g.add_argument("--lookback-days", type=int, help="leave out refs older than the month so many days back (365 also cuts the 12-month columns at their edge)")
+    g.add_argument("--totals", action="store_true", help="also columns over all categories and payment methods")
     g.add_argument("--date-col", default="ref", help="column that ages are taken from, e.g. dat_creation")
     g.add_argument("--when-ready", action="store_true", help="only if every subject arrived since the last book")
 
@@ -150,14 +152,19 @@ def main(argv: list[str] | None = None) -> int:
             keep_misfits=args.keep_misfits, max_rejected=args.max_rejected,
         )
     elif args.job == "gold":
-        from tierbook.functions.dates import lookback_start
+        from dataclasses import replace
+
+        from tierbook.functions.dates import lookback_start, window_start
         from tierbook.operators.book import REFERENCE_SPEC, literal_spec
         from tierbook.plans.gold import gold_job, gold_when_ready
 
         spec = literal_spec(REFERENCE_SPEC) if args.literal else REFERENCE_SPEC
         options = {"date_col": args.date_col}
+        spec = replace(spec, totals=args.totals)
         if args.lookback:
-            options["lookback_start"] = lookback_start(args.as_of)
+            options["lookback_start"] = window_start(args.as_of, max(spec.boundaries()))
+        if args.lookback_days:
+            options["lookback_start"] = lookback_start(args.as_of, args.lookback_days)
         if args.when_ready:
             ran = gold_when_ready(
                 spark, paths["silver"], paths["control"], paths["gold"], spec, args.as_of, args.ts_proc, **options

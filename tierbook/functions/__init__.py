@@ -3,6 +3,7 @@
 from tierbook.functions.dates import (
     as_date,
     lookback_start,
+    window_start,
     month_age,
     parse_ref,
     recency_flag,
@@ -19,6 +20,7 @@ from tierbook.functions.lineage import (
 __all__ = [
     "as_date",
     "lookback_start",
+    "window_start",
     "month_age",
     "parse_ref",
     "recency_flag",

@@ -51,3 +51,14 @@ def lookback_start(as_of: str | dt.date, days: int = 365) -> str:
     """First day of the month ``days`` before ``as_of`` as ``yyyyMM01``."""
     start = as_date(as_of) - dt.timedelta(days=days)
     return start.strftime("%Y%m01")
+
+
+def window_start(as_of: str | dt.date, months: int = 12) -> str:
+    """First day of the month that a "last ``months`` months" window can reach, as ``yyyyMM01``.
+
+    A row is in it up to just under ``months + 1`` months of age, month-ends
+    included, so that no column of the window changes if older refs are left out.
+    """
+    day = as_date(as_of)
+    first = 12 * day.year + day.month - 1 - (months + 1)
+    return f"{first // 12:04d}{first % 12 + 1:02d}01"

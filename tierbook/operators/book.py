@@ -68,10 +68,16 @@ class Feature:
     tested: int | None  # months actually tested (differs only in literal mode)
 
 
+# The one value of no column: every row counts.
+TOTAL = Dimension("total", "", (("", ""),))
+
+
 @dataclass(frozen=True)
 class BookSpec:
     dimensions: tuple[Dimension, ...]
     windows: tuple[int, ...] = (1, 3, 6, 12)
+    # also {stat}_total[_u{k}m], over all rows whatever their dimension values
+    totals: bool = False
     # (stat, dimension tag, window) -> months tested instead of the window.
     window_overrides: tuple[tuple[str, str, int, int], ...] = field(default_factory=tuple)
 
@@ -87,6 +93,10 @@ class BookSpec:
                         out.append(
                             Feature(f"{stat}_{dim.tag}_{label}{suffix}", stat, dim, value, window, tested)
                         )
+        for stat in TOTAL.stats if self.totals else ():
+            for window in (None, *self.windows):
+                suffix = f"_u{window}m" if window is not None else ""
+                out.append(Feature(f"{stat}_{TOTAL.tag}{suffix}", stat, TOTAL, "", window, window))
         return out
 
     def feature_names(self) -> list[str]:
@@ -135,6 +145,7 @@ def make_spec(
     category_column: str = "product_category",
     payment_column: str = "payment_method",
     windows: tuple[int, ...] = WINDOWS,
+    totals: bool = False,
 ) -> BookSpec:
     return BookSpec(
         (
@@ -142,6 +153,7 @@ def make_spec(
             Dimension("pm", payment_column, tuple(payment_values), PAYMENT_STATS),
         ),
         tuple(windows),
+        totals,
     )
 
 
@@ -281,8 +293,11 @@ def _text(value: str) -> str:
 
 
 def _condition(f: Feature, dim_col: str, months_col: str, encoded: bool = False, history_only: bool = False) -> str:
-    value = str(_key_code(f)) if encoded else _text(f.value)
-    cond = f"{_ident(dim_col)} = {value}"
+    if f.dimension is TOTAL:
+        cond = "true"
+    else:
+        value = str(_key_code(f)) if encoded else _text(f.value)
+        cond = f"{_ident(dim_col)} = {value}"
     if f.tested is not None:
         cond += f" AND {_ident(months_col)} <= {int(f.tested)}"
     elif history_only:

@@ -8,12 +8,13 @@ ages as INT, stamps as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierbook.functions.dates import lookback_start, month_age
+from tierbook.functions.dates import lookback_start, month_age, window_start
 from tierbook.operators import latest
 from tierbook.operators.book import literal_spec, month_flags
 from tierbook.operators.books import feature_books
@@ -129,6 +130,18 @@ def q_lookback_filter(spark, sf_dir):
     return _money(out, "amount")
 
 
+def q_feature_book_totals(spark, sf_dir):
+    spec = replace(td.testdata_spec(), totals=True)
+    return _book(spark, sf_dir, spec=spec).select("user_id", *[n for n in spec.feature_names() if "_total" in n])
+
+
+def q_feature_book_windows(spark, sf_dir):
+    # refs that no window reaches are never read; the windows' columns are those of the whole book
+    spec = td.testdata_spec()
+    book = _book(spark, sf_dir, lookback_start=window_start(td.AS_OF, max(spec.boundaries())))
+    return book.select("user_id", *[f.name for f in spec.features() if f.window])
+
+
 def q_feature_book_lookback(spark, sf_dir):
     return _book(spark, sf_dir, lookback_start=lookback_start(td.AS_OF))
 
@@ -556,6 +569,8 @@ QUERIES: dict[str, Query] = {
     "feature_book_shuffle_join": q_feature_book_shuffle_join,
     "feature_book_literal": q_feature_book_literal,
     "feature_book_lookback": q_feature_book_lookback,
+    "feature_book_totals": q_feature_book_totals,
+    "feature_book_windows": q_feature_book_windows,
     "month_age": q_month_age,
     "recency_flags": q_recency_flags,
     **{f"book_{s}_{d}": _family(s, d) for d in ("pcat", "pm") for s in ("qtd", "sum", "avg", "min", "max")},
