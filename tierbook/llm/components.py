@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import materialise
+from .scratch import drop_scratch, materialise
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -38,6 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _digest(pairs)) != before:
         before = now
-        pairs = materialise(_star(_star(pairs, True), False), "stars")
+        last, pairs = pairs, materialise(_star(_star(pairs, True), False), "stars")
+        drop_scratch(last)
     roots = pairs.select(F.col("b").alias("node")).distinct().withColumn("label", F.col("node"))
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("label")).union(roots)

@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_root
 
@@ -33,6 +34,26 @@ def clear(spark: SparkSession, root: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_WRITTEN: list[str] = []
+
+
+def written_since(mark: int) -> list[str]:
+    """The tables materialised since ``_WRITTEN`` had ``mark`` entries."""
+    return _WRITTEN[mark:]
+
+
+def mark() -> int:
+    return len(_WRITTEN)
+
+
+def drop_paths(spark: SparkSession, paths: list[str], keep: DataFrame) -> None:
+    """Remove tables of ``written_since``, but those that ``keep`` reads."""
+    read = {f.rsplit("/", 1)[0] for f in keep.inputFiles()}
+    for path in paths:
+        if not any(r.endswith(path.split(":", 1)[-1].lstrip("/")) for r in read):
+            clear(spark, path)
+
+
 def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again.
 
@@ -41,10 +62,18 @@ def materialise(df: DataFrame, name: str, compression: str = "snappy") -> DataFr
     """
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(path)
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(df: DataFrame) -> None:
+    """Remove the files of a materialised table that nothing will read again."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if f"/tierbook-llm-{_FOLDER}/" in path:
+            clear(df.sparkSession, path)
+
+
 def packed_rest(df: DataFrame, *taken: str) -> Column:
     """All other columns of ``df`` in one struct, so that their names can clash
     with nothing (a null byte if there are none)."""
@@ -53,12 +82,20 @@ def packed_rest(df: DataFrame, *taken: str) -> Column:
 
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (rows of a few longs) marked for a broadcast if a count shows that
-    it has at most ``limit`` rows; else as it is, for a shuffle join with the same result."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    """``df`` (of numbers and arrays of them) marked for a broadcast if a measurement shows at
+    most ``limit`` rows and ``BROADCAST_BYTES`` bytes; else as it is, for a shuffle join with the same result."""
+    arrays = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    if not arrays:
+        return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    size = F.lit(16 * len(df.columns)).cast("long")
+    for c in arrays:
+        size = size + 8 * F.greatest(F.size(c), F.lit(0))
+    rows, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= limit and total <= BROADCAST_BYTES else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
