@@ -62,6 +62,38 @@ def test_each_stage_on_its_input(spark, corpus):
     assert len(mixed) == docs.count()
 
 
+def test_language_stage_keeps_mixed_texts_and_needs_labels(spark):
+    rng = random.Random(3)
+    alphabets = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst"}
+
+    def prose(lang, n):
+        return " ".join("".join(rng.choices(alphabets[lang], k=rng.randint(2, 7))) for _ in range(n))
+
+    rows = [(i, prose(lang, 200), lang, "s") for i, lang in enumerate(sorted(alphabets) * 15)]
+    rows.append((500, " ".join(prose(lang, 30) for lang in alphabets), None, "s"))  # a quarter each
+    rows.append((501, "\u4e00\u4e8c\u4e09 \u56db\u4e94 " * 20, None, "s"))  # in none of the alphabets
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, cases.table(spark, rows), "").collect()}
+    assert kept == {r[0] for r in rows} - {501}
+    with pytest.raises(ValueError, match="no labelled"):
+        corpus_pipeline.language(spark, cases.table(spark, [(r[0], r[1], None, r[3]) for r in rows]), "")
+
+
+def test_stages_leave_no_tables_behind(spark, corpus):
+    """What a stage has written for itself goes when the next one starts; columns named like its own keys stay."""
+    import glob
+
+    from tierbook.llm import scratch
+
+    docs = queries.table(spark, corpus, "documents").withColumn("k1", F.lit("mine")).withColumn("_k1", F.lit("too"))
+    out = materialise(corpus_pipeline.near_duplicates(spark, docs, corpus), "t")
+    assert out.columns == docs.columns and {(r["k1"], r["_k1"]) for r in out.select("k1", "_k1").collect()} == {("mine", "too")}
+    left = [p.removeprefix("file://").removeprefix("file:") for p in corpus_pipeline._LEFT]
+    assert left and any(glob.glob(p) for p in left)
+    materialise(corpus_pipeline.substrings(spark, out, corpus), "u")
+    assert not any(glob.glob(p) for p in left) and out.count() > 0
+    assert scratch.mark() > 0
+
+
 def test_run_and_empty_run(spark, corpus, tmp_path):
     assert corpus_pipeline.run(spark, corpus).where("taken > 0").count() > 0
     cases.empty(spark).write.parquet(f"{tmp_path}/documents.parquet")

@@ -8,16 +8,21 @@ languages is chosen by penalised likelihood: starting from all languages with
 a share, the weakest leaves as long as the log-likelihood, per independent
 trigram, falls by less than half the logarithm of the number of trigrams (the
 Bayesian information criterion). The prediction is the language with the
-largest share in the chosen set; its share is the score.
+largest share in the chosen set; its share is the score. ``gain`` tells how
+well all chosen languages together explain the text: its log-likelihood per
+trigram above that of equally frequent trigrams; text in none of the learned
+alphabets and noise fall below zero.
 
 Texts are read whole; counting is one pass with a partial sum per task, and
-prediction is one pass without a shuffle. The model holds ``FEATURES`` numbers
+prediction is one pass without a shuffle, at most ``ROWS`` documents at a time
+whatever their length. The model holds ``FEATURES`` numbers
 per language, for at most ``MAX_LANGUAGES`` languages (an error beyond it).
 
-Edge cases: texts that are null or hold no letter are ``und`` with score 0, as
-is everything when no document can be learned from; labels that are null
-teach nothing; of languages with one share the first by code point wins; an
-empty table gives an empty result.
+Edge cases: texts that are null or hold no letter are ``und`` with score and
+gain 0, as is everything when no document can be learned from; labels that are null
+teach nothing; of languages with one share the first by code point wins;
+repeated rows are predicted each; all other columns come back in the struct
+``rest``, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +42,7 @@ ROUNDS = 8
 MIN_SHARE = 0.01
 OVERLAP = 3.0  # each byte is in three trigrams
 MAX_LANGUAGES = 512
+ROWS = 256
 UNDETERMINED = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -110,6 +116,11 @@ def _fit(counts: np.ndarray, model: np.ndarray, allowed: np.ndarray) -> tuple[np
 
 def proportions(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
     """Each document's language shares over the set that the penalised likelihood chooses (rows of counts are not empty)."""
+    return choose(counts, model)[0]
+
+
+def choose(counts: np.ndarray, model: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``proportions`` and the log-likelihood of each document under them."""
     share, likelihood = _fit(counts, model, np.ones((len(counts), len(model)), dtype=np.float32))
     result, penalty = share.copy(), 0.5 * OVERLAP * np.log(counts.sum(axis=1))
     # languages without a real share go at once
@@ -126,7 +137,7 @@ def proportions(counts: np.ndarray, model: np.ndarray) -> np.ndarray:
         better = likelihood[open_] - less < penalty[open_]
         open_, share, less, fewer = open_[better], share[better], less[better], fewer[better]
         result[open_], likelihood[open_], allowed[open_] = share, less, fewer
-    return np.where(allowed, result, 0)
+    return np.where(allowed, result, 0), likelihood
 
 
 def _predict(languages: list[str], model: np.ndarray):
@@ -134,32 +145,33 @@ def _predict(languages: list[str], model: np.ndarray):
 
     def run(batches):
         for batch in batches:
-            for part in tk.chunks(batch):
+            for part in (whole.slice(at, ROWS) for whole in tk.chunks(batch) for at in range(0, whole.num_rows, ROWS)):
                 docs = tk.texts(part.column("text"))
                 lettered = [bool(_LETTER.search(t or "")) for t in part.column("text").to_pylist()]
                 doc, feature = trigrams(docs, features)
                 counts = np.bincount(doc * features + feature, minlength=len(docs) * features).reshape(len(docs), features).astype(np.float32)
                 known = np.flatnonzero(np.array(lettered) & (counts.sum(axis=1) > 0)) if languages else np.zeros(0, int)
-                lang, score = [UNDETERMINED] * len(docs), np.zeros(len(docs))
+                lang, score, gain = [UNDETERMINED] * len(docs), np.zeros(len(docs)), np.zeros(len(docs))
                 if len(known):
-                    share = proportions(counts[known], model)
+                    share, likelihood = choose(counts[known], model)
+                    gain[known] = likelihood / counts[known].sum(axis=1) + np.log(features)
                     best = share.argmax(axis=1)
                     score[known] = np.clip(share[np.arange(len(known)), best], 0, 1)
                     for i, b in zip(known, best):
                         lang[i] = languages[b]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("text"), pa.array(lang, pa.string()), pa.array(score), part.column("rest")],
-                    names=["id", "text", "lang_pred", "score", "rest"],
+                    [part.column("id"), part.column("text"), pa.array(lang, pa.string()), pa.array(score), pa.array(gain), part.column("rest")],
+                    names=["id", "text", "lang_pred", "score", "gain", "rest"],
                 )
 
     return run
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id, text, lang_pred, score`` and all other columns in the struct ``rest``."""
+    """One row per input row: ``id, text, lang_pred, score, gain`` and all other columns in the struct ``rest``."""
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), packed_rest(docs, id_col, text_col).alias("rest"))
     kinds = {f.name: f.dataType.simpleString() for f in source.schema}
-    return source.mapInArrow(_predict(*model), f"id {kinds['id']}, text string, lang_pred string, score double, rest {kinds['rest']}")
+    return source.mapInArrow(_predict(*model), f"id {kinds['id']}, text string, lang_pred string, score double, gain double, rest {kinds['rest']}")
 
 
 def held_out(id_col: str = "doc_id", parts: int = 5, remainder: int = 0):
