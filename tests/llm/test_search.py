@@ -80,10 +80,13 @@ def test_items_inside_documents(spark):
         rows.append((100 + i, cases.prose(rng, 800, 3000) + " " + t.upper() + "\n" + cases.prose(rng, 300, 3000), "x", "s"))
         rows.append((200 + i, cases.prose(rng, 50, 3000) + " " + " ".join(w[: int(len(w) * 0.9)]) + " tail", "x", "s"))
         rows.append((300 + i, cases.prose(rng, 50, 3000) + " " + " ".join(w[: len(w) // 2]), "x", "s"))
+    items += [(14, "Capital of france"), (15, "w1 w2 w1 w3"), (16, "unseen")]
+    rows.append((400, cases.prose(rng, 90, 3000) + " The capital of France\nis " + cases.prose(rng, 90, 3000), "x", "s"))
     want = []
     for i, text, *_ in rows:
         for j, t in items:
-            q, s = cases.shingles(t), cases.shingles(text)
+            n = min(5, len(cases.words(t)))
+            q, s = cases.shingles(t), cases.shingles(text, max(n, 1))
             if q and 100 * len(q & s) >= 75 * len(q):
                 want.append((i, j, len(q), len(q & s)))
     docs = cases.table(spark, rows)
@@ -117,9 +120,21 @@ def _plain_words(text):
     return [w for w in re.split(r"[\x00-/:-`{-\x7f]+", (text or "").lower()) if w]
 
 
-def _grams(text):
+def _grams(text, n=5):
     w = _plain_words(text)
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+
+def test_customary_notices_are_covered(spark):
+    texts = {
+        "MIT": "Licensed under the MIT License.", "Apache-2.0": "// SPDX-License-Identifier: Apache-2.0", "LGPL-3.0": "released under the GNU Lesser General Public License, version 3",
+        "CC-BY-SA-4.0": "This work is licensed under CC BY-SA 4.0", "Unlicense": "released under the Unlicense", "ISC": "Licensed under the ISC license",
+        "GPL-2.0": "distributed under the GNU General Public License, version 2", "BSD-3-Clause": "Licensed under the BSD 3-Clause License",
+    }
+    rows = [(i, f"some text before\n{t}\nand some after it", "x", k) for i, (k, t) in enumerate(texts.items())]
+    found = licenses.scan(cases.table(spark, rows), licenses.notice_table(spark)).select("id", "license").distinct().collect()
+    assert {(r["id"], r["license"]) for r in found} >= set(enumerate(texts))
+    assert len({n for _, n, _ in licenses.NOTICES}) == len(licenses.NOTICES)
 
 
 def test_notices_are_found(spark):
@@ -132,7 +147,8 @@ def test_notices_are_found(spark):
     want = []
     for i, text, *_ in rows:
         for lic, name, notice in licenses.NOTICES:
-            q, s = _grams(notice), _grams(text)
+            n = min(5, len(_plain_words(notice)))
+            q, s = _grams(notice, n), _grams(text, n)
             if 100 * len(q & s) >= 75 * len(q):
                 want.append((i, lic, name, len(q), len(q & s)))
     found = licenses.scan(cases.table(spark, rows), licenses.notice_table(spark))
