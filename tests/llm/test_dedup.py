@@ -25,6 +25,26 @@ def test_word_windows_match_brute_force(spark):
     assert _sorted((r[0], r[4]) for r in got) == _sorted((r[0], r[1]) for r in ROWS)
 
 
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_hot_minimisers_go_by_window(spark, monkeypatch, hot):
+    """A passage in a third of all documents: no bucket holds many of its edges, and the result is the same."""
+    monkeypatch.setattr(substring, "HOT", hot)
+    monkeypatch.setattr(substring, "SAMPLE", 1)
+    rng = random.Random(hot)
+    passage = cases.prose(rng, 40, 4000, "p")
+    rows = cases.odd_rows()
+    for i in range(150):
+        rows.append((1000 + i, cases.prose(rng, 12, 4000, f"q{i}x") + (" " + passage + " " if i % 3 == 0 else " ") + cases.prose(rng, 12, 4000, f"r{i}x"), "xx", "a"))
+    found = substring.remove_repeated_windows(cases.table(spark, rows))
+    got = [(r["id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in found.collect()]
+    assert _sorted(got) == _sorted(cases.removed_words(rows))
+    if hot < 40:
+        return
+    source = cases.table(spark, rows).select(F.col("doc_id").alias("id"), F.hash("text").bitwiseAND(0x7FFF).cast("short").alias("row"), "text").where("id IS NOT NULL")
+    least = substring.hot_minimisers(source, substring.WINDOW, substring.GRAIN)
+    assert 0 < len(least) < 20  # those of the passage's edges
+
+
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_word_windows_do_not_depend_on_the_layout(spark, partitions):
     found = substring.remove_repeated_windows(cases.table(spark, ROWS, partitions))
@@ -148,6 +168,66 @@ def test_chains_and_stars_of_near_copies(spark):
     assert _sorted(map(tuple, found.collect())) == _sorted(cases.components(rows))
 
 
+@pytest.mark.parametrize("members,shingles", [(4, 400), (8, 2000), (2, 1)])
+def test_long_lists_and_large_components_go_in_blocks(spark, monkeypatch, members, shingles):
+    """A family of near copies of which many pairs lie just below the threshold, cut into many blocks."""
+    monkeypatch.setattr(minhash, "LIST_MEMBERS", members)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+    rng = random.Random(members)
+    base = cases.prose(rng, 100, 5000).split(" ")
+    rows = []
+    for i in range(70):
+        w = list(base) if i % 10 else list(rows[-1][1].split(" ")) if rows else list(base)
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+        if i % 7 == 0:
+            w += [f"more{i}x{k}" for k in range(rng.randint(0, 30))]
+        rows.append((i, " ".join(w), "xx", "a"))
+    rows += cases.odd_rows()
+    found = minhash.near_duplicates(cases.table(spark, rows)).select("id", "n_shingles", "component_id").collect()
+    key = lambda r: (r[0] is None, *(x or 0 for x in r))
+    assert sorted(map(tuple, found), key=key) == sorted(cases.components(rows), key=key)
+
+
+def _joined(m, a, b):
+    parent = list(range(m))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x, y in zip(a, b):
+        parent[find(x)] = find(y)
+    return [min(k for k in range(m) if find(k) == find(i)) for i in range(m)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_walks_connect_what_all_pairs_connect(seed):
+    rng = np.random.default_rng(seed)
+    core = rng.integers(0, 60, 40)
+    sets = [np.unique(np.where(rng.random(40) < rng.choice([0.02, 0.1, 0.4]), rng.integers(0, 2000, 40), core)).astype(np.uint64) for _ in range(60)]
+    sets[7] = sets[7][:0]
+
+    def linked(x, y):
+        both = len(np.intersect1d(sets[x], sets[y]))
+        return both and 100 * both >= 75 * (len(sets[x]) + len(sets[y]) - both)
+
+    pairs = [(x, y) for x in range(60) for y in range(x) if linked(x, y)]
+    a, b = minhash.confirmed(sets, 75)
+    assert all(linked(x, y) for x, y in zip(a, b)) and len(a) < 60
+    assert _joined(60, a, b) == _joined(60, *zip(*pairs))
+    a, b = minhash.confirmed(sets, 75, first=20)
+    across = [(x, y) for x, y in pairs if (x < 20) != (y < 20)]
+    assert all((x < 20) != (y < 20) and linked(x, y) for x, y in zip(a, b))
+    assert _joined(60, a, b) == _joined(60, *zip(*across))
+    sketch = rng.integers(0, 3, (50, 64)).astype(np.uint8)
+    n = rng.integers(80, 100, 50)
+    a, b = minhash.matching(sketch, n, 26, 90)
+    near = [(x, y) for x in range(50) for y in range(x) if (sketch[x] == sketch[y]).sum() >= 26 and 100 * min(n[x], n[y]) >= 90 * max(n[x], n[y])]
+    assert _joined(50, a, b) == _joined(50, *zip(*near))
+
+
 def test_components_of_chains(spark):
     rng = random.Random(5)
     names = rng.sample(range(-1000, 1000), 60)

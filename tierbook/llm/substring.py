@@ -8,10 +8,16 @@ bucket finds every occurrence of its windows: it sorts them and takes the
 smallest document id of each.
 
 Skew: a super-k-mer that a task has seen before in a smaller document is
-settled where it is read (all its windows are repeats), so a passage in a
-third of all documents reaches its bucket about once per task. Buckets are
-processed one at a time from a sorted partition; there are several per
-shuffle partition, whose number the session sets.
+settled where it is read (all its windows are repeats), so the inside of a passage
+in a third of all documents reaches its bucket about once per task. At its edges a
+super-k-mer holds words of the document's own, so that each document posts
+another one under the same minimiser. Minimisers that would gather more than
+``HOT`` super-k-mers are therefore found beforehand, in every ``SAMPLE``th
+document (which decides where work goes, not what is found): their super-k-mers
+don't travel; each window of them goes by its own 128-bit hash, unless the task
+has seen it in a smaller document. So no bucket grows with the number of
+documents that share a passage. Buckets are processed one at a time from a sorted
+partition; there are several per shuffle partition, whose number the session sets.
 
 Edge cases: null and blank texts have no words and stay as they are; texts
 with fewer words than a window lose nothing; rows with a null id neither lose
@@ -36,6 +42,9 @@ WINDOW = 13
 GRAIN = 4
 SUB_BUCKETS = 4
 LEVEL = 6
+SAMPLE = 32
+HOT = 20_000
+MAX_HOT = 100_000  # minimisers dealt by window: the hottest
 _MARK = pa.schema([("id", pa.int64()), ("row", pa.int16()), ("from", pa.int32()), ("to", pa.int32())])
 _COLUMNS = (np.int64, np.int16, np.int32, np.int32)  # id (as differences), row, first word, number of words
 
@@ -60,9 +69,46 @@ def _unpack(blob: bytes, spread) -> tuple[int, list[np.ndarray], bytes]:
     return kind, columns, raw[at:]
 
 
-def _super_kmers(window: int, grain: int, buckets: int):
-    """Arrow function: documents to (bucket, blob of super-k-mers)."""
-    width = window - grain + 1
+def _minimisers(buf, starts, window: int, grain: int):
+    """(word starts, ends, document of each word, word hashes, minimiser of each window, first window of each super-k-mer, whole windows)."""
+    s, e = tk.word_spans(buf)
+    doc = np.searchsorted(starts, s, side="right") - 1
+    words = tk.word_hashes(buf, s, e)
+    if len(s) < window:
+        none = np.zeros(0, dtype=bool)
+        return s, e, doc, words, words[:0], none, none
+    least = tk.sliding_min(tk.shingle_hashes(words, grain), window - grain + 1)
+    n = len(least)
+    whole = doc[:n] == doc[window - 1 : window - 1 + n]
+    fresh = np.ones(n, dtype=bool)
+    fresh[1:] = (least[1:] != least[:-1]) | (doc[1:n] != doc[: n - 1]) | ~whole[:-1]
+    return s, e, doc, words, least, fresh, whole
+
+
+def _sampled(window: int, grain: int):
+    """Arrow function: documents to the minimisers of their super-k-mers and their numbers."""
+
+    def run(batches):
+        for batch in batches:
+            for part in tk.chunks(batch):
+                buf, starts = tk.joined(tk.texts(part.column("text")))
+                *_, least, fresh, whole = _minimisers(buf, starts, window, grain)
+                value, n = np.unique(least[whole & fresh], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], names=["least", "n"])
+
+    return run
+
+
+def hot_minimisers(docs: DataFrame, window: int, grain: int) -> np.ndarray:
+    """The minimisers of about ``HOT`` super-k-mers or more in ``docs`` (id, row, text), sorted."""
+    some = docs.where(F.pmod(F.xxhash64("id", "row"), F.lit(SAMPLE)) == 0).select("text")
+    counts = some.mapInArrow(_sampled(window, grain), "least long, n long").groupBy("least").agg(F.sum("n").alias("n"))
+    hot = counts.where(F.col("n") * SAMPLE > HOT).orderBy(F.col("n").desc(), "least").limit(MAX_HOT).select("least").toArrow()
+    return np.sort(hot.column("least").to_numpy().view(np.uint64))
+
+
+def _super_kmers(window: int, grain: int, buckets: int, hot: np.ndarray):
+    """Arrow function: documents to (bucket, blob of super-k-mers, or of windows of hot minimisers)."""
 
     def settle(seen, h, doc):
         """True where a smaller document with this super-k-mer was met in this task; and the new table."""
@@ -83,24 +129,21 @@ def _super_kmers(window: int, grain: int, buckets: int):
         one = np.concatenate([[True], new_h[1:] != new_h[:-1]]) if len(new_h) else np.zeros(0, bool)
         return repeat, (new_h[one], new_d[one])
 
+    def dealt(kind, key, cols, squeeze, body):
+        """A blob per bucket; ``body`` gives the bytes of some of the rows."""
+        order = np.argsort(key, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(key[order])) + 1) if len(order) else []:
+            yield int(key[group[0]]), _pack(kind, [c[group] for c in cols], body(group), squeeze)
+
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=LEVEL)
-        seen = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        seen = seen_windows = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for batch in batches:
             for part in tk.chunks(batch):
                 buf, starts = tk.joined(tk.texts(part.column("text")))
                 ids = part.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
                 rows = part.column("row").to_numpy(zero_copy_only=False)
-                s, e = tk.word_spans(buf)
-                if len(s) < window:
-                    continue
-                doc = np.searchsorted(starts, s, side="right") - 1
-                words = tk.word_hashes(buf, s, e)
-                least = tk.sliding_min(tk.shingle_hashes(words, grain), width)
-                n = len(least)
-                whole = doc[:n] == doc[window - 1 : window - 1 + n]
-                fresh = np.ones(n, dtype=bool)
-                fresh[1:] = (least[1:] != least[:-1]) | (doc[1:n] != doc[: n - 1]) | ~whole[:-1]
+                s, e, doc, words, least, fresh, whole = _minimisers(buf, starts, window, grain)
                 first = np.flatnonzero(whole & fresh)
                 if not len(first):
                     continue
@@ -128,15 +171,33 @@ def _super_kmers(window: int, grain: int, buckets: int):
                 if repeat.any():
                     out_key.append(int(key[repeat][0]))
                     out_blob.append(_pack(1, [c[repeat] for c in cols], b"", squeeze))
-                go = np.flatnonzero(~repeat)
-                go = go[np.argsort(key[go], kind="stable")]
-                cut = np.flatnonzero(np.diff(key[go])) + 1
-                for group in np.split(go, cut) if len(go) else []:
-                    size = f[group] - b[group] + 1
-                    body = text[np.minimum(tk.gather_ranges(b[group], size), len(text) - 1)]
+                at = np.minimum(np.searchsorted(hot, least[first]), max(len(hot) - 1, 0))
+                is_hot = (hot[at] == least[first]) if len(hot) else np.zeros(len(first), dtype=bool)
+                go = np.flatnonzero(~repeat & ~is_hot)
+
+                def texts_of(group, go=go, b=b, f=f, text=text):
+                    size = f[go[group]] - b[go[group]] + 1
+                    body = text[np.minimum(tk.gather_ranges(b[go[group]], size), len(text) - 1)]
                     body[np.cumsum(size) - 1] = 10
-                    out_key.append(int(key[group[0]]))
-                    out_blob.append(_pack(0, [c[group] for c in cols], body.tobytes(), squeeze))
+                    return body.tobytes()
+
+                blobs = list(dealt(0, key[go], [c[go] for c in cols], squeeze, texts_of))
+                own = np.flatnonzero(~repeat & is_hot)
+                if len(own):
+                    w = tk.gather_ranges(first[own], last_word[own] - window + 1 - first[own])
+                    h1 = tk.shingle_hashes(words, window)[w]
+                    h2 = tk.shingle_hashes(tk.mix(tk.Poly(buf, tk.BASE_B).ranges(s, e)), window)[w]
+                    place_in = (w - np.searchsorted(s, starts[doc[w]])).astype(np.int32)
+                    wide = [ids[doc[w]], rows[doc[w]], place_in, np.full(len(w), window, np.int32)]
+                    known, seen_windows = settle(seen_windows, h1 ^ tk.mix(h2), ids[doc[w]])
+                    if known.any():
+                        blobs.append((int(h1[known][0] % np.uint64(buckets)), _pack(1, [c[known] for c in wide], b"", squeeze)))
+                    new = np.flatnonzero(~known)
+                    pair = np.stack([h1[new], h2[new]], axis=1)
+                    to = (h1[new] % np.uint64(buckets)).astype(np.int32)
+                    blobs += dealt(2, to, [c[new] for c in wide], squeeze, lambda group, pair=pair: pair[group].tobytes())
+                out_key += [k for k, _ in blobs]
+                out_blob += [x for _, x in blobs]
                 yield pa.RecordBatch.from_arrays([pa.array(out_key, pa.int32()), pa.array(out_blob, pa.binary())], names=["bucket", "blob"])
 
     return run
@@ -145,8 +206,17 @@ def _super_kmers(window: int, grain: int, buckets: int):
 def _repeats(window: int):
     """Arrow function over rows sorted by bucket: word ranges that repeat a window of a smaller document."""
 
+    def single(c, h):
+        """Windows that came each by its own hash."""
+        order = np.lexsort((h[:, 1], h[:, 0]))
+        hs = h[order]
+        first = np.flatnonzero(np.concatenate([[True], (hs[1:] != hs[:-1]).any(axis=1)]))
+        least = np.repeat(np.minimum.reduceat(c[0][order], first), np.diff(np.append(first, len(order))))
+        gone = order[c[0][order] > least]
+        yield pa.RecordBatch.from_arrays([pa.array(c[0][gone]), pa.array(c[1][gone]), pa.array(c[2][gone]), pa.array(c[2][gone] + c[3][gone])], schema=_MARK)
+
     def count(blobs, spread):
-        cols, one, two, texts, held = [], [], [], [], 0
+        cols, one, two, texts, held, wide = [], [], [], [], 0, []
 
         def hashed():
             # both hashes of each word, over a bounded piece of the bucket's text
@@ -157,15 +227,20 @@ def _repeats(window: int):
 
         for blob in blobs:
             kind, c, body = _unpack(blob, spread)
-            if kind:
+            if kind == 1:
                 yield pa.RecordBatch.from_arrays([pa.array(c[0]), pa.array(c[1]), pa.array(c[2]), pa.array(c[2] + c[3])], schema=_MARK)
                 continue
+            if kind == 2:
+                wide.append((c, np.frombuffer(body, dtype=np.uint64).reshape(-1, 2)))
+                continue
             cols.append(c)
             texts.append(body)
             held += len(body)
             if held >= tk.CHUNK_BYTES // 2:
                 hashed()
                 texts, held = [], 0
+        if wide:
+            yield from single([np.concatenate(x) for x in zip(*[c for c, _ in wide])], np.concatenate([h for _, h in wide]))
         if not cols:
             return
         if texts:
@@ -260,9 +335,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, grain: int = GRAIN) -
     spark = docs.sparkSession
     partitions = shuffle_partitions(spark)
     buckets = partitions * SUB_BUCKETS
-    kmers = docs.where("id IS NOT NULL AND text IS NOT NULL").mapInArrow(
-        _super_kmers(window, grain, buckets), "bucket int, blob binary"
-    )
+    known = docs.where("id IS NOT NULL AND text IS NOT NULL")
+    kmers = known.mapInArrow(_super_kmers(window, grain, buckets, hot_minimisers(known, window, grain)), "bucket int, blob binary")
     dealt = kmers.repartition(partitions, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_repeats(window), "id long, row short, `from` int, `to` int")
 
