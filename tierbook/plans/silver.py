@@ -22,7 +22,7 @@ from tierbook.schemas import FAULTS, RAW, SubjectSpec
 from tierbook.sinks import commits
 from tierbook.sinks.writers import write_control
 from tierbook.sources.files import latest_snapshot, manifest_row, read_bronze
-from tierbook.sources.lake import read_load_report
+from tierbook.sources.storage import list_folder, make_folder, remove
 
 
 @dataclass(frozen=True)
@@ -38,10 +38,15 @@ class LoadResult:
 
 
 def _report(spark: SparkSession, subject: str, control_dir: str, row: dict) -> None:
-    """Write the control row of a commit."""
+    """Write the control row of a commit, and note that it is there."""
     keys = (row["ref"], row["ts_file_generation"], row["ts_proc"])
     audit = control_row(spark, subject, *keys, row["rows"], row["rejected"], row["faults"], row["version"])
     write_control(audit, control_dir, row["ref"], row["ts_proc"], row["ts_file_generation"])
+    before = list_folder(spark, f"{control_dir}/_reported")
+    make_folder(spark, f"{control_dir}/_reported/{row['version']}")
+    for e in before:
+        if e.name != str(row["version"]):
+            remove(spark, f"{control_dir}/_reported/{e.name}")
 
 
 def repair_control(spark: SparkSession, subject: str, silver_dir: str, control_dir: str) -> None:
@@ -49,15 +54,13 @@ def repair_control(spark: SparkSession, subject: str, silver_dir: str, control_d
 
     Every load does this first, so no older commit can lack its row.
     """
-    rows = commits.commit_log(spark, silver_dir).rows()
-    newest = rows.orderBy(F.col("version").desc()).first()
-    if newest is None:
+    log = commits.commit_log(spark, silver_dir)
+    newest = log.last_version()
+    if newest is None or any(e.name == str(newest) for e in list_folder(spark, f"{control_dir}/_reported")):
         return
-    known = read_load_report(spark, control_dir, missing_ok=True)
-    for key in commits.KEYS:
-        known = known.where(F.col(key).eqNullSafe(newest[key]))
-    if known.where(F.col("version") == newest["version"]).isEmpty():
-        _report(spark, subject, control_dir, newest.asDict())
+    row = log.rows().orderBy(F.col("version").desc()).first()  # a version whose commit died has none
+    if row is not None:
+        _report(spark, subject, control_dir, row.asDict())
 
 
 def load_subject(

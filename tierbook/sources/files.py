@@ -53,7 +53,8 @@ def read_manifest(spark: SparkSession, subject_dir: str) -> DataFrame:
 def manifest_row(spark: SparkSession, path: str):
     """The manifest's row of one snapshot; None for one that was delivered from outside."""
     subject_dir, name = path.rstrip("/").rsplit("/", 1)
-    return read_manifest(spark, subject_dir).where(F.col("snapshot") == name).first()
+    rows = manifest_log(spark, subject_dir).rows().where(F.col("snapshot") == name).collect()  # one, or a few if it was committed again
+    return max(rows, key=lambda r: r["version"], default=None)
 
 
 class NoSnapshotError(FileNotFoundError):

@@ -35,8 +35,8 @@ class Log:
 
     def append_all(self, rows: list[dict]) -> int:
         """Add rows that become visible together, as one version; returns it."""
-        entries, base = self._versions("entries"), self._versions("base")
-        version = 1 + max([*entries, *base], default=0)
+        entries = self._versions("entries")
+        version = 1 + max([*entries, *self._versions("base")], default=0)
         values = [tuple(version if f.name == "version" else row.get(f.name) for f in self.schema.fields) for row in rows]
         self._write("entries", version, self.spark.createDataFrame(values, self.schema), "errorifexists")
         if len(entries) >= FOLD_AFTER:
@@ -58,6 +58,10 @@ class Log:
             if version != entries[-1]:
                 remove(self.spark, f"{self.path}/base/{version:020d}")
 
+    def last_version(self) -> int | None:
+        """The newest version (a folder's name: nothing is read)."""
+        return max([*self._versions("entries"), *self._versions("base")], default=None)
+
     def exists(self) -> bool:
         return bool(self._versions("entries") or self._versions("base"))
 
