@@ -11,8 +11,7 @@ an unparsable date are only in the whole-history features. ``qtd`` and
 Two physical plans give identical results:
 
 * ``one_stage``: one ``groupBy(user)`` with a conditional aggregate per
-  feature (the textbook form; partial aggregation is map-side, but each
-  partial row carries every feature's buffer).
+  feature (the textbook form), over the narrow rows of each user.
 * ``two_stage`` (default): rows are first reduced to at most
   ``(|dim1|+1) x (|dim2|+1) x (|windows|+1)`` partial rows per user
   (count, non-null count, sum, min, max) -- map-side combined, so a user
@@ -20,6 +19,10 @@ Two physical plans give identical results:
   any shuffle -- then the partial rows are hash-partitioned by user (narrow
   rows, bounded per user) and pivoted into the wide book. All statistics
   compose exactly: avg = sum / non-null count.
+
+Both end in a wide aggregate of some 400 buffer fields (several KB a user). Its
+input is sorted by user within each task, so that a task holds one wide row at a
+time and its memory is that of the narrow rows, however many users it has.
 """
 
 from __future__ import annotations
@@ -258,15 +261,24 @@ def to_partials(df: DataFrame, amount: str) -> DataFrame:
     )
 
 
+def combined() -> list[Column]:
+    """The measures of partial rows, combined."""
+    return [F.sum(N).alias(N), F.sum(C).alias(C), F.sum(S).alias(S), F.min(MN).alias(MN), F.max(MX).alias(MX)]
+
+
 def combine_partials(df: DataFrame, keys: list[str]) -> DataFrame:
     """Group partial rows by ``keys``; map-side combined before the shuffle."""
-    return df.groupBy(*keys).agg(
-        F.sum(N).alias(N),
-        F.sum(C).alias(C),
-        F.sum(S).alias(S),
-        F.min(MN).alias(MN),
-        F.max(MX).alias(MX),
-    )
+    return df.groupBy(*keys).agg(*combined())
+
+
+def grouped_in_order(rows: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+    """``groupBy(keys)`` of rows that each task holds sorted by ``keys``, a group at a time.
+
+    The last key is taken as the first of its group: an aggregate to which the
+    order matters keeps the optimizer from dropping the sort.
+    """
+    last = keys[-1]
+    return rows.groupBy(*keys[:-1], F.col(last).alias("_of")).agg(F.first(last).alias(last), *aggs).drop("_of")
 
 
 def dimension_key(dim: Dimension) -> Column:
@@ -336,7 +348,8 @@ def wide_aggregates(
 
 
 def ensure_codegen_width(df: DataFrame, spec: BookSpec) -> None:
-    """Raise ``spark.sql.codegen.maxFields`` to cover the wide aggregate.
+    """Raise ``spark.sql.codegen.maxFields`` to cover the wide aggregate, and
+    have aggregates of sorted rows run over them in order.
 
     The book's aggregation buffers hold ~2.4 fields per feature; above the
     default (100) the aggregate drops out of whole-stage codegen and runs
@@ -348,6 +361,8 @@ def ensure_codegen_width(df: DataFrame, spec: BookSpec) -> None:
     current = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
     if current < needed:
         spark.conf.set("spark.sql.codegen.maxFields", str(needed))
+    # else a hash table would hold a wide row for every user of the task
+    spark.conf.set("spark.sql.execution.replaceHashWithSortAgg", "true")
 
 
 def finish_book(grouped: DataFrame, spec: BookSpec, user: str, ref: str | Column, ts_proc: str) -> DataFrame:
@@ -393,7 +408,8 @@ def feature_book_one_stage(
     measures = {"qtd": None, "sum": amount, "min": amount, "max": amount, "cnt": ("count", amount)}
     aggs = wide_aggregates(spec, lambda d: d.column, BUCKET, measures)
     ensure_codegen_width(df, spec)
-    return finish_book(base.groupBy(user).agg(*aggs), spec, user, ref, ts_proc)
+    dealt = base.repartition(user).sortWithinPartitions(user)
+    return finish_book(grouped_in_order(dealt, [user], aggs), spec, user, ref, ts_proc)
 
 
 # ---------------------------------------------------------------------------
@@ -437,17 +453,37 @@ def pivot_partials(
     ref: str,
     ts_proc: str,
     user: str = "user_id",
+    dealt: bool = False,
 ) -> DataFrame:
     """Second stage: partial rows (bounded per user) -> one wide row per user.
 
     The explicit hash repartition on ``user`` ships the narrow partial rows;
-    the wide aggregate then needs no further exchange.
+    the wide aggregate then needs no further exchange. ``dealt``: the rows are
+    partitioned by user already.
     """
     measures = {"qtd": N, "sum": S, "min": MN, "max": MX, "cnt": ("sum", C)}
     aggs = wide_aggregates(spec, lambda d: d.key, BUCKET, measures, encoded=True)
     ensure_codegen_width(partials, spec)
-    wide = partials.repartition(user).groupBy(user).agg(*aggs)
-    return finish_book(wide, spec, user, ref, ts_proc)
+    rows = (partials if dealt else partials.repartition(user)).sortWithinPartitions(user)
+    return finish_book(grouped_in_order(rows, [user], aggs), spec, user, ref, ts_proc)
+
+
+def pivot_rows(
+    narrow: DataFrame,
+    spec: BookSpec,
+    ref: str,
+    ts_proc: str,
+    user: str = "user_id",
+    amount: str = "amount",
+) -> DataFrame:
+    """Both stages behind one exchange by user, of the narrow rows themselves:
+    for rows that have been shuffled apart, where combining them before the
+    exchange saves less than shipping five measures a row and a second
+    exchange cost."""
+    keys = book_stage_keys(spec, user)
+    ensure_codegen_width(narrow, spec)
+    rows = narrow.select(*keys, amount).repartition(user).sortWithinPartitions(*keys)
+    return pivot_partials(grouped_in_order(to_partials(rows, amount), keys, combined()), spec, ref, ts_proc, user, dealt=True)
 
 
 def feature_book_two_stage(

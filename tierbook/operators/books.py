@@ -36,16 +36,18 @@ from tierbook.operators.book import (
     BookSpec,
     age_bucket,
     combine_partials,
+    combined,
     dimension_key,
     ensure_codegen_width,
     finish_book,
+    grouped_in_order,
     lookup_span_days,
     to_partials,
     wide_aggregates,
 )
 
 DATE = "_book"  # a book date's position
-CELL, FIRST, HITS = "_cell", "_first", "_hits"
+CELL, FIRST, HITS, WHOLE = "_cell", "_first", "_hits", "_whole"
 OLD, UNDATED, LATER = -1, -2, -3  # days that no lookup holds
 HISTORY = -(10**6)  # bucket of the rows that carry a date's whole history
 
@@ -125,12 +127,16 @@ def feature_books(
     spread = partials.repartition(user).join(F.broadcast(cells), CELL).where(F.col(FIRST).isNotNull())
     to_dates = F.concat(F.array(F.struct(F.col(FIRST).alias("i"), F.lit(HISTORY).alias("bucket"))), F.col(HITS))
     spread = spread.select(user, *keys, *PARTIALS, F.explode(to_dates).alias("hit"))
-    spread = spread.select(user, *keys, *PARTIALS, F.col("hit.i").alias(DATE), F.col("hit.bucket").alias(BUCKET))
-    per_date = combine_partials(spread, [user, *keys, DATE, BUCKET])
+    spread = spread.select(
+        user, *keys, *PARTIALS, F.col("hit.i").alias(DATE), F.col("hit.bucket").alias(BUCKET), (F.col("hit.bucket") == HISTORY).alias(WHOLE)
+    )
+    # sorted once for the sums and the running totals, and once for the pivot: a task holds narrow rows only
+    ordered = [user, *keys, WHOLE, DATE, BUCKET]
+    per_date = grouped_in_order(spread.sortWithinPartitions(*ordered), ordered, combined())
 
     # whole history: running over the dates on which something new is known, valid until the next of them
-    history = F.col(BUCKET) == HISTORY
-    so_far = Window.partitionBy(user, *keys, history).orderBy(DATE)
+    history = F.col(WHOLE)
+    so_far = Window.partitionBy(user, *keys, WHOLE).orderBy(DATE)
     running = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = {N: F.sum(N), C: F.sum(C), S: F.sum(S), MN: F.min(MN), MX: F.max(MX)}
     until = F.when(history, F.coalesce(F.lead(DATE).over(so_far), F.lit(len(dates))) - 1).otherwise(F.col(DATE))
@@ -142,7 +148,7 @@ def feature_books(
     filled = filled.withColumn(DATE, F.explode(F.sequence(F.col(DATE), F.col("_until"))))
     measures = {"qtd": N, "sum": S, "min": MN, "max": MX, "cnt": ("sum", C)}
     aggs = wide_aggregates(spec, lambda d: d.key, BUCKET, measures, encoded=True, history_only=True)
-    wide = filled.groupBy(user, DATE).agg(*aggs)
+    wide = grouped_in_order(filled.sortWithinPartitions(user, DATE), [user, DATE], aggs)
     refs = F.array(*[F.lit(ref_stamp(d)) for d in dates])
     return finish_book(wide.withColumn("_ref", F.get(refs, F.col(DATE))), spec, user, F.col("_ref"), ts_proc)
 

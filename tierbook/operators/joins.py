@@ -87,18 +87,20 @@ def salted_left_join(
     dim: DataFrame,
     key: str,
     rows_per_task: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join on ``key`` with every hot key (NULL too) split over enough tasks.
 
     NULL keys never match, so their rows are only spread, while the
     dimension rows of a hot non-NULL key are replicated once per salt. The
-    salt is a hash of the row: rows of a hot key should differ (the book joins
-    partial aggregates, which do).
+    salt is a hash of the row and of the task it comes from, so that equal rows
+    of a hot key are spread too. ``counted``: rows with the same keys that are
+    cheaper to read than ``fact``.
     """
-    hot = F.broadcast(hot_keys(fact, key, rows_per_task).withColumnRenamed(key, HOT_KEY))
-    # A pure function of the row content, so a retried map task sends every
-    # row to the same reducer as the first attempt did.
-    row_hash = F.xxhash64(*(F.col(c) for c in fact.columns))
+    hot = F.broadcast(hot_keys(fact if counted is None else counted, key, rows_per_task).withColumnRenamed(key, HOT_KEY))
+    # A pure function of the row content and the partition, so a retried map
+    # task sends every row to the same reducer as the first attempt did.
+    row_hash = F.xxhash64(*(F.col(c) for c in fact.columns), F.spark_partition_id())
     salted_fact = (
         fact.join(hot, fact[key].eqNullSafe(F.col(HOT_KEY)), "left")
         .withColumn(SALT, F.coalesce(F.pmod(row_hash, F.col(SALTS)), F.lit(0)).cast("int"))

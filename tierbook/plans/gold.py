@@ -6,11 +6,11 @@ the product categories -> partial aggregate by (user, category key, payment
 key, age bucket) -> shuffle (narrow, map-side combined) -> final -> shuffle
 by user (<= 125 narrow rows per user) -> wide pivot -> write.
 
-Above the bound the sales (five columns) are first reduced to partial
-aggregates per user, product, payment key and age bucket; these distinct rows
-meet the products in a sort-merge join whose hot products (more rows than one
-balanced task) are each salted over enough tasks, and are combined again per
-user and category key. AQE's skew-join split stays enabled as a backstop.
+Above the bound the sales (five columns) meet the products in a sort-merge
+join whose hot products (more rows than one balanced task) are each salted over
+enough tasks, and go by user to the task that reduces and pivots them: two
+exchanges of narrow rows, as hardly any two of them share user, product,
+payment key and age bucket. AQE's skew-join split stays enabled as a backstop.
 """
 
 from __future__ import annotations
@@ -21,15 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierbook.operators.book import (
-    BUCKET,
     BookSpec,
-    book_stage_keys,
-    combine_partials,
     dimension_key,
     feature_book,
-    pivot_partials,
+    pivot_rows,
     prepare_stage_input,
-    to_partials,
 )
 from tierbook.operators.joins import (
     DEFAULT_MAX_BROADCAST_ROWS,
@@ -89,11 +85,9 @@ def build_book(
     if fits_broadcast(categories, max_broadcast_rows, products_rows):
         enriched = sales.join(F.broadcast(categories), product_key, "left")
     elif method == "two_stage":
-        # duplicate product rows multiply partial rows as they would multiply sales
         narrow = prepare_stage_input(sales, spec, as_of, user, amount, date_col, keep=(product_key,), dimensions=own)
-        rows = combine_partials(to_partials(narrow, amount), [product_key, user, *(d.key for d in own), BUCKET])
-        joined = salted_left_join(rows, categories, product_key, rows_per_task)
-        return pivot_partials(combine_partials(joined, book_stage_keys(spec, user)), spec, ref, ts_proc, user)
+        joined = salted_left_join(narrow, categories, product_key, rows_per_task, counted=sales)
+        return pivot_rows(joined, spec, ref, ts_proc, user, amount)
     else:
         enriched = salted_left_join(sales, categories, product_key, rows_per_task)
     return feature_book(enriched, spec, as_of, ref, ts_proc, user, amount, date_col, method)
