@@ -186,3 +186,20 @@ def test_scores_of_nothing(spark):
     assert lm.score(cases.empty(spark), F.lit(True)).count() == 0
     row = lm.score(cases.table(spark, [(1, None, None, None)]), F.lit(False)).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (1, 0, 0, 0.0)
+
+
+def test_gradient_steps_cover_every_training_document(spark, monkeypatch):
+    """Tokens in the expected counts of all steps together are those of the observed counts."""
+    docs = spark.createDataFrame([(k, f"w{k} common w{k % 7} end{k % 3}") for k in range(200)], "key long, text string")
+    docs = docs.select(F.xxhash64("key").alias("key"), "text")
+    tokens, summed = [], lm._summed
+
+    def spy(tables, slots):
+        found = summed(tables, slots)
+        tokens.append(found[0].sum())
+        return found
+
+    monkeypatch.setattr(lm, "_summed", spy)
+    lm.train(docs, 1000)
+    assert tokens[0] == 1000 and len(tokens) == lm.STEPS + 1
+    assert abs(sum(tokens[1:]) - tokens[0]) < 1e-2

@@ -15,7 +15,8 @@ The hash space has as many slots as the training corpus has tokens, as a power
 of two between ``MIN_SLOTS`` and ``MAX_SLOTS`` (8 MB of weights, which go along
 with every task). Training: observed counts of all slots and digits over every
 training token give the first weights, smoothed log ratios; then ``STEPS`` gradient
-steps, each over another of ``PARTS`` parts of the training documents. A task sums
+steps, each over another of as many parts of the training documents: together they
+cover every one of them. A task sums
 what the model expects over its tokens, densely, and sends it by ranges of slots;
 Spark tasks add the ranges up, and the driver moves the weights by the difference
 of observed and expected counts.
@@ -48,13 +49,14 @@ from .scratch import materialise, shuffle_partitions
 CLASSES = 32
 MIN_SLOTS, MAX_SLOTS = 1 << 12, 1 << 16
 STEPS = 3
-PARTS = 16  # of the training documents; a step takes another one
 FEATURES = 4
 HEAD_SHARE = 1e-6
 PRIOR_COUNT = 8.0  # of the smoothed log ratios
 FIRST_SCALE = 0.5  # of a feature's log ratio in the first weights: features overlap
 RANGES = 32
+TASKS_PER_CORE = 2
 BLOCK_TOKENS = 1 << 12
+WIDE_BLOCK_TOKENS = 1 << 16  # of the sums by slot: as many as there are slots
 START = np.uint64(0x5354415254)  # the word before the first one
 END = np.uint64(0x454E44)
 _RESERVED = 1 + CLASSES  # slots of the biases
@@ -109,18 +111,26 @@ def levels(token, one, two, slots: int):
 
 def _logits(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Logits of every digit, less the largest."""
-    logits = weights[at[:, 0]]
-    for f in range(1, at.shape[1]):
-        logits += weights[at[:, f]]
-    logits -= logits.max(axis=1, keepdims=True)
+    columns = np.ascontiguousarray(at.T)
+    logits = weights.take(columns[0], axis=0)
+    for slot in columns[1:]:
+        logits += weights.take(slot, axis=0)
+    most = logits
+    while most.shape[1] > 1:  # by halves: whole columns at a time
+        half = most.shape[1] // 2
+        most = np.maximum(most[:, :half], most[:, half:])
+    logits -= most
     return logits
 
 
+_ONES = np.ones((CLASSES, 1), dtype=np.float32)
+
+
 def shares(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The softmax over digits."""
     share = _logits(weights, at)
     np.exp(share, out=share)
-    share /= share.sum(axis=1, keepdims=True)
+    share /= share @ _ONES
     return share
 
 
@@ -128,7 +138,7 @@ def log_share(weights: np.ndarray, at: np.ndarray, digit: np.ndarray) -> np.ndar
     """The logarithm of one digit's share in it."""
     logits = _logits(weights, at)
     own = logits[np.arange(len(digit)), digit].astype(np.float64)
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return own - np.log((np.exp(logits, out=logits) @ _ONES)[:, 0])
 
 
 def _word_counts(batches):
@@ -146,13 +156,13 @@ def _ranges(table: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.arange(RANGES, dtype=np.int32)), pa.array(blobs, pa.binary())], names=["range", "sums"])
 
 
-def _blocks(batches):
+def _blocks(batches, size: int = BLOCK_TOKENS):
     """The tokens of the documents, in blocks of bounded size."""
     for batch in batches:
         for part in tk.chunks(batch):
             token, one, two, _ = sequences(*_words(tk.texts(part.column("text"))))
-            for at in range(0, len(token), BLOCK_TOKENS):
-                cut = slice(at, at + BLOCK_TOKENS)
+            for at in range(0, len(token), size):
+                cut = slice(at, at + size)
                 yield token[cut], one[cut], two[cut]
 
 
@@ -174,15 +184,20 @@ def _expected(weights: np.ndarray):
     """Arrow function: how often the model expects each slot to meet each digit."""
 
     def run(batches):
-        total = np.zeros(weights.shape, dtype=np.float64)
-        for block in _blocks(batches):
+        total = np.zeros(weights.T.shape)  # by digit: a row of slots stays in the processor's cache
+        for block in _blocks(batches, WIDE_BLOCK_TOKENS):
             for at, _ in levels(*block, len(weights)):
-                share = np.ascontiguousarray(shares(weights, at).T, dtype=np.float64)
-                for f in range(FEATURES):
-                    slot, place = np.unique(at[:, f], return_inverse=True)
+                share = np.empty((CLASSES, len(at)))
+                for first in range(0, len(at), BLOCK_TOKENS):
+                    cut = slice(first, first + BLOCK_TOKENS)
+                    share[:, cut] = shares(weights, at[cut]).T
+                for slot in np.ascontiguousarray(at.T):
+                    if (slot == slot[0]).all():  # the bias of the class
+                        total[:, slot[0]] += share.sum(axis=1)
+                        continue
                     for digit in range(CLASSES):
-                        total[slot, digit] += np.bincount(place, share[digit])
-        yield _ranges(total)
+                        total[digit] += np.bincount(slot, share[digit], minlength=len(weights))
+        yield _ranges(total.T)
 
     return run
 
@@ -235,12 +250,14 @@ def first_weights(observed: np.ndarray) -> np.ndarray:
 def train(texts: DataFrame, tokens: int, steps: int = STEPS) -> np.ndarray:
     """The weights [slot, digit], learned from ``texts`` (key, text)."""
     slots = min(MAX_SLOTS, max(MIN_SLOTS, 1 << max(tokens - 1, 1).bit_length()))
+    # a task ends in a table of all slots: a few tasks a core, not one for each small file
+    texts = texts.coalesce(TASKS_PER_CORE * texts.sparkSession.sparkContext.defaultParallelism)
     observed = _summed(texts.select("text").mapInArrow(_observed(slots), "`range` int, sums binary"), slots)
     weights = first_weights(observed)
     if not observed.any():
         return weights
     for step in range(steps):
-        some = texts.where(F.pmod("key", F.lit(max(PARTS, steps))) == step).select("text")
+        some = texts.where(F.pmod("key", F.lit(steps)) == step).select("text")
         expected = _summed(some.mapInArrow(_expected(weights), "`range` int, sums binary"), slots)
         seen = expected[0].sum()  # its tokens: the bias of the class meets each once
         if seen:
