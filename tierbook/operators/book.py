@@ -20,9 +20,10 @@ Two physical plans give identical results:
   rows, bounded per user) and pivoted into the wide book. All statistics
   compose exactly: avg = sum / non-null count.
 
-Both end in a wide aggregate of some 400 buffer fields (several KB a user). Its
-input is sorted by user within each task, so that a task holds one wide row at a
-time and its memory is that of the narrow rows, however many users it has.
+Both end in a wide aggregate of some 400 buffer fields (several KB a user). In the
+one-stage plan and above the broadcast bound (``pivot_rows``) its input is sorted
+by user within each task, so that a task holds one wide row at a time and its
+memory is that of the narrow rows, however many users it has.
 """
 
 from __future__ import annotations
@@ -459,13 +460,16 @@ def pivot_partials(
 
     The explicit hash repartition on ``user`` ships the narrow partial rows;
     the wide aggregate then needs no further exchange. ``dealt``: the rows are
-    partitioned by user already.
+    partitioned by user already; they are taken a user at a time.
     """
     measures = {"qtd": N, "sum": S, "min": MN, "max": MX, "cnt": ("sum", C)}
     aggs = wide_aggregates(spec, lambda d: d.key, BUCKET, measures, encoded=True)
     ensure_codegen_width(partials, spec)
-    rows = (partials if dealt else partials.repartition(user)).sortWithinPartitions(user)
-    return finish_book(grouped_in_order(rows, [user], aggs), spec, user, ref, ts_proc)
+    if dealt:
+        wide = grouped_in_order(partials.sortWithinPartitions(user), [user], aggs)
+    else:
+        wide = partials.repartition(user).groupBy(user).agg(*aggs)
+    return finish_book(wide, spec, user, ref, ts_proc)
 
 
 def pivot_rows(
