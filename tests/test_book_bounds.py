@@ -76,3 +76,22 @@ def test_equal_rows_of_a_hot_key_take_several_salts(spark):
     assert joined.where("d = 'd'").count() == 4000
     plan = plan_text(joined)
     assert "SPARK_PARTITION_ID()" in plan
+
+
+def test_books_of_many_dates_ship_every_sale_once_and_hash_no_users(spark):
+    enriched = _sales(spark).withColumn("product_category", F.when(F.col("product_id") == 1, "A").otherwise("B"))
+    tasks = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for past_only in (True, False):
+        plan = plan_text(feature_books(enriched, SPEC, ["2001-06-30", "2001-07-31"], "t", past_only=past_only), "simple")
+        assert re.findall(r"hashpartitioning\(user_id#\d+L?, (\d+)\)", plan) == [str(tasks)]
+        assert not re.findall(r"(?:HashAggregate|ObjectHashAggregate)\(keys?=\[user_id", plan)
+
+
+def test_books_of_a_hot_user_count_every_sale(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(-1)).alias("user_id"), F.lit(Decimal("1.00")).cast("decimal(18,2)").alias("amount"),
+        F.lit("20010615").alias("ref"), F.lit("A").alias("product_category"), F.lit("X").alias("payment_method"),
+    )
+    books = {(r.user_id, r.ref): r for r in feature_books(rows, SPEC, ["2001-06-30", "2001-07-31"], "t").collect()}
+    assert len(books) == 2 * 1001
+    assert books[(-1, "20010731")].qtd_pcat_a_u1m == 2000 and books[(-1, "20010630")].sum_pm_x == 2000.0
