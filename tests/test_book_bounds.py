@@ -10,6 +10,7 @@ from conftest import SF_SMALL, plan_text
 from tierbook.operators.book import feature_book_one_stage, make_spec
 from tierbook.operators.books import feature_books
 from tierbook.operators.joins import salted_left_join
+from tierbook.plans import gold
 from tierbook.plans.gold import build_book
 from tierbook.sources import testdata as td
 
@@ -95,3 +96,24 @@ def test_books_of_a_hot_user_count_every_sale(spark):
     books = {(r.user_id, r.ref): r for r in feature_books(rows, SPEC, ["2001-06-30", "2001-07-31"], "t").collect()}
     assert len(books) == 2 * 1001
     assert books[(-1, "20010731")].qtd_pcat_a_u1m == 2000 and books[(-1, "20010630")].sum_pm_x == 2000.0
+
+
+def test_many_products_are_broadcast_and_every_sale_shipped_once(spark, monkeypatch):
+    options = dict(latest_sales=False, latest_products=False)
+    args = (_products(spark), SPEC, "2001-07-31", "r", "t")
+    want = sorted(map(tuple, build_book(_sales(spark), *args, **options).collect()), key=str)
+    monkeypatch.setattr(gold, "MAX_COMBINED_PRODUCTS", 2)
+    book = build_book(_sales(spark), *args, **options)
+    shipped = re.findall(r"hashpartitioning\((\w+)", plan_text(book, "simple"))
+    assert shipped == ["user_id"], shipped
+    assert sorted(map(tuple, book.collect()), key=str) == want
+    # above the broadcast bound too the result is the same
+    salted = build_book(_sales(spark), *args, max_broadcast_rows=4, **options)
+    assert "_salt" in plan_text(salted, "simple")
+    assert sorted(map(tuple, salted.collect()), key=str) == want
+
+
+def test_a_million_and_a_half_products_are_broadcast(spark):
+    products = spark.range(1_500_000).select(F.col("id").alias("product_id"), F.lit("A").alias("product_category"))
+    book = build_book(_sales(spark), products, SPEC, "2001-07-31", "r", "t", latest_sales=False, latest_products=False)
+    assert re.findall(r"hashpartitioning\((\w+)", plan_text(book, "simple")) == ["user_id"]

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from tierbook.session import shared_root
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 << 20
 
 SALT = "_salt"
