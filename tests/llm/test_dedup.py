@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -249,3 +250,19 @@ def test_other_columns_are_kept(spark):
     assert found.select("rest.*").columns == ["lang", "source", "n_chars", "id", "row", "rest", "n", "class"]
     assert found.where(F.col("rest.class") != 7).count() == 0
     assert minhash.near_duplicates(cases.table(spark, ROWS)).select("rest.rest").distinct().count() == 1
+
+
+def test_a_chunk_of_text_takes_little_memory():
+    """The peak of a task's arrays while it cuts a chunk into super-k-mers and removes ranges from it, the tables of powers included."""
+    rng = random.Random(4)
+    text = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(textkit.CHUNK_BYTES // 6))[: textkit.CHUNK_BYTES - 1]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0], pa.int16()), pa.array([text])], names=["id", "row", "text"])
+    kept, textkit.Poly._powers = textkit.Poly._powers, {}
+    tracemalloc.start()
+    try:
+        assert len(list(substring._super_kmers(13, 4, 8, np.zeros(0, np.uint64))([batch]))) == 1
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        textkit.Poly._powers = kept
+    assert peak < 58 * textkit.CHUNK_BYTES

@@ -69,6 +69,13 @@ def _unpack(blob: bytes, spread) -> tuple[int, list[np.ndarray], bytes]:
     return kind, columns, raw[at:]
 
 
+def _places(keep: np.ndarray) -> np.ndarray:
+    """How many bytes before each one are kept (one more than bytes); four bytes each where they do."""
+    place = np.zeros(len(keep) + 1, dtype=np.int32 if len(keep) < 1 << 31 else np.int64)
+    np.cumsum(keep, dtype=place.dtype, out=place[1:])
+    return place
+
+
 def _minimisers(buf, starts, window: int, grain: int):
     """(word starts, ends, document of each word, word hashes, minimiser of each window, first window of each super-k-mer, whole windows)."""
     s, e = tk.word_spans(buf)
@@ -151,14 +158,11 @@ def _super_kmers(window: int, grain: int, buckets: int, hot: np.ndarray):
                 stop = np.flatnonzero(whole & np.concatenate([fresh[1:] | ~whole[1:], [True]])) + 1
                 last_word = stop + window - 1  # exclusive
                 # packed text: words joined by one space, a line feed after each super-k-mer
-                flat = np.where(tk._IS_SPACE[buf], np.uint8(32), buf)
-                keep = np.ones(len(buf), dtype=bool)
-                gap = np.ones(len(buf), dtype=bool)
-                idx = tk.gather_ranges(s, e - s)
-                gap[idx] = False
-                keep[gap] = False
+                space = tk._IS_SPACE[buf]
+                keep = ~space
                 keep[e] = True  # the one separator after each word
-                place = np.concatenate([[0], np.cumsum(keep)])
+                place = _places(keep)
+                flat = np.where(space, np.uint8(32), buf)
                 text = flat[keep]
                 ws, we = place[s], place[e]
                 b, f = ws[first], we[last_word - 1]
@@ -309,12 +313,12 @@ def _apply(batches):
             begin = flat.field("from").to_numpy(zero_copy_only=False).astype(np.int64) + first[owner]
             end = flat.field("to").to_numpy(zero_copy_only=False).astype(np.int64) + first[owner]
             gone = tk.covered(len(s), begin, end)
-            keep = np.zeros(len(buf), dtype=bool)
-            idx = tk.gather_ranges(s[~gone], (e - s)[~gone])
-            keep[idx] = True
+            space = tk._IS_SPACE[buf]
+            keep = ~space
+            keep[tk.gather_ranges(s[gone], (e - s)[gone])] = False
             keep[e[~gone]] = True
-            place = np.concatenate([[0], np.cumsum(keep)])[starts]
-            out = np.where(tk._IS_SPACE[buf], np.uint8(32), buf)[keep].tobytes()
+            place = _places(keep)[starts]
+            out = np.where(space, np.uint8(32), buf)[keep].tobytes()
             kept = [out[a : b - 1] if b > a else b"" for a, b in zip(place, place[1:])]
             lost = np.concatenate([[0], np.cumsum(gone)])[first]
             yield pa.RecordBatch.from_arrays(
