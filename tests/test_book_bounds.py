@@ -79,7 +79,7 @@ def test_equal_rows_of_a_hot_key_take_several_salts(spark):
     assert "SPARK_PARTITION_ID()" in plan
 
 
-def test_books_of_many_dates_ship_every_sale_once_and_hash_no_users(spark):
+def test_books_of_many_dates_hash_no_users(spark):
     enriched = _sales(spark).withColumn("product_category", F.when(F.col("product_id") == 1, "A").otherwise("B"))
     tasks = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     for past_only in (True, False):

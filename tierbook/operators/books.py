@@ -3,10 +3,10 @@
 A single book asks of every sale which windows it is in on one date. Here every
 calendar day is looked up once: the first book date that knows it, and the
 dates (with their age bucket) on which it lies in some window. Days that agree
-in all of that form a *cell*. Sales go to their user in the one shuffle, four
-narrow columns, and are reduced there, in order, to partial aggregates per user,
-dimension keys and cell: no hash table holds a task's groups. Each partial
-is spread over the dates of its windows, and the whole history of a date is the
+in all of that form a *cell*. Sales go by user and dimension keys, four narrow
+columns, and are reduced there, in order, to partial aggregates per user, dimension
+keys and cell (no hash table holds a task's groups), which go to their user. Each
+partial is spread over the dates of its windows, and the whole history of a date is the
 running sum, minimum and maximum over the dates so far, so that a sale is not
 repeated for every later date. One pivot per user and date ends it.
 
@@ -125,10 +125,10 @@ def feature_books(
     # behind the exchange a sale may become a row for every date, and one more: so many times the session's tasks
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) * (1 + len(dates))
     by_cell = [user, *keys, CELL]
-    dealt = rows.select(user, *own, CELL, amount).repartition(tasks, user).sortWithinPartitions(*by_cell)
+    dealt = rows.select(user, *own, CELL, amount).repartition(tasks, user, *keys).sortWithinPartitions(*by_cell)
     partials = grouped_in_order(to_partials(dealt, amount), by_cell, combined())
 
-    spread = partials.join(F.broadcast(cells), CELL).where(F.col(FIRST).isNotNull())
+    spread = partials.repartition(tasks, user).join(F.broadcast(cells), CELL).where(F.col(FIRST).isNotNull())
     to_dates = F.concat(F.array(F.struct(F.col(FIRST).alias("i"), F.lit(HISTORY).alias("bucket"))), F.col(HITS))
     spread = spread.select(user, *keys, *PARTIALS, F.explode(to_dates).alias("hit"))
     spread = spread.select(
