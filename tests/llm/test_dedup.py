@@ -266,3 +266,31 @@ def test_a_chunk_of_text_takes_little_memory():
         tracemalloc.stop()
         textkit.Poly._powers = kept
     assert peak < 58 * textkit.CHUNK_BYTES
+
+
+def _worker_peak(run, batch) -> int:
+    """Bytes of Python's and numpy's memory at the peak while a task takes ``batch``, the tables of powers included."""
+    kept, textkit.Poly._powers = textkit.Poly._powers, {}
+    tracemalloc.start()
+    try:
+        for _ in run([batch]):
+            pass
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        textkit.Poly._powers = kept
+
+
+def _long_batch() -> pa.RecordBatch:
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(1600)]
+    n = len(texts)
+    columns = {"key": range(n), "id": range(n), "row": pa.array([0] * n, pa.int16()), "anchors": pa.array([[9, 300]] * n, pa.list_(pa.int32())), "text": texts}
+    return pa.RecordBatch.from_pydict({k: pa.array(v) if not isinstance(v, pa.Array) else v for k, v in columns.items()})
+
+
+def test_a_worker_cuts_a_batch_into_suffixes_in_small_chunks():
+    batch = _long_batch()
+    assert _worker_peak(suffix._anchors(400, 128), batch) < 60 << 20
+    assert _worker_peak(suffix._suffixes(400, 128), batch) < 60 << 20
