@@ -294,3 +294,16 @@ def test_a_worker_cuts_a_batch_into_suffixes_in_small_chunks():
     batch = _long_batch()
     assert _worker_peak(suffix._anchors(400, 128), batch) < 60 << 20
     assert _worker_peak(suffix._suffixes(400, 128), batch) < 60 << 20
+
+
+def test_a_worker_cuts_a_batch_into_super_kmers_in_small_chunks():
+    batch = _long_batch()
+    assert _worker_peak(substring._super_kmers(13, 4, 204, np.zeros(0, np.uint64)), batch) < 55 << 20
+    found = pa.Table.from_batches(substring._super_kmers(13, 4, 8, np.zeros(0, np.uint64))([batch]))
+    assert sorted(set(found.column("bucket").to_pylist())) == list(range(8))
+
+
+def test_a_worker_signs_a_batch_in_small_chunks():
+    long = _long_batch()
+    batch = pa.RecordBatch.from_pydict({"id": long.column("id"), "row": long.column("row"), "rest": long.column("row"), "text": long.column("text")})
+    assert _worker_peak(minhash._signatures(5, 64), batch) < 35 << 20

@@ -53,6 +53,7 @@ LIST_MEMBERS = 4096  # of a list that is walked at once; longer ones go in pairs
 BLOCK_MEMBERS = 4096  # of a block that is walked on full sets,
 BLOCK_SHINGLES = 1_000_000  # and its shingles (one longer document makes a block of its own)
 _BLOCK = 4096
+CHUNK_BYTES = 3 << 18  # of a chunk's text: an executor has several workers, and each keeps what it once took
 
 
 def shingle_sets(docs: list[bytes], size: int):
@@ -77,7 +78,7 @@ def _signatures(size: int, coordinates: int):
 
     def run(batches):
         for batch in batches:
-            for part in tk.chunks(batch):
+            for part in tk.chunks(batch, limit=CHUNK_BYTES):
                 n, one, two, signature = [], [], [], []
                 for own in shingle_sets(tk.texts(part.column("text")), size):
                     n.append(len(own))
@@ -106,7 +107,7 @@ def _signatures(size: int, coordinates: int):
 def _sets(size: int):
     def run(batches):
         for batch in batches:
-            for part in tk.chunks(batch):
+            for part in tk.chunks(batch, limit=CHUNK_BYTES):
                 sets = list(shingle_sets(tk.texts(part.column("text")), size))
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(

@@ -44,6 +44,7 @@ SUB_BUCKETS = 4
 LEVEL = 6
 SAMPLE = 32
 HOT = 20_000
+CHUNK_BYTES = 3 << 18  # of a chunk's text: an executor has several workers, and each keeps what it once took
 MAX_HOT = 100_000  # minimisers dealt by window: the hottest
 _MARK = pa.schema([("id", pa.int64()), ("row", pa.int16()), ("from", pa.int32()), ("to", pa.int32())])
 _COLUMNS = (np.int64, np.int16, np.int32, np.int32)  # id (as differences), row, first word, number of words
@@ -97,7 +98,7 @@ def _sampled(window: int, grain: int):
 
     def run(batches):
         for batch in batches:
-            for part in tk.chunks(batch):
+            for part in tk.chunks(batch, limit=CHUNK_BYTES):
                 buf, starts = tk.joined(tk.texts(part.column("text")))
                 *_, least, fresh, whole = _minimisers(buf, starts, window, grain)
                 value, n = np.unique(least[whole & fresh], return_counts=True)
@@ -146,7 +147,7 @@ def _super_kmers(window: int, grain: int, buckets: int, hot: np.ndarray):
         squeeze = zstandard.ZstdCompressor(level=LEVEL)
         seen = seen_windows = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for batch in batches:
-            for part in tk.chunks(batch):
+            for part in tk.chunks(batch, limit=CHUNK_BYTES):
                 buf, starts = tk.joined(tk.texts(part.column("text")))
                 ids = part.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
                 rows = part.column("row").to_numpy(zero_copy_only=False)
