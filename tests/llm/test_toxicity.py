@@ -110,3 +110,24 @@ def test_nothing(spark):
     row = tx.score(cases.table(spark, [(1, None, None, None)]), none).first()
     assert (row["id"], row["score"], row["predicted"]) == (1, 0.0, 0)
     assert tx.learn(cases.table(spark, [(1, "a b", None, None)]), _labels(spark, [(1, 0, 0)])) is None
+
+
+def test_unseen_forms_of_a_toxic_stem(spark):
+    """Forms that no document of the training has count by their first bytes; words that share fewer don't."""
+    rng = random.Random(5)
+    docs, marks = [], []
+    for i in range(1500):
+        w = cases.prose(rng, rng.randint(5, 60), 3000).split(" ")
+        toxic = rng.random() < 0.12
+        if toxic:
+            w += [f"gramo{rng.choice(['ta', 'ñer', 'lis', 'dun'])}" for _ in range(rng.randint(1, 3))]
+        docs.append((i, " ".join(w), "xx", "s"))
+        if rng.random() < 0.5:
+            marks.append((i, 1, int(toxic)))
+    model = tx.learn(cases.table(spark, docs), _labels(spark, marks))
+    rows = [(10_000, "Gramoxel w1 w2", "xx", "s"), (10_001, "w1 gramoé!", "xx", "s"), (10_002, "gram w1 w2", "xx", "s"), (10_003, "w1 grim", "xx", "s")]
+    found = {r["id"]: r["predicted"] for r in tx.score(cases.table(spark, rows), model).collect()}
+    assert found == {10_000: 1, 10_001: 1, 10_002: 0, 10_003: 0}
+    # a stem of few confirmed documents says nothing, nor one of many others
+    few = tx.stem_weights(np.array([9, 40, 40]), 100, np.array([9, 80, 900]), 2000, 0.1, -3.0)
+    assert few[0] == 0 and few[1] > 3 and few[2] == 0
